@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codexmill.llm import canonical, components, consensus, contamination, mojibake, neardup, residue
+from codexmill.llm import canonical, components, consensus, contamination, langid, mojibake, names, neardup, packing, residue
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return consensus.clear_survivors(groups, table(spark, d, "book_evidence"), table(spark, d, "localizations"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.same_entities(table(spark, d, "attributions"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.look_alikes(table(spark, d, "localizations"), table(spark, d, "aliases"))
 
@@ -30,11 +34,20 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue_ids(table(spark, d, "localizations"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    localizations = table(spark, d, "localizations")
+    return langid.mislabelled(localizations, residue.residue_ids(localizations))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     localizations = table(spark, d, "localizations")
     return neardup.near_duplicates(localizations, residue.residue_ids(localizations))
 
 
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.containers(table(spark, d, "documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return contamination.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -48,4 +61,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p7_found, p9_found, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p7_found, p8_containers, p9_found, p10_found, p10_restored)}

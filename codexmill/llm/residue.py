@@ -151,8 +151,24 @@ class Ratio:
 
 def windows(x: np.ndarray) -> list[tuple[int, int, float]]:
     """(begin, end, score) of the windows with the greatest sums, from left to right."""
+    c = np.cumsum(np.maximum(x, 0), dtype=np.float64)
+    rise = c.copy()
+    rise[SPAN:] -= c[:-SPAN]
+    near = np.flatnonzero(rise >= LEAST)
+    if not len(near):
+        return []
+    # only around places where a window gains enough does the running score have to be followed
+    cut = np.flatnonzero(np.diff(near) > 3 * SPAN)
+    begins, ends = near[np.append(0, cut + 1)] - SPAN, near[np.append(cut, len(near) - 1)] + 1
+    out: list[tuple[int, int, float]] = []
+    for a, b in zip(np.maximum(begins, 0).tolist(), ends.tolist(), strict=True):
+        out += [(a + u, a + v, s) for u, v, s in _sums(x[a : b + SPAN].tolist())]
+    return out
+
+
+def _sums(x: list[float]) -> list[tuple[int, int, float]]:
     out, s, peak, begin, end = [], 0.0, 0.0, 0, 0
-    for i, v in enumerate(x.tolist()):
+    for i, v in enumerate(x):
         if s <= 0:
             s, peak, begin = 0.0, 0.0, i
         s += v
