@@ -1,15 +1,359 @@
-"""Queries of the core operators and their SQL."""
+"""Queries of the core operators over whole tables, and the SQL they are compared with."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from codexmill.functions import hashing, text
+from codexmill.operators import candidates, catalog, citations, gates, paging
+from codexmill.operators.catalog import instant, norm_id
+from codexmill.sources.files import id_list, record_set, table
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def books(spark: SparkSession, d: str) -> DataFrame:
+    """The version of each book with the latest update; repeated deliveries of it count once."""
+    rows = table(spark, d, "book_evidence").select(norm_id("id").alias("id"), instant("createdAt").alias("created"), instant("updatedAt").alias("updated"), "evidenceHash", "status", "details", "localizationLanguages", "capturedAt")
+    return catalog.latest(rows, "id", [F.col("updated"), F.col("capturedAt"), F.col("evidenceHash")])
+
+
+BOOKS = """
+WITH versions AS (
+  SELECT lower(trim(id)) AS id, try_cast(createdAt AS TIMESTAMPTZ) AS created, try_cast(updatedAt AS TIMESTAMPTZ) AS updated, evidenceHash, status, details, localizationLanguages, capturedAt
+  FROM book_evidence
+), books AS (
+  SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated DESC, capturedAt DESC, evidenceHash DESC) = 1
+), loc AS (SELECT DISTINCT locId, lower(trim(unitId)) AS id, language, title, summary, position FROM localizations)
+"""
+
+
+def localizations(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "localizations").select("locId", norm_id("unitId").alias("id"), "language", "title", "summary", "position").distinct()
+
+
+@query(BOOKS + """, sets AS (SELECT b.id, b.created, count(l.language) AS n, coalesce(bool_or(l.language = 'ja'), false) AS ja FROM books b LEFT JOIN loc l USING (id) GROUP BY 1, 2)
+SELECT count(*) AS books, count(*) FILTER (WHERE ja) AS with_ja, count(*) FILTER (WHERE n = 0) AS without_language, epoch_us(min(created)) AS first_us, epoch_us(max(created)) AS last_us, epoch_us(max(created) FILTER (WHERE ja)) AS last_ja_us FROM sets""")
+def inventory_summary(spark: SparkSession, d: str) -> DataFrame:
+    sets = catalog.language_sets(books(spark, d), localizations(spark, d), "id", "language").join(books(spark, d).select("id", "created"), "id")
+    ja = F.array_contains("members", "ja")
+    return sets.agg(F.count("*").alias("books"), F.count_if(ja).alias("with_ja"), F.count_if(F.size("members") == 0).alias("without_language"), F.unix_micros(F.min("created")).alias("first_us"), F.unix_micros(F.max("created")).alias("last_us"), F.unix_micros(F.max(F.when(ja, F.col("created")))).alias("last_ja_us"))
+
+
+@query(BOOKS + """, sets AS (SELECT b.id, coalesce(array_to_string(list_sort(list(DISTINCT l.language) FILTER (WHERE l.language IS NOT NULL)), ','), '') AS languages, count(DISTINCT l.language) AS members FROM books b LEFT JOIN loc l USING (id) GROUP BY 1)
+SELECT languages, members, count(*) AS n FROM sets GROUP BY 1, 2""")
+def inventory_language_sets(spark: SparkSession, d: str) -> DataFrame:
+    sets = catalog.language_sets(books(spark, d), localizations(spark, d), "id", "language")
+    return catalog.top_distribution(sets).select(F.array_join("members", ",").alias("languages"), F.size("members").cast("long").alias("members"), "n")
+
+
+ZH_ONLY = ", zh AS (SELECT id, created FROM books b WHERE EXISTS (SELECT 1 FROM loc l WHERE l.id = b.id AND l.language = 'zh') AND NOT EXISTS (SELECT 1 FROM loc l WHERE l.id = b.id AND l.language <> 'zh') AND created IS NOT NULL)"
+
+
+def zh_only(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.exact_set(books(spark, d), localizations(spark, d), "id", "language", ["zh"]).where("created is not null").select("id", "created")
+
+
+@query(BOOKS + ZH_ONLY + " SELECT id, epoch_us(created) AS created_us FROM zh")
+def exact_language_set(spark: SparkSession, d: str) -> DataFrame:
+    return zh_only(spark, d).select("id", F.unix_micros("created").alias("created_us"))
+
+
+@query(BOOKS + ZH_ONLY + " SELECT id, epoch_us(created) AS created_us FROM zh ORDER BY created, id LIMIT 256")
+def source_page_first(spark: SparkSession, d: str) -> DataFrame:
+    return paging.page(zh_only(spark, d), "created", "id", 256).select("id", F.unix_micros("created").alias("created_us"))
+
+
+@query(BOOKS + ZH_ONLY + " SELECT id, epoch_us(created) AS created_us FROM zh WHERE (created, id) > (TIMESTAMPTZ '2024-09-01 00:00:00+00', '8') ORDER BY created, id LIMIT 256")
+def source_page_after(spark: SparkSession, d: str) -> DataFrame:
+    at = F.lit("2024-09-01 00:00:00+00:00").cast("timestamp")
+    return paging.page(zh_only(spark, d), "created", "id", 256, (at, "8")).select("id", F.unix_micros("created").alias("created_us"))
+
+
+@query(BOOKS + ", r AS (SELECT id, created, row_number() OVER (ORDER BY created, id) - 1 AS n FROM books WHERE created IS NOT NULL) SELECT id, n AS place, CAST(floor(n / 256) AS BIGINT) AS part FROM r")
+def part_assignment(spark: SparkSession, d: str) -> DataFrame:
+    rows = paging.positions(books(spark, d).where("created is not null").select("id", "created"), ["created", "id"], "place")
+    return rows.select("id", F.col("place").cast("long").alias("place"), F.floor(F.col("place") / 256).alias("part"))
+
+
+@query(BOOKS + ", r AS (SELECT id, created, CAST(floor((row_number() OVER (ORDER BY created, id) - 1) / 256) AS BIGINT) AS part FROM books WHERE created IS NOT NULL) SELECT part, count(*) AS n, epoch_us(max(created)) AS last_us, arg_max(id, (created, id)) AS last_id FROM r GROUP BY 1")
+def part_cursors(spark: SparkSession, d: str) -> DataFrame:
+    rows = paging.parts(books(spark, d).where("created is not null").select("id", "created"), ["created", "id"], 256)
+    return paging.cursors(rows, "part", "created", "id").select("part", "n", F.unix_micros("last_time").alias("last_us"), "last_id")
+
+
+@query("SELECT lower(trim(id)) AS id, count(*) AS n FROM book_evidence WHERE list_sort(list_distinct(localizationLanguages)) = ['zh'] GROUP BY 1")
+def exact_set_nested(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "book_evidence").where(catalog.exact_array("localizationLanguages", ["zh"])).groupBy(norm_id("id").alias("id")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH a AS (SELECT DISTINCT lower(trim(unitId)) AS id, id AS alias, term, kind FROM aliases), l AS (SELECT DISTINCT lower(trim(unitId)) AS id, locId, language FROM localizations),
+b AS (SELECT DISTINCT lower(trim(id)) AS id FROM book_evidence),
+la AS (SELECT id, string_agg(coalesce(language, '-') || ':' || locId, '|' ORDER BY language IS NULL, language, locId) AS languages FROM l GROUP BY 1),
+aa AS (SELECT id, string_agg(kind || ':' || alias, '|' ORDER BY kind, term, alias) AS names FROM a GROUP BY 1)
+SELECT b.id, coalesce(languages, '') AS languages, coalesce(names, '') AS names FROM b LEFT JOIN la USING (id) LEFT JOIN aa USING (id)""")
+def evidence_children(spark: SparkSession, d: str) -> DataFrame:
+    parents = table(spark, d, "book_evidence").select(norm_id("id").alias("id")).distinct()
+    loc = localizations(spark, d).select("id", "locId", "language")
+    alias = table(spark, d, "aliases").select(norm_id("unitId").alias("id"), F.col("id").alias("alias"), "term", "kind").distinct()
+    whole = catalog.with_children(
+        parents,
+        "id",
+        {
+            "languages": (loc, [*catalog.nulls_last("language"), F.col("locId")], F.concat(F.coalesce("language", F.lit("-")), F.lit(":"), F.col("locId").cast("string"))),
+            "names": (alias, [F.col("kind"), F.col("term"), F.col("alias")], F.concat("kind", F.lit(":"), "alias")),
+        },
+    )
+    return whole.select("id", F.array_join("languages", "|").alias("languages"), F.array_join("names", "|").alias("names"))
+
+
+@query("""WITH c AS (SELECT DISTINCT lower(trim(unitId)) AS unit, id, role, position, unnest(localizations) AS x FROM attributions),
+g AS (SELECT unit, id, role, position, string_agg(x.language || ':' || coalesce(x.title, ''), '/' ORDER BY x.language, coalesce(x.title, '')) AS names FROM (SELECT DISTINCT unit, id, role, position, x FROM c) GROUP BY 1, 2, 3, 4)
+SELECT unit, string_agg(role || '=' || names, '|' ORDER BY position, id, role || '=' || names) AS credits FROM g GROUP BY 1""")
+def evidence_grandchildren(spark: SparkSession, d: str) -> DataFrame:
+    flat = table(spark, d, "attributions").select(norm_id("unitId").alias("unit"), "id", "role", "position", F.explode("localizations").alias("x")).distinct()
+    title = F.coalesce(F.col("x.title"), F.lit(""))
+    inner = flat.groupBy("unit", "id", "role", "position").agg(catalog.ordered_list([F.col("x.language"), title], F.concat("x.language", F.lit(":"), title)).alias("names"))
+    named = inner.withColumn("credit", F.concat("role", F.lit("="), F.array_join("names", "/")))
+    return named.groupBy("unit").agg(catalog.ordered_list([F.col("position"), F.col("id")], F.col("credit")).alias("c")).select("unit", F.array_join("c", "|").alias("credits"))
+
+
+@query("""WITH a AS (SELECT DISTINCT lower(trim(unitId)) AS unit, id, position, entityVerified FROM attributions)
+SELECT unit, string_agg(id, '|' ORDER BY entityVerified DESC NULLS LAST, position ASC NULLS LAST, id) AS credits FROM a GROUP BY 1""")
+def evidence_mixed_order(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "attributions").select(norm_id("unitId").alias("unit"), "id", "position", "entityVerified").distinct()
+    order = [F.col("entityVerified").isNull(), ~F.col("entityVerified"), *catalog.nulls_last("position"), F.col("id")]
+    return rows.groupBy("unit").agg(catalog.ordered_list(order, F.col("id")).alias("c")).select("unit", F.array_join("c", "|").alias("credits"))
+
+
+@query("SELECT lower(role) AS role, count(*) AS n, count(DISTINCT lower(trim(creditedUnitId))) AS credited FROM attributions WHERE lower(role) IN ('author', 'translator') GROUP BY 1")
+def requested_ids(spark: SparkSession, d: str) -> DataFrame:
+    wanted = id_list(spark, '["author", "translator", "author"]', "role")
+    rows = table(spark, d, "attributions").select(F.lower("role").alias("role"), norm_id("creditedUnitId").alias("unit"))
+    return rows.join(F.broadcast(wanted), "role").groupBy("role").agg(F.count("*").alias("n"), F.countDistinct("unit").alias("credited"))  # a list of two
+
+
+@query("""WITH r(kind, label) AS (VALUES ('original', 'first'), ('alternate', 'other'), ('none', 'unused'))
+SELECT label, count(a.kind) AS n FROM r LEFT JOIN aliases a ON a.kind = r.kind GROUP BY 1""")
+def record_set_join(spark: SparkSession, d: str) -> DataFrame:
+    kinds = record_set(spark, '[{"kind":"original","label":"first"},{"kind":"alternate","label":"other"},{"kind":"none","label":"unused"}]', "kind string, label string")
+    n = table(spark, d, "aliases").groupBy("kind").agg(F.count("*").alias("n"))
+    return kinds.join(n, "kind", "left").select("label", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT lower(trim(creditedUnitId)) AS unit, bool_and(entityVerified) AS every, bool_or(entityVerified) AS some, count(*) AS n FROM attributions GROUP BY 1")
+def boolean_aggregates(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "attributions").groupBy(norm_id("creditedUnitId").alias("unit")).agg(F.bool_and("entityVerified").alias("every"), F.bool_or("entityVerified").alias("some"), F.count("*").alias("n"))
+
+
+@query("""WITH t AS (SELECT DISTINCT lower(trim(id)) AS id FROM book_evidence), l AS (SELECT DISTINCT lower(trim(unitId)) AS id FROM localizations), a AS (SELECT DISTINCT lower(trim(unitId)) AS id FROM aliases)
+SELECT 'both' AS part, count(*) AS n FROM (SELECT id FROM l INTERSECT SELECT id FROM a) UNION ALL SELECT 'either', count(*) FROM (SELECT id FROM l UNION SELECT id FROM a) UNION ALL SELECT 'unnamed', count(*) FROM (SELECT id FROM t EXCEPT SELECT id FROM a)""")
+def set_operations(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "book_evidence").select(norm_id("id").alias("id"))
+    loc, alias = (table(spark, d, n).select(norm_id("unitId").alias("id")) for n in ("localizations", "aliases"))
+    one = lambda rows, name: rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+    return one(loc.intersect(alias), "both").unionByName(one(loc.union(alias).distinct(), "either")).unionByName(one(t.subtract(alias), "unnamed"))
+
+
+@query("""WITH l AS (SELECT locId, min(lower(title)) AS t FROM localizations WHERE title IS NOT NULL GROUP BY 1), g AS (SELECT DISTINCT locId, substr(t, i, 6) AS gram FROM (SELECT locId, t, unnest(range(1, length(t) - 4)) AS i FROM l WHERE length(t) >= 6)),
+s AS (SELECT locId, count(*) AS size FROM g GROUP BY 1), k AS (SELECT gram FROM g GROUP BY 1 HAVING count(*) BETWEEN 2 AND 30),
+p AS (SELECT a.locId AS source, b.locId AS candidate, count(*) AS shared FROM g a JOIN k USING (gram) JOIN g b USING (gram) WHERE a.locId <> b.locId GROUP BY 1, 2),
+r AS (SELECT source, candidate, shared / (x.size + y.size - shared) AS score FROM p JOIN s x ON x.locId = source JOIN s y ON y.locId = candidate)
+SELECT source, candidate, round(score, 9) AS score, row_number() OVER (PARTITION BY source ORDER BY score DESC, candidate) AS rank FROM r QUALIFY rank <= 5""")
+def candidate_links(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "localizations").where("title is not null").groupBy("locId").agg(F.min(F.lower("title")).alias("t"))
+    return candidates.candidates(rows, "locId", "t", n=6, budget=30, most=5).select("source", "candidate", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("""SELECT runId, part, sourceUnitId, disposition FROM decisions QUALIFY row_number() OVER (PARTITION BY runId, part, lower(trim(sourceUnitId)) ORDER BY try_cast(decidedAt AS TIMESTAMPTZ), packetId, disposition, sourceUnitId) = 1""")
+def first_decisions(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select("runId", "part", "sourceUnitId", "packetId", "disposition", norm_id("sourceUnitId").alias("source"), instant("decidedAt").alias("at"))
+    return catalog.first_seen(rows, ["runId", "part", "source"], [F.col("at"), F.col("packetId"), F.col("disposition"), F.col("sourceUnitId")]).select("runId", "part", "sourceUnitId", "disposition")
+
+
+@query("""WITH r AS (SELECT DISTINCT runId, part, lower(trim(sourceUnitId)) AS source, try_cast(decidedAt AS TIMESTAMPTZ) AS decided FROM decisions),
+l AS (SELECT *, lag(source) OVER (PARTITION BY runId, part ORDER BY decided, source) AS before FROM r) SELECT runId, part, count(*) AS n FROM l WHERE source <= before GROUP BY 1, 2""")
+def order_violations(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select("runId", "part", norm_id("sourceUnitId").alias("source"), instant("decidedAt").alias("at")).distinct()
+    return paging.disorder(rows, ["runId", "part"], [F.col("at"), F.col("source")], F.col("source")).groupBy("runId", "part").agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT DISTINCT runId, part FROM decisions), e AS (SELECT runId, part, coalesce(lag(part) OVER (PARTITION BY runId ORDER BY part) + 1, 0) AS expected FROM p) SELECT runId, part, expected FROM e WHERE part <> expected""")
+def part_gaps(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    each = table(spark, d, "decisions").select("runId", "part").distinct()
+    return each.withColumn("expected", F.coalesce(F.lag("part").over(Window.partitionBy("runId").orderBy("part")) + 1, F.lit(0).cast("long"))).where("part <> expected")
+
+
+@query("""WITH b AS (SELECT lower(trim(id)) AS id FROM book_evidence GROUP BY 1), s AS (SELECT lower(trim(sourceUnitId)) AS id, count(*) AS n FROM decisions GROUP BY 1)
+SELECT coalesce(b.id, s.id) AS id, CASE WHEN s.id IS NULL THEN 'missing' WHEN b.id IS NULL THEN 'unexpected' ELSE 'duplicate' END AS issue FROM b FULL JOIN s ON b.id = s.id WHERE s.id IS NULL OR b.id IS NULL OR s.n > 1""")
+def coverage(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.one_to_one(table(spark, d, "book_evidence").select(norm_id("id").alias("id")), table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("id")), "id")
+
+
+@query("SELECT DISTINCT lower(trim(id)) AS id FROM book_evidence WHERE lower(trim(id)) NOT IN (SELECT lower(trim(sourceUnitId)) FROM decisions WHERE sourceUnitId IS NOT NULL)")
+def undecided(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "book_evidence").select(norm_id("id").alias("id")).distinct().join(table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("id")), "id", "left_anti")
+
+
+@query("""SELECT s AS sources, n AS decisions, greatest(0, s - n) AS remaining, s <= n AS complete FROM (SELECT count(DISTINCT lower(trim(id))) AS s FROM book_evidence), (SELECT count(DISTINCT lower(trim(sourceUnitId))) AS n FROM decisions)""")
+def run_status(spark: SparkSession, d: str) -> DataFrame:
+    from codexmill.streaming.capture import status
+
+    return status(table(spark, d, "book_evidence").select(norm_id("id").alias("source")), table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source")))
+
+
+@query("SELECT 'disposition' AS dimension, disposition AS value, count(*) AS n FROM decisions GROUP BY 2 UNION ALL SELECT 'reason', reason, count(*) FROM decisions GROUP BY 2 UNION ALL SELECT 'confidence', confidence, count(*) FROM decisions GROUP BY 2")
+def quality_counters(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.counters(table(spark, d, "decisions"), ["disposition", "reason", "confidence"])
+
+
+@query("SELECT b.code AS code, count(*) AS n, count(DISTINCT lower(trim(sourceUnitId))) AS sources FROM (SELECT sourceUnitId, unnest(basis) AS b FROM decisions) GROUP BY 1")
+def basis_counters(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source"), F.explode("basis.code").alias("code"))
+    return rows.groupBy("code").agg(F.count("*").alias("n"), F.countDistinct("source").alias("sources"))
+
+
+@query("""SELECT disposition, reason, confidence, count(*) AS n, grouping(disposition, reason, confidence) AS level FROM decisions GROUP BY GROUPING SETS ((disposition), (disposition, reason), (disposition, reason, confidence), ())""")
+def decision_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions")
+    sets = [[], [F.col("disposition")], [F.col("disposition"), F.col("reason")], [F.col("disposition"), F.col("reason"), F.col("confidence")]]
+    return rows.groupingSets(sets, "disposition", "reason", "confidence").agg(F.count("*").alias("n"), F.grouping_id("disposition", "reason", "confidence").alias("level"))
+
+
+NOTE = r"lower(trim(regexp_replace(explanation, '\s+', ' ', 'g')))"
+
+
+@query(f"SELECT runId, part, md5({NOTE}) AS form, count(*) AS n FROM decisions WHERE {NOTE} <> '' GROUP BY 1, 2, 3 HAVING count(*) >= 3")
+def duplicate_explanations(spark: SparkSession, d: str) -> DataFrame:
+    form = F.lower(F.trim(F.regexp_replace("explanation", r"\s+", " ")))
+    return gates.repeated_text(table(spark, d, "decisions"), ["runId", "part"], form).withColumn("form", F.md5("form"))
+
+
+@query(rf"SELECT runId, part, md5(regexp_replace({NOTE}, '{text.UUID}', '<unit>', 'g')) AS form, count(*) AS n FROM decisions WHERE {NOTE} <> '' GROUP BY 1, 2, 3 HAVING count(*) >= 3")
+def templated_explanations(spark: SparkSession, d: str) -> DataFrame:
+    form = text.template(F.lower(F.trim(F.regexp_replace("explanation", r"\s+", " "))), F.array().cast("array<string>"))
+    return gates.repeated_text(table(spark, d, "decisions"), ["runId", "part"], form).withColumn("form", F.md5("form"))
+
+
+@query("SELECT runId, part, count(*) AS n FROM decisions GROUP BY 1, 2 HAVING count(*) >= 10 AND bool_and(coalesce(disposition <> 'soft_delete', false))")
+def uniform_parts(spark: SparkSession, d: str) -> DataFrame:
+    return gates.uniform(table(spark, d, "decisions"), ["runId", "part"], F.col("disposition") != "soft_delete", 10)
+
+
+@query("""WITH i AS (SELECT reason, lower(trim(sourceUnitId)) AS source FROM decisions GROUP BY 1, 2)
+SELECT reason, source, row_number() OVER (PARTITION BY reason ORDER BY source) AS rank FROM i QUALIFY rank <= 20""")
+def issue_sample(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select("reason", norm_id("sourceUnitId").alias("source")).distinct()
+    return gates.issue_sample(rows, ["reason"], [F.col("source")], 20).withColumn("rank", F.col("rank").cast("long"))
+
+
+FORM = r"lower(trim(regexp_replace({}, '\s+', ' ', 'g')))"
+
+
+@query(f"""WITH c AS (SELECT DISTINCT lower(trim(sourceUnitId)) AS source, lower(trim(c.unitId)) AS unitId, c.field AS field, c.excerpt AS excerpt FROM (SELECT sourceUnitId, unnest(citations) AS c FROM decisions)),
+e AS (SELECT DISTINCT lower(trim(unitId)) AS unitId, 'localization_title' AS field, {FORM.format("title")} AS value FROM localizations WHERE title IS NOT NULL UNION SELECT lower(trim(unitId)), 'alias', {FORM.format("term")} FROM aliases WHERE term IS NOT NULL)
+SELECT source, count(*) AS asked, count(*) FILTER (WHERE ok) AS found FROM (SELECT c.source, c.unitId, c.field, c.excerpt, coalesce(bool_or({FORM.format("c.excerpt")} <> '' AND contains(e.value, {FORM.format("c.excerpt")})), false) AS ok FROM c LEFT JOIN e ON e.unitId = c.unitId AND e.field = c.field GROUP BY 1, 2, 3, 4) GROUP BY 1""")
+def citation_match(spark: SparkSession, d: str) -> DataFrame:
+    normal = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    asked = citations.cited(table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source"), "citations"), ["source"]).withColumn("unitId", norm_id("unitId")).drop("place").distinct()
+    asked = asked.withColumn("place", F.struct("unitId", "field", "excerpt"))
+    loc = table(spark, d, "localizations").select(norm_id("unitId").alias("unitId"), F.lit("localization_title").alias("field"), F.col("title").alias("value"))
+    alias = table(spark, d, "aliases").select(norm_id("unitId").alias("unitId"), F.lit("alias").alias("field"), F.col("term").alias("value"))
+    found = citations.supported(asked, loc.unionByName(alias), ["source"], normal)
+    return found.groupBy("source").agg(F.count("*").alias("asked"), F.count_if("found").alias("found"))
+
+
+@query("""WITH d AS (SELECT *, len(citations) AS n, flatten([b.citationIndexes FOR b IN basis]) AS used, [b.citationIndexes FOR b IN basis] AS each FROM decisions WHERE basis IS NOT NULL)
+SELECT CASE WHEN len([i FOR i IN used IF i < 0 OR i >= n]) > 0 THEN 'missing' WHEN len([x FOR x IN each IF len(list_distinct(x)) < len(x)]) > 0 THEN 'repeated' WHEN len(list_distinct(used)) < n THEN 'unused' ELSE 'sound' END AS state, count(*) AS n FROM d GROUP BY 1""")
+def citation_linkage(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").where("basis is not null")
+    return rows.select(F.coalesce(citations.linkage(F.col("citations"), F.col("basis.citationIndexes")), F.lit("sound")).alias("state")).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("""WITH d AS (SELECT runId, part, packetId, decidedAt, lower(trim(sourceUnitId)) AS source, len(citations) AS k FROM decisions WHERE len(citations) >= 2), m AS (SELECT source, k, unnest(range(1, CAST(power(2, k) AS BIGINT) - 1)) AS mask FROM d)
+SELECT k, mask, bit_count(mask) AS items, count(*) AS n FROM m GROUP BY 1, 2, 3""")
+def citation_subsets(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select(F.size("citations").alias("k")).where("k >= 2")
+    return citations.subsets(rows, "k").groupBy("k", "mask", "items").agg(F.count("*").alias("n"))
+
+
+@query("""WITH n AS (SELECT DISTINCT x.title AS title FROM (SELECT unnest(localizations) AS x FROM attributions) WHERE length(x.title) >= 4), l AS (SELECT title FROM n), a AS (SELECT title AS term FROM n)
+SELECT title, term FROM l JOIN a ON title < term AND substr(title, 1, 4) = substr(term, 1, 4) WHERE ((length(title) = length(term) AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, i, 1) <> substr(term, i, 1)]) = 1)
+OR (length(title) = length(term) + 1 AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, 1, i - 1) || substr(title, i + 1) = term]) > 0) OR (length(term) = length(title) + 1 AND len([i FOR i IN range(1, length(term) + 1) IF substr(term, 1, i - 1) || substr(term, i + 1) = title]) > 0))""")
+def near_misses(spark: SparkSession, d: str) -> DataFrame:
+    """Credited names one edit apart, among those that begin alike."""
+    names = table(spark, d, "attributions").select(F.explode("localizations.title").alias("title")).where("length(title) >= 4").distinct()
+    terms = names.withColumnRenamed("title", "term")
+    return names.join(terms, (F.left("title", F.lit(4)) == F.left("term", F.lit(4))) & (F.col("title") < F.col("term"))).where(text.one_edit("title", "term"))
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
+def json_fields(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k")).where("k is not null")
+
+
+@query()
+def description_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """(locId, leaves, first): the strings in each description; NFKC and ordered JSON strings have no SQL."""
+    rows = table(spark, d, "localizations").where("description is not null").select("locId", "description").distinct()
+    return rows.select("locId", F.array_join(text.json_leaves("description"), "\n").alias("leaves"))
+
+
+@query()
+def title_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The forms of each distinct title."""
+    rows = table(spark, d, "localizations").select("title").where("title is not null").distinct()
+    return rows.select("title", text.title_key("title").alias("key"), text.squeezed("title").alias("squeezed"), text.spaced("title").alias("spaced"), text.prefix("title").alias("prefix"), text.excerpt("title").alias("excerpt"))
+
+
+@query("""SELECT DISTINCT id, sha256('{"id":"' || id || '","kind":"' || kind || '","unitId":"' || unitId || '"}') AS hash FROM aliases""")
+def record_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "aliases").select("id", hashing.struct_hash("unitId", "id", "kind").alias("hash")).distinct()
+
+
+@query("""SELECT DISTINCT left(sha256(concat_ws(chr(31), runId, lower(trim(sourceUnitId)), disposition)), 32) AS action, CASE WHEN confidence = 'high' THEN 1 ELSE 0 END AS sure FROM decisions WHERE disposition <> 'keep'""")
+def derived_ids(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").where("disposition <> 'keep'")
+    return rows.select(hashing.derived_id("runId", norm_id("sourceUnitId"), "disposition").alias("action"), F.when(F.col("confidence") == "high", 1).otherwise(0).alias("sure")).distinct()
+
+
+@query("""SELECT lower(trim(sourceUnitId)) AS source, count(DISTINCT u) AS units FROM (SELECT sourceUnitId, lower(trim(unnest(list_concat([c.unitId FOR c IN coalesce(citations, [])], coalesce(evidenceUnitIds, []), [targetUnitId])))) AS u FROM decisions) WHERE u IS NOT NULL GROUP BY 1""")
+def evidence_ids(spark: SparkSession, d: str) -> DataFrame:
+    ids = F.concat(F.coalesce(F.col("citations.unitId"), F.array()), F.coalesce("evidenceUnitIds", F.array()), F.array("targetUnitId"))
+    rows = table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source"), F.explode(ids).alias("u"))
+    return rows.where("u is not null").groupBy("source").agg(F.countDistinct(norm_id("u")).alias("units"))
+
+
+@query("SELECT epoch_us(date_trunc('minute', try_cast(decidedAt AS TIMESTAMPTZ))) AS minute_us, count(*) AS n FROM decisions WHERE try_cast(decidedAt AS TIMESTAMPTZ) IS NOT NULL GROUP BY 1")
+def decisions_per_minute(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "decisions").select(F.date_trunc("minute", instant("decidedAt")).alias("m")).where("m is not null").groupBy(F.unix_micros("m").alias("minute_us")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT lower(trim(id)) AS id, count(*) AS n, count(DISTINCT evidenceHash) AS versions, max(try_cast(details.pageCount AS BIGINT)) AS pages FROM book_evidence GROUP BY 1 HAVING count(*) > 1""")
+def repeated_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "book_evidence").groupBy(norm_id("id").alias("id")).agg(F.count("*").alias("n"), F.countDistinct("evidenceHash").alias("versions"), F.max(F.col("details.pageCount").cast("long")).alias("pages")).where("n > 1")
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
