@@ -17,5 +17,23 @@ SELECT id AS unitId, min(root) AS groupId FROM reach GROUP BY id
 """
 
 
+P3_FOUND = f"""
+WITH RECURSIVE {P1_FOUND.split("RECURSIVE", 1)[1].split("SELECT id AS unitId")[0].rstrip()},
+members AS (SELECT id AS unitId, min(root) AS groupId FROM reach GROUP BY id),
+newest AS (
+  SELECT lower(trim(id)) AS unitId, try_cast(createdAt AS TIMESTAMPTZ) AS made, coalesce(details.pageCount > 0, false) AS pages, regexp_replace(coalesce(details.isbn13, ''), '[\s-]', '', 'g') AS isbn
+  FROM book_evidence QUALIFY row_number() OVER (PARTITION BY lower(trim(id)) ORDER BY try_cast(updatedAt AS TIMESTAMPTZ) DESC NULLS LAST, capturedAt DESC) = 1
+), spoken AS (SELECT lower(trim(unitId)) AS unitId, count(DISTINCT language) AS langs FROM localizations WHERE language <> '' GROUP BY 1),
+merits AS (
+  SELECT groupId, unitId, made, pages::INT AS pages, coalesce(langs, 0) AS langs,
+    (regexp_full_match(isbn, '97[89][0-9]{{10}}') AND list_sum([CAST(substr(isbn, i, 1) AS INT) * CASE WHEN i % 2 = 0 THEN 3 ELSE 1 END FOR i IN range(1, 14) IF regexp_full_match(isbn, '[0-9]{{13}}')]) % 10 = 0)::INT AS isbn
+  FROM members JOIN newest USING (unitId) LEFT JOIN spoken USING (unitId)
+), judged AS (
+  SELECT *, count(*) OVER g AS n, max(isbn) OVER g AS bi, max(pages) OVER g AS bp, max(langs) OVER g AS bl, max(made) OVER g AS bm FROM merits WINDOW g AS (PARTITION BY groupId)
+)
+SELECT groupId, min(unitId) AS unitId FROM judged WHERE n > 1 AND isbn = bi AND pages = bp AND langs = bl AND made = bm GROUP BY groupId HAVING count(*) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND}
