@@ -17,7 +17,7 @@ SELECT id AS unitId, min(root) AS groupId FROM reach GROUP BY id
 """
 
 
-P3_FOUND = f"""
+P3_FOUND = rf"""
 WITH RECURSIVE {P1_FOUND.split("RECURSIVE", 1)[1].split("SELECT id AS unitId")[0].rstrip()},
 members AS (SELECT id AS unitId, min(root) AS groupId FROM reach GROUP BY id),
 newest AS (
