@@ -27,7 +27,7 @@ from codexmill.llm.vectext import BMP, M1, codes, mix, portions
 
 BITS = 20
 THRESHOLD = 12.0  # of the negated score in nats, from which a pair may belong to a garbled segment
-SUSPECT = 26.0  # from which a segment is tried for older encodings
+SUSPECT = 22.0  # from which a segment is tried for older encodings
 STRANGE = 30.0  # from which a pair has no place in an undone text
 JOIN = 12  # characters between two improbable pairs that one segment may bridge
 AROUND = 60  # characters around an improbable part that have to gain with it
@@ -55,6 +55,11 @@ def symbols() -> np.ndarray:
     return out
 
 
+def points(text: str) -> np.ndarray:
+    """A text's code points, those beyond the basic plane as one."""
+    return np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), BMP)
+
+
 def pair_slots(low: np.ndarray) -> np.ndarray:
     s = symbols()[low]
     return (mix(s[:-1] * M1 + s[1:]) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -77,11 +82,11 @@ def counts(corpus: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             slots = np.flatnonzero(table)
             yield pa.RecordBatch.from_pandas(pd.DataFrame({"kind": np.full(len(slots), kind, np.int32), "slot": slots.astype(np.int32), "n": table[slots]}), preserve_index=False)
 
-    summed = corpus.select("text").mapInArrow(count, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toPandas()
+    summed = corpus.select("text").mapInArrow(count, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toArrow()
     ones, pairs = np.zeros(BMP + 1), np.zeros(1 << BITS)
+    kinds, slots, n = (summed[c].to_numpy() for c in ("kind", "slot", "n"))
     for kind, table in ((0, ones), (1, pairs)):
-        own = summed[summed["kind"] == kind]
-        table[own["slot"].to_numpy()] = own["n"].to_numpy()
+        table[slots[kinds == kind]] = n[kinds == kind]
     grouped = np.bincount(symbols().astype(np.int64), weights=ones, minlength=BMP + 1)
     return grouped[symbols().astype(np.int64)], pairs
 
@@ -101,18 +106,18 @@ class Model:
 
     def total(self, text: str) -> float:
         """Summed log probability of a text's pairs."""
-        low = np.minimum(codes([text])[0], BMP)
+        low = points(text)
         return float(self.pair[pair_slots(low)].sum()) if len(low) > 1 else 0.0
 
     def unseen(self, text: str) -> float:
         """The share of a text's characters beyond ASCII that the corpus hardly has."""
-        low = np.minimum(codes([text])[0], BMP)
+        low = points(text)
         low = low[low > 127]
         return float((self.one[low] < self.rare).mean()) if len(low) else 0.0
 
     def odd(self, text: str) -> tuple[int, int]:
         """How many of a text's pairs with a character beyond ASCII are improbable, and how many there are."""
-        low = np.minimum(codes([text])[0], BMP)
+        low = points(text)
         if len(low) < 2:
             return 0, 0
         matters = (low[:-1] > 127) | (low[1:] > 127)
@@ -167,30 +172,40 @@ def undo(text: str, wrong: str, right: str) -> tuple[str, float] | None:
     return made, lost / (len(made) - len(made.encode("ascii", "ignore")))
 
 
-def undo_many(texts: list[str], wrong: str, right: str) -> list[tuple[str, float] | None]:
-    """``undo`` of several texts without line ends, in one go where it can be."""
-    joined = "\n".join(texts)
-    if wrong in WIDE:
-        try:
-            raw = joined.encode(wrong)
-        except UnicodeEncodeError:
-            return [undo(t, wrong, right) for t in texts]
-        strange = None
-    else:
+class Bytes:
+    """The bytes that several texts were read from, if they were read as ``wrong``."""
+
+    def __init__(self, texts: list[str], wrong: str):
+        self.texts, self.wrong, self.raw, self.strange, self.none = texts, wrong, None, None, False
+        joined = "\n".join(texts)
+        if wrong in WIDE:
+            try:
+                self.raw = joined.encode(wrong)
+            except UnicodeEncodeError:
+                pass
+            return
+        known = to_bytes(wrong)
+        if not any(c in known for c in set(joined) if c > "\x7f"):
+            self.none = True
+            return
         made = joined.translate(byte_table(wrong))
-        odd = made.count(chr(0x110))
-        if odd > 0.9 * (len(made) - 2 * len(texts)):
-            return [None] * len(texts)
-        strange = [p.count(chr(0x110)) > 0.1 * len(p) for p in made.split("\n")] if odd else None
-        raw = made.replace(chr(0x110), chr(0xFF)).encode("latin-1")
-    pieces = raw.decode(right, "replace").split("\n")
-    if len(pieces) != len(texts):
-        return [undo(t, wrong, right) for t in texts]
-    out: list[tuple[str, float] | None] = []
-    for k, (p, t) in enumerate(zip(pieces, texts, strict=True)):
-        lost = p.count(LOST)
-        out.append(None if strange and strange[k] or lost > 0.5 * len(p) or p == t or p.isascii() else (p, lost / (len(p) - len(p.encode("ascii", "ignore"))) if lost else 0.0))
-    return out
+        if chr(0x110) in made:
+            self.strange = [p.count(chr(0x110)) > 0.1 * len(p) for p in made.split("\n")]
+            made = made.replace(chr(0x110), chr(0xFF))
+        self.raw = made.encode("latin-1")
+
+    def read(self, right: str) -> list[tuple[str, float] | None]:
+        """``undo`` of each text."""
+        if self.none:
+            return [None] * len(self.texts)
+        pieces = self.raw.decode(right, "replace").split("\n") if self.raw is not None else []
+        if len(pieces) != len(self.texts):
+            return [undo(t, self.wrong, right) for t in self.texts]
+        out: list[tuple[str, float] | None] = []
+        for k, (p, t) in enumerate(zip(pieces, self.texts, strict=True)):
+            lost = p.count(LOST)
+            out.append(None if self.strange and self.strange[k] or lost > 0.5 * len(p) or p == t or p.isascii() else (p, lost / (len(p) - len(p.encode("ascii", "ignore"))) if lost else 0.0))
+        return out
 
 
 def _encoded(ch: str, encoding: str) -> bytes:
@@ -247,7 +262,7 @@ class Inverter:
         """What UTF-8 each run may have been; up to three confusions in a row."""
         out: list[list[tuple[str, float]]] = [[] for _ in runs]
         for wrong in UTF8_READ_AS if runs else ():
-            for k, made in enumerate(undo_many(runs, wrong, "utf-8")):
+            for k, made in enumerate(Bytes(runs, wrong).read("utf-8")):
                 if made and made not in out[k] and (not made[1] or made[1] <= 0.34 and len(runs[k]) > 4):
                     out[k].append(made)
         if depth < 2:
@@ -257,8 +272,8 @@ class Inverter:
                         own += [m for m in more if m not in own]
         return out
 
-    def legacy(self, parts: list[str]) -> tuple[str, str] | None:
-        """The confusion between older encodings whose undoing makes improbable parts probable, if there is one."""
+    def legacy(self, parts: list[str]) -> list[tuple[str, str]]:
+        """The confusions between older encodings whose undoing makes improbable parts probable, best first."""
         total, good = np.zeros(len(LEGACY)), np.zeros(len(LEGACY), int)
         if len(self.parts) > 100_000:
             self.parts.clear()
@@ -268,13 +283,14 @@ class Inverter:
             total += gain
             good += changed
         total[(good < 3) & (total < 18) | (good == 0)] = 0
-        k = int(total.argmax())
-        return LEGACY[k] if total[k] > 12 else None
+        return [LEGACY[k] for k in np.argsort(-total) if total[k] > 12]
 
     def holds(self, text: str, spots: list[tuple[int, int]], way: tuple[str, str]) -> bool:
-        """Whether undoing everything around the improbable parts gains too: sound text would be spoiled by it."""
-        total, last = 0.0, 0
+        """Whether undoing everything around improbable parts gains too: sound text would be spoiled by it."""
+        total, gain, last = 0.0, 0.0, 0
         for a, b in spots:
+            if a - AROUND > last:
+                total, gain = total + gain * (gain > 6), 0.0
             for m in MIXED.finditer(text, max(last, a - AROUND), min(len(text), b + AROUND)):
                 last = m.end()
                 x, y = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
@@ -282,8 +298,8 @@ class Inverter:
                 if made is None or made[1] > 0.1:
                     continue
                 bad, pairs = self.model.odd(made[0])
-                total += -5.0 if bad > 0.15 * pairs else self.model.total(x + made[0] + y) - self.model.total(x + m.group() + y)
-        return total > 12
+                gain += -5.0 if bad > 0.15 * pairs else self.model.total(x + made[0] + y) - self.model.total(x + m.group() + y)
+        return total + gain * (gain > 6) > 12
 
     def profile(self, parts: list[str]) -> None:
         """What each confusion's undoing of each part gains, and how many characters it yields; 0 where it yields strange pairs."""
@@ -293,8 +309,9 @@ class Inverter:
         cores = [p.strip() for p in parts]
         for p in parts:
             self.parts[p] = (np.zeros(len(LEGACY)), np.zeros(len(LEGACY), int))
+        raw = {wrong: Bytes(cores, wrong) for wrong in {w for w, _ in LEGACY}}
         for k, (wrong, right) in enumerate(LEGACY):
-            for p, core, start, made in zip(parts, cores, before, undo_many(cores, wrong, right), strict=True):
+            for p, start, made in zip(parts, before, raw[wrong].read(right), strict=True):
                 if made is None or made[1] > 0.1:
                     continue
                 gain = self.model.total(p[: len(p) - len(p.lstrip())] + made[0] + p[len(p.rstrip()) :]) - start
@@ -343,7 +360,8 @@ def repair(text: str, inverter: Inverter, score: np.ndarray) -> tuple[bool, str]
         # a letter beside a part counts as any letter does, so the part is soon met again
         x, y = (t if t in "aA0 " or not t.isalnum() else "0" if t.isdigit() else "A" if t.isupper() else "a" for t in (text[a - 1 : a] if a else "", text[b : b + 1]))
         parts.append(x + text[a:b] + y)
-    if spots and (way := inverter.legacy(parts)) and inverter.holds(text, spots, way):
+    way = next((w for w in inverter.legacy(parts) if inverter.holds(text, spots, w)), None) if spots else None
+    if way:
         pieces, last = [], 0
         for a, b in spots:
             made = undo(text[a:b], *way)
@@ -376,8 +394,12 @@ def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", re
                 if len(low) < 2:
                     continue
                 score = np.full(len(low), -THRESHOLD, np.float32)
-                matters = np.flatnonzero((low[:-1] > 127) | (low[1:] > 127))
+                beyond = low > 127
+                matters = np.flatnonzero(beyond[:-1] | beyond[1:])
                 score[matters] = model.one[low[matters]] + model.one[low[matters + 1]] - 3 * model.pair[(mix(symbols()[low[matters]] * M1 + symbols()[low[matters + 1]]) >> np.uint64(64 - BITS)).astype(np.int64)] - THRESHOLD
+                # a character beyond ASCII by itself is hardly ever a piece of UTF-8, so it has to be stranger
+                alone = ~(beyond[matters] & beyond[matters + 1]) & (low[matters] != ord(LOST)) & (low[matters + 1] != ord(LOST))
+                score[matters[alone & (score[matters] <= SUSPECT - THRESHOLD)]] = -THRESHOLD
                 odd = np.unique(np.searchsorted(at, np.flatnonzero(score > 0), "right") - 1)
                 for i in odd:
                     own = texts[part.start + i]
