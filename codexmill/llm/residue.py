@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.neardup import leaves_udf, newest
+from codexmill.llm.neardup import leaves_udf
 from codexmill.llm.vectext import BMP, M1, codes, mix, portions, tables
 
 ORDERS = (6, 4, 3, 2)
@@ -28,6 +28,8 @@ DROP = 14.0  # fall of the running score that ends a window
 STRONG = 48.0  # score of a window that is more than a mention
 CLEAR = 16.0  # score of a window that stands apart from the text around it
 WHOLE = 9.0  # score of windows that cover a text, or of one that holds the marks of a template
+DENSE = 0.6  # score for each character of a text that windows cover
+SHORT = 5.5  # score of windows that cover a text to its ends
 COVER = 0.5  # share of a text that residue has to cover
 LEAST = 4.5  # score of a window
 SPAN = 24  # characters in which a window gains its first LEAST
@@ -78,11 +80,20 @@ def phrases() -> list[str]:
 
 
 def grams(low: np.ndarray, order: int) -> np.ndarray:
-    """Slots of the n-grams of a folded text; the n-gram that begins at each place."""
+    """Hash of the n-gram that begins at each place of a folded text."""
     h = np.zeros(len(low) - order + 1, np.uint64)
     for k in range(order):
         h = h * M1 + low[k : len(low) - order + 1 + k] + np.uint64(1)
-    return (mix(h) >> np.uint64(64 - BITS)).astype(np.int64)
+    return mix(h)
+
+
+def slots(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def marks(h: np.ndarray) -> np.ndarray:
+    """A second hash of 16 bits, by which an n-gram in a slot is told from another."""
+    return h.astype(np.uint16)
 
 
 def folded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,28 +109,40 @@ def tally(texts: list[str]) -> np.ndarray:
         low, _ = folded([t + "\n" for t in texts[part]])
         for k, n in enumerate(ORDERS):
             if len(low) >= n:
-                out[k] += np.bincount(grams(low, n), minlength=1 << BITS)
+                out[k] += np.bincount(slots(grams(low, n)), minlength=1 << BITS)
     return out
 
 
 @lru_cache(maxsize=1)
-def residue_counts() -> np.ndarray:
-    """Counts of the phrases; the markup of placeholders weighs as much as the rest."""
+def residue_counts() -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the n-grams of the phrases, and the mark of the n-gram in each slot."""
     known = phrases()
-    return tally(known)
+    which = np.zeros((len(ORDERS), 1 << BITS), np.uint16)
+    low, at = folded([t + "\n" for t in known])
+    room = np.repeat(at[1:], np.diff(at)) - np.arange(len(low))
+    for k, n in enumerate(ORDERS):
+        h = grams(low, n)[room[: len(low) - n + 1] >= n]
+        which[k][slots(h)] = marks(h)
+    return tally(known), which
 
 
 def prose_counts(texts: DataFrame) -> np.ndarray:
-    """Counts of all texts in the column ``text``."""
+    """Counts of all texts in the column ``text``; a text that recurs in a partition of the input counts once in it.
+
+    So a filler that a large part of all rows carry doesn't pass for prose.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(ORDERS), 1 << BITS), np.int64)
+        seen: set[int] = set()  # a hash for each text of one partition of the input
         for batch in batches:
-            table += tally(batch.column(0).to_pylist())
+            new = {hash(t): t for t in batch.column(0).to_pylist()}
+            table += tally([t for h, t in new.items() if h not in seen])
+            seen.update(new)
         order, slots = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(order, pa.int32()), pa.array(slots, pa.int32()), pa.array(table[order, slots], pa.int64())], names=["o", "slot", "n"])
 
-    summed = texts.select("text").mapInArrow(count, "o int, slot int, n long").groupBy("o", "slot").agg(F.sum("n").alias("n")).toPandas()
+    summed = texts.select("text").mapInArrow(count, "o int, slot int, n long").groupBy("o", "slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((len(ORDERS), 1 << BITS), np.int64)
     table[summed["o"].to_numpy(), summed["slot"].to_numpy()] = summed["n"].to_numpy()
     return table
@@ -128,23 +151,30 @@ def prose_counts(texts: DataFrame) -> np.ndarray:
 class Ratio:
     """Log likelihood ratios, residue against prose, as float32 tables of fixed size."""
 
-    def __init__(self, residue: np.ndarray, prose: np.ndarray):
-        self.tables, self.seen = [], []
-        for r, q in zip(residue, prose, strict=True):
-            x = np.log((r / max(1, r.sum()) + 3e-6) / (q / max(1, q.sum()) + 3e-6)).clip(-4, 4)
-            self.tables.append(np.where((r == 0) & (q == 0), -0.7, x).astype(np.float32))
-            self.seen.append((r > 0) | (q > max(2, 2e-7 * q.sum())))
-
-    def places(self, low: np.ndarray) -> np.ndarray:
-        """The ratio at each place, of the longest n-gram there that either model knows."""
+    def __init__(self, residue: tuple[np.ndarray, np.ndarray], prose: np.ndarray):
+        self.hit, self.miss, self.frequent, self.which = [], [], [], residue[1]
+        for r, q in zip(residue[0], prose, strict=True):
+            # what stands in one text or two is no wording of prose; residue itself is part of the corpus
+            q = np.maximum(q - 2, 0)
+            p = q / max(1, q.sum()) + 3e-6
+            self.hit.append(np.log((r / max(1, r.sum()) + 3e-6) / p).clip(-4, 4).astype(np.float32))
+            self.miss.append(np.log(3e-6 / p).clip(-4, -0.7).astype(np.float32))
+            # slots are shared by rare n-grams, so only a frequent one is known from prose
+            self.frequent.append(q > 1.5e-5 * q.sum())
+
+    def places(self, low: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The ratio at each place, of the longest n-gram there that either model knows; n-grams don't cross texts."""
         out = np.full(len(low), -0.7, np.float32)
         done = np.zeros(len(low), bool)
+        room = np.repeat(at[1:], np.diff(at)) - np.arange(len(low))
         for k, n in enumerate(ORDERS):
             if len(low) < n:
                 continue
-            g = grams(low, n)
-            take = ~done[: len(g)] & (self.seen[k][g] if n > 2 else True)
-            out[: len(g)][take] = self.tables[k][g[take]]
+            h = grams(low, n)
+            g = slots(h)
+            own = self.which[k][g] == marks(h)
+            take = ~done[: len(g)] & (room[: len(g)] >= n) & (own | self.frequent[k][g])
+            out[: len(g)][take] = np.where(own, self.hit[k][g], self.miss[k][g])[take]
             done[: len(g)] |= take
         return out
 
@@ -188,8 +218,8 @@ def judge(text: str, x: np.ndarray) -> list[tuple[int, int, float]]:
     found = windows(x)
     size = len(text.strip())
     score = sum(w[2] for w in found)
-    whole = sum(min(b + 2, len(text)) - a for a, b, _ in found) >= COVER * size
-    if found and whole and (score >= WHOLE or marked(text)):
+    covered = sum(min(b + 2, len(text)) - a for a, b, _ in found)
+    if found and covered >= COVER * size and (score >= max(WHOLE, DENSE * size) or marked(text) or covered >= 0.95 * size and score >= SHORT):
         return found
     return [w for w in found if w[2] >= STRONG or w[2] >= CLEAR and set_apart(text, w[0], w[1]) or w[2] >= WHOLE and marked(text[max(0, w[0] - 2) : w[1] + 2])]
 
@@ -217,37 +247,44 @@ def residue_ids(localizations: DataFrame) -> DataFrame:
 
 
 def fields(localizations: DataFrame) -> DataFrame:
-    """(locId, field, text) of the titles, summaries and description texts of the last deliveries."""
-    rows = newest(localizations)
+    """(locId, late, field, text) of the titles, summaries and description texts of all deliveries."""
+    late = F.struct("capturedAt", "updatedAt").alias("late")
     each = F.create_map(F.lit("title"), "title", F.lit("summary"), "summary", F.lit("description"), leaves_udf("description"))
-    return rows.select("locId", F.explode(each).alias("field", "text")).where("text <> ''")
+    return localizations.where("locId is not null").select("locId", late, F.explode(each).alias("field", "text")).where("text <> ''")
 
 
 def residue(localizations: DataFrame) -> DataFrame:
     """(locId, field, begin, end, score): windows of residue in the texts of localizations.
 
     Null and empty texts hold none; repeated deliveries count once, by their
-    last. Texts are read whole, whatever their length.
+    last. Texts are read whole, whatever their length. Each delivery is judged
+    where it lies; only its findings are then held against the time of the
+    localization's last delivery, so that no text is ever shuffled.
     """
     spark = localizations.sparkSession
     texts = fields(localizations)
-    model = Ratio(residue_counts(), prose_counts(texts.select("text").distinct()))
+    model = Ratio(residue_counts(), prose_counts(texts.select("text")))
     send = spark.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = send.value
         for batch in batches:
-            ids, names, rows = (batch.column(i).to_pylist() for i in range(3))
+            ids, names, rows = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            at_late = batch.column(1)
             out = []
             for part in portions(rows):
                 low, at = folded([t + "\n" for t in rows[part]])
-                x = ratio.places(low)
+                x = ratio.places(low, at)
                 y = np.concatenate([np.zeros(SPAN), np.cumsum(np.maximum(x, 0), dtype=np.float64)])
                 rises = np.maximum.reduceat(y[SPAN:] - y[:-SPAN], at[:-1])
                 for k in np.flatnonzero(rises >= LEAST):
                     i = part.start + k
-                    out += [(ids[i], names[i], a, b, s) for a, b, s in judge(rows[i], x[at[k] : at[k + 1] - 1])]
-            cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64()), strict=True)], names=["locId", "field", "begin", "end", "score"])
-
-    return texts.mapInArrow(scan, "locId long, field string, begin int, end int, score double")
+                    out += [(i, ids[i], names[i], a, b, s) for a, b, s in judge(rows[i], x[at[k] : at[k + 1] - 1])]
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            found = [pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([found[0], at_late.take(pa.array(cols[0], pa.int32())), *found[1:]], names=["locId", "late", "field", "begin", "end", "score"])
+
+    late = texts.schema["late"].dataType.simpleString()
+    found = texts.mapInArrow(scan, f"locId long, late {late}, field string, begin int, end int, score double")
+    last = localizations.where("locId is not null").groupBy("locId").agg(F.max(F.struct("capturedAt", "updatedAt")).alias("last"))
+    return found.join(last, "locId").where("late <=> last").drop("late", "last").distinct()
