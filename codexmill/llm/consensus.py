@@ -221,3 +221,29 @@ def clear_survivors(groups: DataFrame, books: DataFrame, localizations: DataFram
     """
     judged = survivors(groups, books, localizations)
     return judged.where("distance = 0").groupBy("groupId").agg(F.count("*").alias("n"), F.min("unitId").alias("unitId")).where("n = 1").select("groupId", "unitId")
+
+
+def surviving_values(groups: DataFrame, books: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(groupId, field, value, distance): for each group and field of a book, the existing value closest to the group's consensus.
+
+    Unusable values have no vote: an isbn13 with a wrong check digit, a page
+    count that isn't positive. Of values at one distance the one that more rows
+    carry wins, then the greater. A field without a usable value has no row.
+    """
+    rows = books.select(
+        norm_id("id").alias("unitId"),
+        F.when(usable_isbn("details.isbn13"), F.regexp_replace("details.isbn13", r"[^0-9]", "")).alias("isbn13"),
+        F.when(F.col("details.pageCount") > 0, F.col("details.pageCount").cast("string")).alias("pageCount"),
+        F.when(F.trim("details.publicationDate") != "", F.trim("details.publicationDate")).alias("publicationDate"),
+        F.when(F.trim("details.releaseStatus") != "", F.trim("details.releaseStatus")).alias("releaseStatus"),
+    ).distinct()
+    names = ("isbn13", "pageCount", "publicationDate", "releaseStatus")
+    each = F.explode(F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])).alias("field", "value")
+    values = groups.select("groupId", "unitId").join(rows, "unitId").select("groupId", "unitId", each).where("value is not null")
+    tokens = F.when(F.col("field") == "publicationDate", F.split("value", "-")).otherwise(F.array("value"))
+    typed = values.select(F.concat_ws("|", "groupId", "field").alias("group"), F.concat_ws("|", "unitId", "value").alias("unit"), "value", tokens.alias("tokens"))
+    voted = typed.select("group", "unit", "tokens", F.transform("tokens", lambda t: F.lit(0.0)).alias("merits"), F.lit(1.0).alias("weight"))
+    judged = consensus(voted, chunk)
+    per = judged.groupBy("group", "distance", F.substring_index("unit", "|", -1).alias("value")).agg(F.count("*").alias("n"))
+    best = per.groupBy("group").agg(F.max_by(F.struct("value", "distance"), F.struct(-F.col("distance"), F.col("n"), F.col("value"))).alias("x"))
+    return best.select(F.substring_index("group", "|", 1).alias("groupId"), F.substring_index("group", "|", -1).alias("field"), "x.value", "x.distance")

@@ -22,6 +22,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return consensus.clear_survivors(groups, table(spark, d, "book_evidence"), table(spark, d, "localizations"))
 
 
+def p3_values(spark: SparkSession, d: str) -> DataFrame:
+    groups = components.merge_groups(table(spark, d, "decisions"))
+    return consensus.surviving_values(groups, table(spark, d, "book_evidence"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return names.same_entities(table(spark, d, "attributions"))
 
@@ -61,4 +66,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p7_found, p8_containers, p9_found, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_values, p4_found, p5_found, p6_found, p7_found, p8_containers, p9_found, p10_found, p10_restored)}

@@ -84,3 +84,11 @@ def test_clear_survivors(spark):
     loc = spark.createDataFrame([("a", "zh", 1), ("a", "", 2), ("b", None, 3)], "unitId string, language string, locId long")
     got = [tuple(r) for r in consensus.clear_survivors(groups, spark.createDataFrame(rows, book), loc).collect()]
     assert got == [("g", "a")]
+
+
+def test_surviving_values(spark):
+    groups = spark.createDataFrame([(u, "g") for u in "abcd"], "unitId string, groupId string")
+    fields = "id string, details struct<isbn13:string,pageCount:int,publicationDate:string,releaseStatus:string>"
+    rows = [("a", ("978-0-306-40615-7", 10, "2020-01-02", None)), ("b", ("9780306406157", 10, "2020-01-03", " ")), ("c", ("9780306406158", -1, "2020-01-02", None)), ("d", None)]
+    got = {r["field"]: r["value"] for r in consensus.surviving_values(groups, spark.createDataFrame(rows + rows[:1], fields)).collect()}
+    assert got == {"isbn13": "9780306406157", "pageCount": "10", "publicationDate": "2020-01-02"}

@@ -56,6 +56,7 @@ def test_residue(spark, clash):
     rows = [(100 + i, f"u{i}", "en", f"The {w.split()[0]}", w, None) for i, w in enumerate(prose)]
     bad = ["{{title}}", "Lorem ipsum dolor sit amet, consectetur adipiscing elit", "Please enable JavaScript to view this content.", "404 Not Found", prose[0] + " ${book.title} " + prose[1], "页面不存在或已被删除（错误码：404）"]
     rows += [(i, "b", "en", None, t, None) for i, t in enumerate(bad)]
+    rows += [(60 + i, "m", "en", None, prose[10 + i] + f" The keeper of bridge {i} teaches JavaScript in room 404 when snow covers the road. " + prose[20 + i], None) for i in range(8)]
     rows += [(50, "m", "en", None, prose[2] + " In room 404 the keeper teaches JavaScript under the bridge. " + prose[3], None), (51, None, None, None, None, None), (52, "e", "", "", "", ""), (53, "l", "en", None, prose[4] * 40, None)]
     rows += rows[-3:]
     got = {r["locId"] for r in residue.residue_ids(clash(loc(spark, rows))).collect()}
