@@ -109,6 +109,16 @@ class Model:
         low = points(text)
         return float(self.pair[pair_slots(low)].sum()) if len(low) > 1 else 0.0
 
+    def totals(self, texts: list[str]) -> np.ndarray:
+        """``total`` of texts without line ends, all at once."""
+        low = points("\n".join(texts))
+        if len(low) < 2:
+            return np.zeros(len(texts))
+        ends = low == 10
+        p = np.where(ends[:-1] | ends[1:], np.float32(0), self.pair[pair_slots(low)])
+        starts = np.append(0, np.flatnonzero(ends) + 1)
+        return np.diff(np.append(0.0, np.cumsum(p, dtype=np.float64)[np.append(starts[1:] - 1, len(low) - 1) - 1]))
+
     def unseen(self, text: str) -> float:
         """The share of a text's characters beyond ASCII that the corpus hardly has."""
         low = points(text)
@@ -305,22 +315,25 @@ class Inverter:
         """What each confusion's undoing of each part gains, and how many characters it yields; 0 where it yields strange pairs."""
         if not parts:
             return
-        before = [self.model.total(p) for p in parts]
+        before = self.model.totals(parts)
         cores = [p.strip() for p in parts]
         for p in parts:
             self.parts[p] = (np.zeros(len(LEGACY)), np.zeros(len(LEGACY), int))
         raw = {wrong: Bytes(cores, wrong) for wrong in {w for w, _ in LEGACY}}
         for k, (wrong, right) in enumerate(LEGACY):
-            for p, start, made in zip(parts, before, raw[wrong].read(right), strict=True):
-                if made is None or made[1] > 0.1:
-                    continue
-                gain = self.model.total(p[: len(p) - len(p.lstrip())] + made[0] + p[len(p.rstrip()) :]) - start
-                if gain <= 3:
-                    continue
-                bad, pairs = self.model.odd(made[0])
+            if raw[wrong].none:
+                continue
+            sound = [(i, m[0]) for i, m in enumerate(raw[wrong].read(right)) if m and m[1] <= 0.1 and "\n" not in m[0]]
+            if not sound:
+                continue
+            texts = [parts[i][: len(parts[i]) - len(parts[i].lstrip())] + m + parts[i][len(parts[i].rstrip()) :] for i, m in sound]
+            gains = self.model.totals(texts) - before[[i for i, _ in sound]]
+            for j in np.flatnonzero(gains > 3):
+                i, made = sound[j]
+                bad, pairs = self.model.odd(made)
                 if bad <= 0.15 * pairs:
-                    gains, changed = self.parts[p]
-                    gains[k], changed[k] = gain, len(made[0]) - len(made[0].encode("ascii", "ignore"))
+                    gain, changed = self.parts[parts[i]]
+                    gain[k], changed[k] = gains[j], len(made) - len(made.encode("ascii", "ignore"))
 
 
 BEYOND = re.compile(r"[^\x00-\x7f]+")
@@ -359,7 +372,7 @@ def repair(text: str, inverter: Inverter, score: np.ndarray) -> tuple[bool, str]
     for a, b in spots:
         # a letter beside a part counts as any letter does, so the part is soon met again
         x, y = (t if t in "aA0 " or not t.isalnum() else "0" if t.isdigit() else "A" if t.isupper() else "a" for t in (text[a - 1 : a] if a else "", text[b : b + 1]))
-        parts.append(x + text[a:b] + y)
+        parts.append(x.replace("\n", " ") + text[a:b] + y.replace("\n", " "))
     way = next((w for w in inverter.legacy(parts) if inverter.holds(text, spots, w)), None) if spots else None
     if way:
         pieces, last = [], 0
