@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_WRITTEN: dict[str, set[str]] = {}
 
 
 def local_session(app: str = "codexmill", cores: int = 8, memory: str = "8g") -> SparkSession:
@@ -53,13 +54,23 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`written` that nothing needs any more."""
-    jvm = spark.sparkContext._jvm
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, name)
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Delete all tables made by :func:`written`, once the results that read them are stored elsewhere."""
+    for name in _WRITTEN.pop(spark.sparkContext.applicationId, set()):
+        _delete(spark, name)

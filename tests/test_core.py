@@ -262,3 +262,18 @@ def test_profile(spark):
     with pytest.raises(AssertionError):
         profile.bounded(spark.range(3).crossJoin(spark.range(3).withColumnRenamed("id", "x")))
     assert profile.probe(df)["rows"] == 2
+
+
+def test_written_tables_are_read_back_and_cleared(spark):
+    from codexmill.session import clear_written, drop_written, written
+
+    a, b = written(spark.range(5)), written(spark.range(0))
+    assert a.count() == 5 and b.count() == 0 and "file" in a.inputFiles()[0]
+    drop_written(spark, a)
+    drop_written(spark, b)
+    c = written(spark.range(3))
+    files = c.inputFiles()
+    clear_written(spark)
+    from pathlib import Path
+
+    assert not Path(files[0].replace("file://", "")).exists()
