@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,11 +109,11 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         slots, counts = np.append(at, -1), np.append(table[at], n)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts, pa.int64())], names=["slot", "n"])
 
-    summed = texts.select("form").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    summed = texts.select("form").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slots, n = summed["slot"].to_numpy(), summed["n"].to_numpy()
     table = np.zeros(1 << IDF_BITS)
-    own = summed[summed["slot"] >= 0]
-    table[own["slot"].to_numpy()] = own["n"].to_numpy()
-    return table, int(summed["n"][summed["slot"] < 0].sum())
+    table[slots[slots >= 0]] = n[slots >= 0]
+    return table, int(n[slots < 0].sum())
 
 
 class Sampler:
@@ -139,17 +139,23 @@ class Sampler:
             return out
         starts = first[full]
         sizes = np.diff(np.append(starts, len(h)))
+        mixed = h ^ (h >> np.uint64(31))
+        owners = np.repeat(np.arange(len(starts)), sizes)
         for k in range(len(self.r)):
-            at = ((h ^ (h >> np.uint64(31))) * self.odd[k] >> np.uint64(52)).astype(np.int64)
-            r, b = self.r[k][at], self.b[k][at]
-            t = np.floor(log_w / r + b)
-            a = self.c[k][at] - r * (t - b + 1)
-            least = np.minimum.reduceat(a, starts)
-            pick = np.flatnonzero(a == np.repeat(least, sizes))
-            owner = np.searchsorted(starts, pick, "right") - 1
-            lone = np.append(True, owner[1:] != owner[:-1])
-            pick, owner = pick[lone], owner[lone]
-            out[k, full[owner]] = mix(h[pick] + t[pick].astype(np.int64).astype(np.uint64) * M1)
+            at = (mixed * self.odd[k] >> np.uint64(52)).view(np.int64)
+            r, b = self.r[k].take(at), self.b[k].take(at)
+            t = log_w / r
+            t += b
+            np.floor(t, out=t)
+            b -= t
+            b -= 1
+            b *= r
+            b += self.c[k].take(at)
+            least = np.minimum.reduceat(b, starts)
+            pick = np.flatnonzero(b == least.take(owners))
+            # of equal values the first counts; assigning backwards leaves it
+            pick = pick[::-1]
+            out[k, full[owners[pick]]] = mix(h[pick] + t[pick].astype(np.int64).view(np.uint64) * M1)
         return out
 
     def bands(self, samples: np.ndarray) -> np.ndarray:
@@ -189,28 +195,35 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
                         pa.array([fields[part.start + i] for i in n], pa.int32()),
                         pa.array([keys[part.start + i] for i in n], pa.binary()),
                         pa.array([bands[:, i] for i in n], pa.list_(pa.int64())),
-                        pa.array([h[first[i] : first[i + 1]].tobytes() for i in n], pa.binary()),
-                        pa.array([w[first[i] : first[i + 1]].tobytes() for i in n], pa.binary()),
                     ],
-                    names=["field", "key", "bands", "h", "w"],
+                    names=["field", "key", "bands"],
                 )
 
-    sampled = written(texts.select("field", "key", "form").mapInArrow(sample, "field int, key binary, bands array<long>, h binary, w binary"), "sampled")
-    entries = sampled.select("field", "key", F.explode("bands").alias("band"))
-    shared = entries.groupBy("field", "band").agg(F.count("*").alias("n")).where("n > 1").select("field", "band")
-    entries = entries.join(shared, ["field", "band"], "left_semi")
-    pairs = entries.select("field", "band", F.col("key").alias("a")).join(entries.select("field", "band", F.col("key").alias("b")), ["field", "band"]).where("a < b").select("field", "a", "b").distinct()
-    sets = sampled.select("field", "key", "h", "w")
-    both = pairs.join(sets.toDF("field", "a", "ha", "wa"), ["field", "a"]).join(sets.toDF("field", "b", "hb", "wb"), ["field", "b"])
+    sampled = texts.select("field", "key", "form").mapInArrow(sample, "field int, key binary, bands array<long>")
+    # one shuffle by band serves the count and both sides of the join
+    entries = written(sampled, "sampled").select("field", "key", F.explode("bands").alias("band")).repartition("field", "band")
+    shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("field", "band"))).where("n > 1").drop("n")
+    pairs = written(shared.withColumnRenamed("key", "a").join(shared.withColumnRenamed("key", "b"), ["field", "band"]).where("a < b").select("field", "a", "b").distinct(), "pairs")
+    met = pairs.select("field", F.col("a").alias("key")).union(pairs.select("field", F.col("b").alias("key"))).distinct()
+    forms = texts.select("field", "key", "form").join(met, ["field", "key"], "left_semi")
+    both = pairs.join(forms.toDF("field", "a", "form_a"), ["field", "a"]).join(forms.toDF("field", "b", "form_b"), ["field", "b"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = send.value
         for batch in batches:
-            sets = [[np.frombuffer(x, t) for x in batch.column(i).to_pylist()] for i, t in ((3, np.uint64), (4, np.float32), (5, np.uint64), (6, np.float32))]
-            scores = np.array([jaccard(*x) for x in zip(*sets, strict=True)])
-            keep = pa.array(scores >= similarity)
+            left, right = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            scores = []
+            for part in portions(left):
+                sides = []
+                for rows in (left[part], right[part]):
+                    h, tf, first = features(rows)
+                    sides.append((h, s.weights(h, tf), first))
+                (ha, wa, fa), (hb, wb, fb) = sides
+                scores += [jaccard(ha[fa[i] : fa[i + 1]], wa[fa[i] : fa[i + 1]], hb[fb[i] : fb[i + 1]], wb[fb[i] : fb[i + 1]]) for i in range(len(fa) - 1)]
+            keep = pa.array([x >= similarity for x in scores], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(scores, pa.float64())], names=["field", "a", "b", "similarity"]).filter(keep)
 
-    return both.select("field", "a", "b", "ha", "wa", "hb", "wb").mapInArrow(verify, "field int, a binary, b binary, similarity double")
+    return both.select("field", "a", "b", "form_a", "form_b").mapInArrow(verify, "field int, a binary, b binary, similarity double")
 
 
 def newest(localizations: DataFrame) -> DataFrame:
@@ -228,7 +241,8 @@ def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None,
     rows = newest(localizations)
     if excluded is not None:
         rows = rows.join(excluded.select("locId"), "locId", "left_anti")
-    parts = rows.select("locId", "unit", F.lit(0).alias("field"), F.col("summary").alias("text")).unionByName(rows.select("locId", "unit", F.lit(1).alias("field"), leaves_udf("description").alias("text"))).where("text <> ''")
+    each = F.create_map(F.lit(0), F.col("summary"), F.lit(1), leaves_udf("description"))
+    parts = rows.select("locId", "unit", F.explode(each).alias("field", "text")).where("text <> ''")
     formed = parts.withColumn("form", form_udf("text")).where("form <> ''")
     members = written(formed.select("locId", "unit", "field", F.unhex(F.md5("form")).alias("key"), "form"), "members")
     texts = members.groupBy("field", "key").agg(F.first("form").alias("form"))
