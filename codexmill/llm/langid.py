@@ -12,6 +12,7 @@ contradicts are left out and it is fitted again.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -21,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.neardup import leaves_udf, newest
+from codexmill.llm.neardup import leaves_udf
+from codexmill.llm.vectext import portions
 
 LANGUAGES = ("zh", "ja", "ko", "en", "de", "fr", "es", "ru")
 SAMPLE = 500
@@ -49,13 +51,21 @@ def base_language(label: str | None) -> str | None:
 
 def words(text: str) -> list[str]:
     """Words of a text in lower case; of a run of ideographs and kana, its pairs of neighbours."""
+    return measured_words(text)[0]
+
+
+def measured_words(text: str) -> tuple[list[str], float]:
+    """The words, and how much there is to tell by: letters, ideographs and kana counting for ``LEAST / LEAST_WIDE`` each."""
     out: list[str] = []
+    size = 0.0
     for run in RUNS.findall(text.lower()):
-        if WIDE.match(run):
-            out += [run[i : i + 2] for i in range(len(run) - 1)] or [run]
+        if run[0] >= "\u3040" and WIDE.match(run):
+            size += len(run) * LEAST / LEAST_WIDE
+            out += map("".join, zip(run, run[1:], strict=False)) if len(run) > 1 else [run]
         else:
+            size += len(run)
             out.append(run)
-    return out
+    return out, size
 
 
 def sentences(text: str) -> list[str]:
@@ -69,7 +79,7 @@ class Speaker:
         kept = texts
         for _ in range(2):
             self._fit(kept)
-            kept = [(lang, t) for lang, t in texts if self.tell(t)[0] == lang]
+            kept = [own for own, told in zip(texts, self.tell_many([t for _, t in texts]), strict=True) if told[0] == own[0]]
 
     def _fit(self, texts: list[tuple[str, str]]) -> None:
         self.floor = 1e-6
@@ -107,43 +117,59 @@ class Speaker:
         self.matrix[at] = s
         return at
 
-    def tell(self, text: str) -> tuple[str | None, float]:
-        """(language, lead over the next in nats a word); (None, 0) for a text without words."""
-        found = words(text)
-        if not found:
-            return None, 0.0
+    def tell_many(self, texts: list[str], least: float = 0.0) -> list[tuple[str | None, float]]:
+        """For each text (language, lead over the next in nats a word); (None, 0) for a text without words or with less than ``least`` to tell by."""
         if len(self.rows) > self.fitted + REMEMBERED:
             self.rows = dict(list(self.rows.items())[: self.fitted])
-        rows = self.rows
-        at = [rows[w] if w in rows else self.row(w) for w in found]
-        s = self.matrix[at].mean(axis=0)
-        first, second = np.argsort(s)[::-1][:2]
-        return LANGUAGES[first], float(s[first] - s[second])
+        rows, at, sizes = self.rows, [], []
+        for t in texts:
+            found, size = measured_words(t)
+            if size < least:
+                found = []
+            sizes.append(len(found))
+            at += [rows[w] if w in rows else self.row(w) for w in found]
+        out: list[tuple[str | None, float]] = [(None, 0.0)] * len(texts)
+        full = np.flatnonzero(sizes)
+        if len(full):
+            n = np.array(sizes)[full]
+            s = np.add.reduceat(self.matrix[at], np.cumsum(n) - n, axis=0) / n[:, None]
+            order = np.argsort(s, axis=1)
+            best, next_ = order[:, -1], order[:, -2]
+            leads = s[np.arange(len(full)), best] - s[np.arange(len(full)), next_]
+            for i, k, lead in zip(full.tolist(), best.tolist(), leads.tolist(), strict=True):
+                out[i] = (LANGUAGES[k], lead)
+        return out
 
-
-def long_enough(text: str) -> bool:
-    wide = len(WIDE.findall(text))
-    return wide >= LEAST_WIDE or len("".join(WORD.findall(text))) >= LEAST
+    def tell(self, text: str) -> tuple[str | None, float]:
+        return self.tell_many([text])[0]
 
 
-def segments(text: str, speaker: Speaker) -> list[tuple[str, str, float]]:
-    """(language, part, confidence) of each part of a text, neighbouring sentences of one language together.
+def segments_many(texts: list[str], speaker: Speaker) -> list[list[tuple[str, str, float]]]:
+    """For each text the (language, part, confidence) of its parts, neighbouring sentences of one language together.
 
     Sentences too short to tell go with the part before them.
     """
-    out: list[list] = []
-    for s in sentences(text):
-        lang, lead = speaker.tell(s)
-        if lang is None or lead < MARGIN or not long_enough(s):
-            if out:
-                out[-1][1] += s
-            continue
-        if out and out[-1][0] == lang:
-            out[-1][1] += s
-            out[-1][2].append(lead)
-        else:
-            out.append([lang, s, [lead]])
-    return [(lang, part, 1 - float(np.exp(-np.mean(leads)))) for lang, part, leads in out]
+    split = [sentences(t) for t in texts]
+    told = iter(speaker.tell_many([s for own in split for s in own], LEAST))
+    out = []
+    for own in split:
+        parts: list[list] = []
+        for s in own:
+            lang, lead = next(told)
+            if lang is None or lead < MARGIN:
+                if parts:
+                    parts[-1][1] += s
+            elif parts and parts[-1][0] == lang:
+                parts[-1][1] += s
+                parts[-1][2].append(lead)
+            else:
+                parts.append([lang, s, [lead]])
+        out.append([(lang, part, 1 - math.exp(-sum(leads) / len(leads))) for lang, part, leads in parts])
+    return out
+
+
+def segments(text: str, speaker: Speaker) -> list[tuple[str, str, float]]:
+    return segments_many([text], speaker)[0]
 
 
 def sample(rows: DataFrame, bound: int = SAMPLE) -> list[tuple[str, str]]:
@@ -156,39 +182,46 @@ def sample(rows: DataFrame, bound: int = SAMPLE) -> list[tuple[str, str]]:
         return []
     share = F.create_map(*[F.lit(x) for lang, k in n.items() for x in (lang, min(1.0, bound / k))])
     chosen = labelled.where(F.pmod(F.xxhash64("locId", F.lit(6)), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
-    return [(r["lang"], r["text"]) for r in chosen.orderBy("locId").collect()]
+    return [(r["lang"], r["text"]) for r in chosen.dropDuplicates(["locId"]).orderBy("locId").collect()]
 
 
-def identified(localizations: DataFrame, excluded: DataFrame | None = None, bound: int = SAMPLE) -> DataFrame:
+def identified(localizations: DataFrame, excluded: DataFrame | None = None, bound: int = SAMPLE, parts: bool = True) -> DataFrame:
     """(locId, language, lang, confidence, part): the language of each part of a localization's text.
 
     The text is the summary, or the description's where there is none. Null,
     empty and too short texts have no rows; repeated deliveries count once, by
-    their last; ``excluded`` holds the ``locId`` of those left out.
+    their last; ``excluded`` holds the ``locId`` of those left out. Deliveries
+    are read where they lie and held against the last one after; ``part`` is
+    null unless ``parts`` are wanted.
     """
     spark = localizations.sparkSession
-    rows = newest(localizations)
-    if excluded is not None:
-        rows = rows.join(excluded.select("locId"), "locId", "left_anti")
-    rows = rows.select("locId", "language", F.when(F.length(F.trim("summary")) > 0, F.col("summary")).otherwise(leaves_udf("description")).alias("text")).where("text <> ''")
-    send = spark.sparkContext.broadcast(Speaker(sample(rows, bound)))
+    named = localizations.where("locId is not null")
+    rows = named.select("locId", F.struct("capturedAt", "updatedAt").alias("late"), "language", F.when(F.length(F.trim("summary")) > 0, F.col("summary")).otherwise(leaves_udf("description")).alias("text")).where("text <> ''")
+    send = spark.sparkContext.broadcast(Speaker(sample(named.select("locId", "language", F.col("summary").alias("text")), bound)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speaker = send.value
         for batch in batches:
             out = []
-            for i, label, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if long_enough(text):
-                    out += [(i, label, lang, conf, part) for lang, part, conf in segments(text, speaker)]
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string()), strict=True)], names=["locId", "language", "lang", "confidence", "part"])
-
-    return rows.mapInArrow(scan, "locId long, language string, lang string, confidence double, part string")
+            ids, labels, texts = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            for p in portions(texts, 100_000):
+                told = segments_many(texts[p], speaker)
+                for k, own in enumerate(told, p.start):
+                    out += [(k, ids[k], labels[k], lang, conf, part if parts else None) for lang, part, conf in own]
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            made = [pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays([made[0], batch.column(1).take(pa.array(cols[0], pa.int32())), *made[1:]], names=["locId", "late", "language", "lang", "confidence", "part"])
+
+    late = rows.schema["late"].dataType.simpleString()
+    found = rows.mapInArrow(scan, f"locId long, late {late}, language string, lang string, confidence double, part string")
+    last = named.groupBy("locId").agg(F.max(F.struct("capturedAt", "updatedAt")).alias("last"))
+    found = found.join(last, "locId").where("late <=> last").drop("late", "last").distinct()
+    return found if excluded is None else found.join(excluded.select("locId"), "locId", "left_anti")
 
 
 def mislabelled(localizations: DataFrame, excluded: DataFrame | None = None, bound: int = SAMPLE) -> DataFrame:
     """(locId, lang): languages really present where the label is missing, names another, or the text holds two."""
-    found = identified(localizations, excluded, bound).groupBy("locId").agg(F.first("language").alias("language"), F.collect_set("lang").alias("langs"))
+    found = identified(localizations, excluded, bound, parts=False).groupBy("locId").agg(F.first("language").alias("language"), F.collect_set("lang").alias("langs"))
     named = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
     label = F.element_at(named, F.split(F.lower(F.trim(F.coalesce("language", F.lit("")))), "[-_@.]")[0])
     return found.where((F.size("langs") > 1) | label.isNull() | ~F.array_contains("langs", F.coalesce(label, F.lit("")))).select("locId", F.explode("langs").alias("lang"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from codexmill.llm import canonical, components, consensus, contamination, langid, mojibake, names, neardup, packing, residue
+from codexmill.session import written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,12 +42,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     localizations = table(spark, d, "localizations")
-    return langid.mislabelled(localizations, residue.residue_ids(localizations))
+    return langid.mislabelled(localizations, written(residue.residue_ids(localizations), "residue"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     localizations = table(spark, d, "localizations")
-    return neardup.near_duplicates(localizations, residue.residue_ids(localizations))
+    return neardup.near_duplicates(localizations, written(residue.residue_ids(localizations), "residue"))
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
