@@ -345,18 +345,24 @@ def repair(text: str, inverter: Inverter, score: np.ndarray) -> tuple[bool, str]
     """Whether any part of a text is garbled, and the text with what could be restored."""
     shown = [m.span(2) for m in LITERAL.finditer(text)] if "<" in text else []
     found, out, last, rest = False, [], 0, []
-    parted = segments(score)
-    inverter.learn([m.group() for a, b in parted for m in BEYOND.finditer(text, a, b)])
-    for a, b in parted:
-        if any(x <= a + 1 and b - 1 <= y for x, y in shown):
+    parted = []
+    for a, b in segments(score):
+        if shown and any(x <= a + 1 and b - 1 <= y for x, y in shown):
             continue  # a reader is shown these characters as such
         while a > 0 and text[a - 1] > "\x7f":
             a -= 1
         while b < len(text) and text[b] > "\x7f":
             b += 1
+        if parted and a < parted[-1][1]:
+            a, b = parted[-1][0], max(b, parted.pop()[1])
+        parted.append((a, b, [(m, m.group()) for m in BEYOND.finditer(text, a, b)]))
+    inverter.learn([run for _, _, runs in parted for _, run in runs])
+    readings = inverter.known
+    for a, b, runs in parted:
         hit = False
-        for m in BEYOND.finditer(text, max(a, last), b):
-            run = m.group()
+        for m, run in runs:
+            if not readings[run] and LOST not in run:
+                continue
             made = inverter.run(run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1])
             if made is None and LOST not in run:
                 continue
@@ -406,10 +412,11 @@ def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", re
                 low = np.minimum(raw, BMP)
                 if len(low) < 2:
                     continue
+                signs = symbols()[low]
                 score = np.full(len(low), -THRESHOLD, np.float32)
                 beyond = low > 127
                 matters = np.flatnonzero(beyond[:-1] | beyond[1:])
-                score[matters] = model.one[low[matters]] + model.one[low[matters + 1]] - 3 * model.pair[(mix(symbols()[low[matters]] * M1 + symbols()[low[matters + 1]]) >> np.uint64(64 - BITS)).astype(np.int64)] - THRESHOLD
+                score[matters] = model.one[low[matters]] + model.one[low[matters + 1]] - 3 * model.pair[(mix(signs[matters] * M1 + signs[matters + 1]) >> np.uint64(64 - BITS)).astype(np.int64)] - THRESHOLD
                 # a character beyond ASCII by itself is hardly ever a piece of UTF-8, so it has to be stranger
                 alone = ~(beyond[matters] & beyond[matters + 1]) & (low[matters] != ord(LOST)) & (low[matters + 1] != ord(LOST))
                 score[matters[alone & (score[matters] <= SUSPECT - THRESHOLD)]] = -THRESHOLD
