@@ -33,15 +33,25 @@ BLOCK = 5_000
 BITS = 20
 SHARE = 0.4
 SLACK = 0.08  # of the share, for shingles lost at the ends and to changed words
-# markup that a reader doesn't see: references, tags, comments, hidden link targets
-HIDDEN = re.compile(r"<ref[^>/]*>.*?</ref>|<!--.*?-->|<[^<>]*>|\[\[[^\[\]|]*\|", re.S)
+# a tag is well formed on one line; a reference or comment holds no other opening and no empty line, so that a broken one ends nowhere
+TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:[ \t][^<>\n]*)?/?>"
+TARGET = r"\[\[[^\[\]|\n]*\|"
+MARKS = re.compile(rf"<!--|-->|{TAG}|{TARGET}")
+ASIDE = re.compile(rf"<ref(?:[ \t][^<>\n]*)?(?<!/)>(?:(?!</?ref\b|\n[ \t]*\n).)*</ref>|<!--(?:(?!<!--|-->|\n[ \t]*\n).)*-->|{TAG}|{TARGET}", re.S)
 
 
-def visible(text: str | None) -> str:
-    """Text without references, tags and link targets; null counts as empty."""
+def forms(text: str | None) -> list[str]:
+    """The texts to be searched: as stored, without marks but with what they enclose, and without references and comments.
+
+    No form alone will do: a passage may stand inside a reference, a comment
+    or a link target, and another may have one in its middle. Equal forms
+    come once; null and empty texts have none.
+    """
     if not text:
-        return ""
-    return HIDDEN.sub(" ", text) if "<" in text or "|" in text else text
+        return []
+    if "<" not in text and "-->" not in text and "|" not in text:
+        return [text]
+    return list(dict.fromkeys((text, MARKS.sub(" ", text), ASIDE.sub(" ", text))))
 
 
 class Items:
@@ -73,6 +83,7 @@ class Items:
         self.item = np.repeat(np.arange(len(texts)), [len(s) for s in self.shingles])[order]
         self.place = np.concatenate([np.arange(len(s)) for s in self.shingles] or [np.zeros(0, int)])[order]
         self.maps = {c: bitmap(k) for c, k in self.keys.items() if k is not None}
+        self.map = bitmap(self.flat)
 
 
 def bitmap(keys: np.ndarray) -> np.ndarray:
@@ -98,8 +109,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def candidates(hashes: np.ndarray, fits: np.ndarray, doc: np.ndarray, items: Items) -> np.ndarray:
-    """The documents of a batch with a window that agrees with a segment under some permutation."""
+    """The documents of a batch with a window that agrees with a segment under some permutation.
+
+    Documents that share no shingle with any item can't be verified, and are left out first.
+    """
     x, d = hashes[fits], doc[fits]
+    maybe = np.flatnonzero(items.map[x >> np.uint64(64 - BITS)])
+    maybe = maybe[np.isin(x[maybe], items.flat)]
+    if len(maybe):
+        shares = np.zeros(d[-1] + 1, bool)
+        shares[d[maybe]] = True
+        x, d = x[shares[d]], d[shares[d]]
+    else:
+        x, d = x[:0], d[:0]
     found: list[np.ndarray] = []
     if not len(x):
         return np.zeros(0, np.int64)
@@ -171,8 +193,9 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, item_id, share): documents that hold at least about ``share`` of an item in one stretch.
 
     Null and empty texts leak nothing; an item shorter than one shingle can't be
-    found; repeated items and documents are reported once per id. Other columns
-    are not read. An empty side gives an empty result.
+    found; repeated items and documents are reported once per id. Every form of
+    a document is searched, and the greatest share counts. Other columns are not
+    read. An empty side gives an empty result.
     """
     spark = documents.sparkSession
     corpus = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text <> ''")
@@ -180,13 +203,15 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     found, rows = None, []
 
     def search(held: list) -> DataFrame:
-        send = spark.sparkContext.broadcast(([r[0] for r in held], [visible(r[1]) for r in held]))
+        # what a reference or comment of an item encloses is part of the item
+        sides = [(r[0], t) for r in held for t in forms(r[1])[:2]]
+        send = spark.sparkContext.broadcast(([i for i, _ in sides], [t for _, t in sides]))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Items(*send.value, share=share)
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                texts = [visible(t) for t in batch.column(1).to_pylist()]
+                sides = [(i, t) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for t in forms(text)]
+                ids, texts = [i for i, _ in sides], [t for _, t in sides]
                 out = []
                 for part in portions(texts):
                     tokens = Tokens(texts[part])

@@ -163,6 +163,21 @@ def test_leaks_equal_brute_force(spark, clash):
     assert contamination.leaks(d.limit(0), e).count() == 0 and contamination.leaks(d, e.limit(0)).count() == 0
 
 
+def test_leaks_stand_in_references_comments_and_broken_tags(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    own = [word() for _ in range(40)]
+    item, half, cite = " ".join(own), " ".join(own[:20]), " ".join(word() for _ in range(60))
+    # each word but every third stands before an aside that takes the next shingles apart
+    apart = " ".join(w + ("<ref>" + cite + "</ref>" if i % 2 == 0 else "") for i, w in enumerate(own))
+    filled = " ".join(word() for _ in range(30))
+    docs = [f"{filled} <ref>{item}</ref>", f"{filled} <!-- {item} --> {filled}", f"a <ref>b 云/ref>\n{item}\n{filled}<ref>c</ref>", f"if a < b then\n{item}\nand c > d", f"[[{half}|label]] {filled}", apart, f"{filled} <!-- {apart} -->", f"{filled} <ref>{' '.join(own[:6])}</ref>", filled]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    e = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in contamination.leaks(d, e).collect()} == {0, 1, 2, 3, 4, 5}
+    assert contamination.forms(None) == contamination.forms("") == [] and contamination.forms("a b") == ["a b"]
+
+
 def test_candidates_find_what_exact_search_finds():
     rng = random.Random(6)
     words = [f"w{rng.randint(0, 10**5)}" for _ in range(3000)]
