@@ -31,3 +31,20 @@ def candidates(rows: DataFrame, ident: str, text: str, n: int = 3, budget: int =
     shared = a.join(b, "gram").where("source <> candidate").groupBy("source", "candidate").agg(F.count("*").alias("shared"), F.first("sa").alias("sa"), F.first("sb").alias("sb"))
     scored = shared.select("source", "candidate", (F.col("shared") / (F.col("sa") + F.col("sb") - F.col("shared"))).alias("score"))
     return top_each(scored, ["source"], [F.desc("score"), F.asc("candidate")], most)
+
+
+def one_edit_pairs(rows: DataFrame, text: str) -> DataFrame:
+    """(title, term): all pairs of different texts of two or more characters that are one edit apart, each once, title < term.
+
+    Every text is joined on what is left of it without one character: two
+    texts that leave the same at the same place differ by a substitution, one
+    that is what the other leaves by an insertion. So no pair is missed, and a
+    key pairs nothing but what is found. Null texts take no part.
+    """
+    names = rows.select(F.col(text).alias("title")).where(F.length("title") >= 2).distinct()
+    places = F.sequence(F.lit(1), F.length("title"))
+    left = names.select("title", F.posexplode(F.transform(places, lambda i: F.concat(F.left("title", i - 1), F.substr("title", i + 1)))).alias("place", "rest"))
+    swapped = left.join(left.withColumnRenamed("title", "term"), ["place", "rest"]).where("title < term").select("title", "term")
+    # a run of one character leaves the same at each of its places
+    shorter = left.where("length(rest) >= 2").select("title", "rest").distinct().join(names.select(F.col("title").alias("rest")), "rest")
+    return swapped.unionByName(shorter.select(F.least("title", "rest").alias("title"), F.greatest("title", "rest").alias("term")))

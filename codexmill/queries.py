@@ -298,10 +298,8 @@ def citation_subsets(spark: SparkSession, d: str) -> DataFrame:
 SELECT title, term FROM l JOIN a ON title < term AND substr(title, 1, 4) = substr(term, 1, 4) WHERE ((length(title) = length(term) AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, i, 1) <> substr(term, i, 1)]) = 1)
 OR (length(title) = length(term) + 1 AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, 1, i - 1) || substr(title, i + 1) = term]) > 0) OR (length(term) = length(title) + 1 AND len([i FOR i IN range(1, length(term) + 1) IF substr(term, 1, i - 1) || substr(term, i + 1) = title]) > 0))""")
 def near_misses(spark: SparkSession, d: str) -> DataFrame:
-    """Credited names one edit apart, among those that begin alike."""
-    names = table(spark, d, "attributions").select(F.explode("localizations.title").alias("title")).where("length(title) >= 4").distinct()
-    terms = names.withColumnRenamed("title", "term")
-    return names.join(terms, (F.left("title", F.lit(4)) == F.left("term", F.lit(4))) & (F.col("title") < F.col("term"))).where(text.one_edit("title", "term"))
+    """All pairs of credited names of two or more characters one edit apart; the SQL has only those of four or more that begin alike."""
+    return candidates.one_edit_pairs(table(spark, d, "attributions").select(F.explode("localizations.title").alias("title")), "title")
 
 
 @query("""SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")

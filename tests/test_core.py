@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,23 @@ def test_one_edit(spark):
     assert [r[0] for r in df.select(text.one_edit("a", "b")).collect()] == [False, True, True, False, False, True, None]
 
 
+def test_one_edit_pairs_equal_brute_force(spark):
+    rng = random.Random(9)
+    names = ["".join(rng.choice("ab日") for _ in range(rng.randint(1, 7))) for _ in range(250)] + ["xarper lane", "harper lane", "harperlane", "aab", "ab", None, ""]
+    df = spark.createDataFrame([(t,) for t in names], "t string")
+
+    def apart(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    known = sorted({t for t in names if t and len(t) >= 2})
+    want = [(a, b) for a in known for b in known if a < b and apart(a, b)]
+    assert rows(candidates.one_edit_pairs(df, "t"), "title", "term") == want
+    assert ("harper lane", "xarper lane") in want and ("aab", "ab") in want
+
+
 def test_template_replaces_longest_first(spark):
     u = "01234567-89ab-cdef-0123-456789abcdef"
     df = spark.createDataFrame([(f"{u} has red fox and fox", ["fox", "red fox", ""])], "t string, e array<string>")
