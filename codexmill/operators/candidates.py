@@ -1,36 +1,70 @@
-"""Bounded candidate search by an inverted index of character n-grams."""
+"""Candidate search by an inverted index of character n-grams, and texts one edit apart."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexmill.operators.catalog import top_each
 
 
-def ngrams(c: Column | str, n: int) -> Column:
-    """The distinct n-grams of a text; none for a shorter text."""
+IDEOGRAPHS = r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]"
+
+
+def by_script(c: Column | str, ideographs: int = 2, letters: int = 6) -> Column:
+    """The length of n-grams for a text: shorter where it has ideographs, kana or syllables, of which each says more."""
     c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike(IDEOGRAPHS), F.lit(ideographs)).otherwise(F.lit(letters))
+
+
+def ngrams(c: Column | str, n: int | Column) -> Column:
+    """The distinct n-grams of a text; a shorter text is one by itself, an empty one has none."""
+    c, n = F.col(c) if isinstance(c, str) else c, F.lit(n) if isinstance(n, int) else n
     places = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1)))
-    return F.coalesce(F.array_distinct(F.transform(places, lambda i: F.substr(c, i, F.lit(n)))), F.array().cast("array<string>"))
+    whole = F.when(c != "", F.array(c)).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.array_distinct(F.transform(places, lambda i: F.substr(c, i, n))), whole)
 
 
-def candidates(rows: DataFrame, ident: str, text: str, n: int = 3, budget: int = 50, most: int = 20) -> DataFrame:
+def candidates(rows: DataFrame, ident: str, text: str, n: int | Column = 3, budget: int = 50, most: int = 20) -> DataFrame:
     """(source, candidate, score, rank): the texts most alike to each, by shared n-grams over all of both.
 
-    N-grams that more than ``budget`` texts have say little and are no index
-    entries, which bounds the pairs of each n-gram; they still count in the
-    score's denominator. Ties go to the smaller id. Null texts take no part.
+    Equal texts are compared once. The rarest n-grams of a text, at least one
+    and as many as ``budget`` texts have in all, are looked up first. The score
+    of the last place they fill bounds how many n-grams a better text may lack,
+    so only as many more are looked up (prefix filtering); every pair met is
+    scored by its whole overlap. ``budget`` divides the work between the two
+    rounds and doesn't change the result. Ids are unique; ties go to the
+    smaller id. Null and empty texts take no part.
     """
-    sized = rows.select(F.col(ident).alias("id"), ngrams(text, n).alias("grams")).withColumn("size", F.size("grams"))
-    entries = sized.select("id", "size", F.explode("grams").alias("gram"))
-    kept = entries.groupBy("gram").agg(F.count("*").alias("df")).where(F.col("df").between(2, budget)).select("gram")
-    index = entries.join(kept, "gram")
-    a = index.select("gram", F.col("id").alias("source"), F.col("size").alias("sa"))
-    b = index.select("gram", F.col("id").alias("candidate"), F.col("size").alias("sb"))
-    shared = a.join(b, "gram").where("source <> candidate").groupBy("source", "candidate").agg(F.count("*").alias("shared"), F.first("sa").alias("sa"), F.first("sb").alias("sb"))
-    scored = shared.select("source", "candidate", (F.col("shared") / (F.col("sa") + F.col("sb") - F.col("shared"))).alias("score"))
-    return top_each(scored, ["source"], [F.desc("score"), F.asc("candidate")], most)
+    held = rows.where(F.col(text) != "").select(F.col(ident).alias("id"), F.col(text).alias("t"), F.lit(n).alias("n") if isinstance(n, int) else n.alias("n"))
+    # of equal texts no more ids than there are places, and one for the source itself
+    first = top_each(held.select("t", "id"), ["t"], [F.asc("id")], most + 1).select("t", "id")
+    texts = held.groupBy("t").agg(F.first("n").alias("n")).select("t", ngrams("t", F.col("n")).alias("grams")).withColumn("size", F.size("grams"))
+    entries = texts.select("t", "size", F.explode("grams").alias("gram"))
+    counted = entries.join(entries.groupBy("gram").agg(F.count("*").alias("df")), "gram")
+    rarest = Window.partitionBy("t").orderBy("df", "gram")
+    probes = counted.select("t", "size", "gram", F.row_number().over(rarest).alias("place"), F.sum("df").over(rarest.rowsBetween(Window.unboundedPreceding, 0)).alias("met"))
+    early = (F.col("place") == 1) | (F.col("met") <= budget)
+    index = probes.select("gram", F.col("t").alias("u"), F.col("size").alias("size_u"), F.col("place").alias("place_u"))
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        full = pairs.select("t", "u").distinct().join(texts, "t").join(texts.select(F.col("t").alias("u"), F.col("grams").alias("grams_u"), F.col("size").alias("size_u")), "u")
+        shared = full.select("t", "u", "size", "size_u", F.size(F.array_intersect("grams", "grams_u")).alias("shared"))
+        each = shared.select("t", "u", (F.col("shared") / (F.col("size") + F.col("size_u") - F.col("shared"))).alias("score"))
+        return each.join(first.select(F.col("t").alias("u"), F.col("id").alias("candidate")), "u").select("t", "candidate", "score")
+
+    order = [F.desc("score"), F.asc("candidate")]
+    near = top_each(scored(probes.where(early).join(index, "gram")), ["t"], order, most + 1).select("t", "candidate", "score")
+    least = near.groupBy("t").agg(F.when(F.count("*") > most, F.min("score")).otherwise(0.0).alias("least"))
+    # a text that shares a part ``least`` of this one's n-grams has one of those before the last so many
+    late = probes.where(~early).join(least, "t").where(F.col("place") <= F.col("size") - F.ceil(F.col("least") * F.col("size") - 1e-9) + 1)
+    # after the first n-gram that two texts share, in order of rarity, they share no more than the shorter rest
+    rest = F.least(F.col("size") - F.col("place"), F.col("size_u") - F.col("place_u")) + 1
+    alike = rest >= F.col("least") * (F.col("size") + F.col("size_u") - rest) - 1e-9
+    both = near.unionByName(scored(late.join(index, "gram").where(alike))).distinct()
+    best = top_each(both, ["t"], order, most + 1).select("t", "candidate", "score")
+    found = held.select(F.col("id").alias("source"), "t").join(best, "t").where("source <> candidate").select("source", "candidate", "score")
+    return top_each(found, ["source"], order, most)
 
 
 def one_edit_pairs(rows: DataFrame, text: str) -> DataFrame:

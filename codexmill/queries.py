@@ -176,8 +176,9 @@ p AS (SELECT a.locId AS source, b.locId AS candidate, count(*) AS shared FROM g
 r AS (SELECT source, candidate, shared / (x.size + y.size - shared) AS score FROM p JOIN s x ON x.locId = source JOIN s y ON y.locId = candidate)
 SELECT source, candidate, round(score, 9) AS score, row_number() OVER (PARTITION BY source ORDER BY score DESC, candidate) AS rank FROM r QUALIFY rank <= 5""")
 def candidate_links(spark: SparkSession, d: str) -> DataFrame:
+    """The titles most alike to each; the SQL leaves out n-grams of more than 30 titles, and titles under six characters."""
     rows = table(spark, d, "localizations").where("title is not null").groupBy("locId").agg(F.min(F.lower("title")).alias("t"))
-    return candidates.candidates(rows, "locId", "t", n=6, budget=30, most=5).select("source", "candidate", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return candidates.candidates(rows, "locId", "t", n=candidates.by_script("t"), budget=30, most=5).select("source", "candidate", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @query("""SELECT runId, part, sourceUnitId, disposition FROM decisions QUALIFY row_number() OVER (PARTITION BY runId, part, lower(trim(sourceUnitId)) ORDER BY try_cast(decidedAt AS TIMESTAMPTZ), packetId, disposition, sourceUnitId) = 1""")

@@ -163,6 +163,24 @@ def test_candidates_equal_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("budget", [0, 3, 10**6])
+def test_candidates_with_frequent_ngrams_equal_brute_force(spark, budget):
+    rng = random.Random(10)
+    titles = ["the red fox " + "".join(rng.choice("abc") for _ in range(rng.randint(0, 5))) for _ in range(60)] + ["the old mill"] * 40 + ["重返" + "".join(rng.choice("金书听鹤") for _ in range(3)) for _ in range(30)] + ["fox", "fox", "书", "", None]
+    df = spark.createDataFrame(list(enumerate(titles)), "id int, t string")
+    grams = {}
+    for i, t in enumerate(titles):
+        n = 2 if t and t[-1] > "\u3000" else 6
+        if t:
+            grams[i] = {t[k : k + n] for k in range(len(t) - n + 1)} or {t}
+    want = []
+    for a in grams:
+        scores = sorted((-len(grams[a] & grams[b]) / len(grams[a] | grams[b]), b) for b in grams if a != b and grams[a] & grams[b])
+        want += [(a, b, k, round(-s, 6)) for k, (s, b) in enumerate(scores[:5], 1)]
+    got = candidates.candidates(df, "id", "t", n=candidates.by_script("t"), budget=budget, most=5).collect()
+    assert sorted((r["source"], r["candidate"], r["rank"], round(r["score"], 6)) for r in got) == sorted(want)
+
+
 def test_citations(spark):
     normal = lambda c: F.lower(F.trim(F.col(c)))
     d = spark.createDataFrame([(1, [("u", "title", "Red"), ("u", "title", "blue"), ("v", "title", "")])], "k int, citations array<struct<unitId:string,field:string,excerpt:string>>")
