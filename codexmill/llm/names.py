@@ -345,34 +345,26 @@ def links(attributions: DataFrame) -> DataFrame:
     said = names.where("summary <> ''").select("unit", facts_udf("summary").alias("said")).where("said <> ''").groupBy("unit").agg(F.min("said").alias("said"))
     shaped = titled.select("unit", "title").distinct().join(said, "unit", "left").select("unit", "title", F.coalesce("said", F.lit("")).alias("said"))
     known = written(shaped.mapInArrow(shape, "unit string, parts array<string>, said string, reading string, forms array<string>"), "shaped")
-    entries = written(known.select("unit", F.explode("forms").alias("form")).distinct(), "forms")
+    # units of equal names and saying are judged alike, so the least of them stands for all
+    own = known.groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("parts", "said", "reading"))).alias("names"))
+    least = own.groupBy("names").agg(F.min("unit").alias("least"))
+    own = written(own.join(least, "names").select("unit", "least", "names"), "own")
+    standing = own.where("unit = least").select("unit")
+    entries = written(known.join(standing, "unit", "left_semi").select("unit", F.explode("forms").alias("form"), "said").distinct(), "forms")
     near = near_forms(entries.select("form").distinct()).select("a", "b")
     left, right = entries.select(F.col("unit").alias("ua"), F.col("form").alias("a")), entries.select(F.col("unit").alias("ub"), F.col("form").alias("b"))
-    # equal forms are linked to the least unit of the form only; entities are closed over links
-    equal = entries.join(entries.groupBy("form").agg(F.min("unit").alias("ua")), "form").select("ua", F.col("unit").alias("ub"), "form")
+    # every pair on a form, as one that refuses both may stand between two that fit; where both say something it has to agree
+    # (a swap of neighbours is two plain edits)
+    said_a, said_b = entries.select("form", F.col("unit").alias("ua"), F.col("said").alias("sa")), entries.select("form", F.col("unit").alias("ub"), F.col("said").alias("sb"))
+    agree = (F.col("sa") == "") | (F.col("sb") == "") | (F.levenshtein("sa", "sb", 2) >= 0)
+    equal = said_a.join(said_b, "form").where((F.col("ua") < F.col("ub")) & agree)
     pairs = near.join(left, "a").join(right, "b").select("ua", "ub").unionByName(equal.select("ua", "ub")).where("ua <> ub")
-    pairs = pairs.unionByName(strays(entries, known)).select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
-    own = known.groupBy("unit").agg(F.collect_set(F.struct("parts", "said", "reading")).alias("names"))
-    both = pairs.join(own.toDF("a", "na"), "a").join(own.toDF("b", "nb"), "b")
+    pairs = pairs.unionByName(own.where("unit <> least").select(F.col("least").alias("ua"), F.col("unit").alias("ub"))).select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
+    both = pairs.join(own.select(F.col("unit").alias("a"), F.col("names").alias("na")), "a").join(own.select(F.col("unit").alias("b"), F.col("names").alias("nb")), "b")
     judge = F.pandas_udf(lambda a, b: pd.Series([verdict(list(x), list(y), common.value) for x, y in zip(a, b, strict=True)], dtype="int32"), T.IntegerType())
     return written(both.select("a", "b", judge("na", "nb").alias("sure")).where("sure > 0"), "links")
 
 
-def strays(entries: DataFrame, known: DataFrame) -> DataFrame:
-    """(ua, ub): units that share a form and say the same of place and year, or of which one says nothing.
-
-    The least unit of a form may contradict the others; so each unit of a form
-    is also tied to the least that says the same, and those that say nothing to
-    the least of each saying.
-    """
-    said = known.select("unit", "said").distinct()
-    told = entries.join(said, "unit")
-    per = told.groupBy("form", "said").agg(F.min("unit").alias("ua"))
-    same = told.join(per, ["form", "said"]).select("ua", F.col("unit").alias("ub"))
-    silent = per.where("said = ''").select("form", F.col("ua").alias("ub"))
-    return same.unionByName(per.where("said <> ''").select("form", "ua").join(silent, "form").select("ua", "ub")).where("ua <> ub")
-
-
 def same_entities(attributions: DataFrame) -> DataFrame:
     """(creditedUnitIdA, creditedUnitIdB): all pairs of credited units that are one person or organisation.
 

@@ -54,6 +54,14 @@ def test_same_entities(spark, clash):
     assert names.same_entities(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("place", [None, "Novelist from Makwuford, first published in 1960."])
+def test_every_pair_on_a_form_is_judged(spark, place):
+    people = {"a": ("Walter Harper", None), "b": ("Will Harper", None), "c": ("William Harper", place), "d": ("Will Harper", None), "e": ("Astrid Simlubis", None)}
+    rows = [(u, [("en", t, s)]) for u, (t, s) in people.items()]
+    df = spark.createDataFrame(rows, "creditedUnitId string, localizations array<struct<language:string,title:string,summary:string>>")
+    assert {tuple(r) for r in names.same_entities(df).collect()} == {("b", "c"), ("b", "d"), ("c", "d")}
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_fill_keeps_the_capacity_and_wastes_little(seed):
     rng = random.Random(seed)
