@@ -341,10 +341,10 @@ BEYOND = re.compile(r"[^\x00-\x7f]+")
 MIXED = re.compile(r"[^\x00-\x7f](?:[!-~]?[^\x00-\x7f])*")
 
 
-def repair(text: str, inverter: Inverter, score: np.ndarray) -> tuple[bool, str]:
-    """Whether any part of a text is garbled, and the text with what could be restored."""
+def repair(text: str, inverter: Inverter, score: np.ndarray, restore: bool = True) -> tuple[bool, str]:
+    """Whether any part of a text is garbled, and the text with what could be restored (as far as was looked unless ``restore``)."""
     shown = [m.span(2) for m in LITERAL.finditer(text)] if "<" in text else []
-    found, out, last, rest = False, [], 0, []
+    found, out, marks, last, size, rest = False, [], [], 0, 0, []
     parted = []
     for a, b in segments(score):
         if shown and any(x <= a + 1 and b - 1 <= y for x, y in shown):
@@ -359,35 +359,115 @@ def repair(text: str, inverter: Inverter, score: np.ndarray) -> tuple[bool, str]
     inverter.learn([run for _, _, runs in parted for _, run in runs])
     readings = inverter.known
     for a, b, runs in parted:
-        hit = False
+        begin = a
         for m, run in runs:
             if not readings[run] and LOST not in run:
                 continue
             made = inverter.run(run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1])
             if made is None and LOST not in run:
                 continue
-            hit = found = True
+            found = True
             out += [text[last : m.start()], run if made is None else made]
-            last = m.end()
-        if not hit:
-            rest.append((a, b))
-    if found or not rest:
-        return found, "".join(out) + text[last:]
+            marks += [score[last : m.start()], np.full(len(out[-1]), -THRESHOLD, np.float32)]
+            if begin < m.start():
+                rest.append((begin + size - last, m.start() + size - last))
+            size += len(out[-2]) + len(out[-1])
+            begin = last = m.end()
+        if begin < b:
+            rest.append((begin + size - last, b + size - last))
+    if found and not restore:
+        return True, text
+    text, score = "".join(out) + text[last:], np.concatenate([*marks, score[last:]])
     spots = [m.span() for a, b in rest for m in MIXED.finditer(text, a, b) if score[max(0, m.start() - 1) : m.end()].max(initial=0) > SUSPECT - THRESHOLD]
-    parts = []
-    for a, b in spots:
+    made = older(text, spots, inverter, restore)
+    return found or made is not None, text if made is None else made
+
+
+def older(text: str, spots: list[tuple[int, int]], inverter: Inverter, restore: bool = True) -> str | None:
+    """A text with its confusions between older encodings undone, None where there are none.
+
+    The best confusion of what is left is undone in the clusters of spots that
+    it fits best, and in the runs around them that become no less probable (a
+    single character: clearly more), until none holds any more.
+    """
+
+    def part(a: int, b: int) -> str:
         # a letter beside a part counts as any letter does, so the part is soon met again
         x, y = (t if t in "aA0 " or not t.isalnum() else "0" if t.isdigit() else "A" if t.isupper() else "a" for t in (text[a - 1 : a] if a else "", text[b : b + 1]))
-        parts.append(x.replace("\n", " ") + text[a:b] + y.replace("\n", " "))
-    way = next((w for w in inverter.legacy(parts) if inverter.holds(text, spots, w)), None) if spots else None
-    if way:
-        pieces, last = [], 0
-        for a, b in spots:
-            made = undo(text[a:b], *way)
-            pieces += [text[last:a], made[0] if made and made[1] <= 0.1 else text[a:b]]
-            last = b
-        return True, "".join(pieces) + text[last:]
-    return False, text
+        return x.replace("\n", " ") + text[a:b] + y.replace("\n", " ")
+
+    def undone(a: int, b: int, way: tuple[str, str]) -> str | None:
+        """What a run becomes, None where that is less probable."""
+        made = undo(text[a:b], *way)
+        if made is None or made[1] > 0.1:
+            return None
+        x, y = text[a - 1 : a] if a else "", text[b : b + 1]
+        return made[0] if inverter.model.total(x + made[0] + y) >= inverter.model.total(x + text[a:b] + y) else None
+
+    def sure(a: int, b: int, made: str) -> bool:
+        """Whether a run that isn't strange by itself may be taken for garbled: whole, and a single character with a clear gain."""
+        x, y = text[a - 1 : a] if a else "", text[b : b + 1]
+        if LOST in made or inverter.model.odd(x + made + y)[0] or inverter.model.unseen(made):
+            return False
+        few = sum(c > "\x7f" for c in text[a:b]) < 2
+        return not few or inverter.model.total(x + made + y) - inverter.model.total(x + text[a:b] + y) > 6
+
+    done: dict[tuple[int, int], str] = {}
+    late: dict[tuple[int, int], tuple[str, str]] = {}
+    shown = [m.span(2) for m in LITERAL.finditer(text)] if "<" in text else []
+    left, any_way = spots, False
+    while left:
+        parts = [part(a, b) for a, b in left]
+        way = next((w for w in inverter.legacy(parts) if inverter.holds(text, left, w)), None)
+        if way is None:
+            break
+        any_way = True
+        if not restore:
+            break
+        clusters: list[list[int]] = []
+        for k, (a, _) in enumerate(left):
+            if not clusters or a - left[clusters[-1][-1]][1] > AROUND:
+                clusters.append([])
+            clusters[-1].append(k)
+        at = LEGACY.index(way)
+        gains = [sum(inverter.parts[parts[k]][0] for k in c) for c in clusters]
+        fit = [c for c, g in zip(clusters, gains, strict=True) if g[at] > 0 and g[at] >= g.max()] or [c for c, g in zip(clusters, gains, strict=True) if g[at] > 0]
+        new = {}
+        for x in left:
+            late.setdefault(x, way)
+        for k in (k for c in fit for k in c):
+            late[left[k]] = way
+            if (made := undone(*left[k], way)) is not None:
+                new[left[k]] = made
+        if not new:
+            break
+        done |= new
+        # runs around those undone, as far as each next one is undone too
+        taken = sorted({*done, *left})
+        runs = [m.span() for m in MIXED.finditer(text)]
+        runs = [(a, b) for a, b in runs if not any(x < b and a < y for x, y in taken) and not any(x <= a and b <= y for x, y in shown)]
+        for line, sign in ((runs, 1), (runs[::-1], -1)):
+            ends = sorted(new, reverse=sign < 0)
+            reach, k = None, 0
+            for a, b in line:
+                while k < len(ends) and (ends[k][0] < a if sign > 0 else ends[k][0] > a):
+                    reach, k = ends[k], k + 1
+                if (a, b) in done or reach is None or (a - reach[1] if sign > 0 else reach[0] - b) > AROUND:
+                    continue
+                if (made := undone(a, b, way)) is not None and sure(a, b, made):
+                    done[a, b], reach = made, (a, b)
+        left = [x for x in left if x not in done]
+    if not any_way:
+        return None
+    for x, way in late.items():
+        # what no other confusion fits was damaged as its surroundings were
+        if x not in done and (made := undo(text[x[0] : x[1]], *way)) and made[1] <= 0.1:
+            done[x] = made[0]
+    pieces, last = [], 0
+    for (a, b), made in sorted(done.items()):
+        pieces += [text[last:a], made]
+        last = b
+    return "".join(pieces) + text[last:]
 
 
 def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", restore: bool = True) -> DataFrame:
@@ -423,7 +503,7 @@ def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", re
                 odd = np.unique(np.searchsorted(at, np.flatnonzero(score > 0), "right") - 1)
                 for i in odd:
                     own = texts[part.start + i]
-                    bad, made = repair(own, inverter, score[at[i] : at[i + 1] - 1])
+                    bad, made = repair(own, inverter, score[at[i] : at[i + 1] - 1], restore)
                     if bad:
                         rows.append((ids[part.start + i], made if restore else None))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["doc_id", "text"])

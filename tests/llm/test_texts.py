@@ -205,6 +205,20 @@ def test_garbled(spark, clash):
     assert mojibake.garbled(df.limit(0)).count() == 0
 
 
+def test_restoration_goes_on_after_the_first_repair(spark):
+    rng = random.Random(11)
+    words = ["café", "façade", "señor", "the", "old", "town", "hall", "über", "straße", "naïve", "river", "“quoted”", "it’s", "–"]
+    slavic = "мост через широкую реку стоит под старым городом где никто не знает почему фонарь горит".split()
+    clean = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(500)] + [" ".join(rng.choice(slavic) for _ in range(60)) for _ in range(500)]
+    a, b = clean[0][:80], clean[600][:150]
+    plain = " " + "the old town hall " * 20
+    bad = a.encode().decode("cp1252", "replace") + plain + b.encode("cp1251").decode("koi8-r")
+    df = spark.createDataFrame([*enumerate(clean), (5000, bad)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in mojibake.garbled(df).collect()}
+    assert set(got) == {5000} and got[5000].endswith(plain + b)
+    assert [r["doc_id"] for r in mojibake.garbled(df, restore=False).collect()] == [5000]
+
+
 @pytest.mark.parametrize("wrong,right", [("cp1252", "utf-8"), ("mac_roman", "utf-8"), ("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("gb18030", "utf-8")])
 def test_undo_is_an_exact_round_trip(wrong, right):
     text = "Мост через реку" if right != "utf-8" or wrong == "gb18030" else "façade “naïve” über"
