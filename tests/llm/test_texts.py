@@ -109,7 +109,7 @@ def test_samples_agree_as_often_as_texts_are_alike():
     w = s.weights(h, tf).astype(np.float32)
     x = s.samples(h, w, first)
     true = neardup.jaccard(h[: first[1]], w[: first[1]], h[first[1] :], w[first[1] :])
-    assert abs((x[0] == x[1]).mean() - true) < 0.05
+    assert abs((x[:, 0] == x[:, 1]).mean() - true) < 0.05
 
 
 def test_near_duplicates_equal_brute_force(spark, clash):
