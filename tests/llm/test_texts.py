@@ -32,12 +32,13 @@ def test_tokens_do_not_depend_on_their_batch():
 def test_rules_are_final_and_keep_the_look():
     table = canonical.rules()
     canonical.check(table)
-    for a, b in [("Ｔｈｅ", "The"), ("e" + chr(0x301), "é"), ("a" + chr(0x200B) + "b", "ab"), ("a" + chr(0xA0) + "b", "a b"), ("Τhе", "The"), (chr(0x2F08), "人"), ("ﾀﾞ", "ダ"), ("ﬁ", "fi"), (None, None), ("", "")]:
+    for a, b in [("Ｔｈｅ", "The"), ("e" + chr(0x301), "é"), ("a" + chr(0x200B) + "b", "ab"), ("a" + chr(0xA0) + "b", "a b"), ("Τhе", "The"), (chr(0x2F08), "人"), ("ﾀﾞ", "ダ"), ("ﬁ", "fi"), (None, None), ("", ""), ("𝐀𝖠ɑⅼⅠօᎪ", "AAalIoA"), ("½⁄é", "½/é"), ("\U0001d5be" + chr(0x301), "é"), (chr(0x1112) + chr(0x1161) + chr(0x11ab), "한"), ("a" + chr(0x323) + chr(0x302), "ậ"), ("a" + chr(0x302) + chr(0x200D) + chr(0x323), "ậ"), ("😀" + chr(0xFE0F) + chr(0xE0100) + "a", "😀a")]:
         assert canonical.canonical(a) == (unicodedata.normalize("NFC", b) if b else b)
     for a, b in [("a", "A"), ("e", "é"), ("a.", "a"), ("-", "–")]:
         assert canonical.canonical(a) != canonical.canonical(b)
-    with pytest.raises(ValueError):
-        canonical.check({"a": "b", "b": "c"})
+    for bad in ({"a": "b", "b": "c"}, {"x": "ab", "ab": "c"}):
+        with pytest.raises(ValueError):
+            canonical.check(bad)
     texts = ["Τhе Ｗ" + chr(0x301), "がぎ" + chr(0x3099), "ё" * 3000]
     assert [canonical.canonical(canonical.canonical(t)) for t in texts] == [canonical.canonical(t) for t in texts]
 
@@ -50,6 +51,14 @@ def test_look_alikes(spark, clash):
     assert canonical.look_alikes(loc(spark, rows).limit(0), aliases.limit(0)).count() == 0
 
 
+def test_a_form_of_many_units_makes_no_pairs_among_them(spark):
+    n = 100_000
+    rows = spark.range(n).selectExpr("id as locId", "concat('u', id) as unitId", "'Red Fox' as title", "cast(null as string) as summary").unionByName(spark.createDataFrame([(n, "odd", "Red" + chr(0xA0) + "Fox", None)], "locId long, unitId string, title string, summary string"))
+    aliases = spark.createDataFrame([], "unitId string, term string")
+    assert canonical.look_alikes(rows, aliases).count() == n
+    assert canonical.spellings(rows, aliases).count() == n + 1
+
+
 def test_residue(spark, clash):
     rng = random.Random(1)
     prose = [sentences(rng, 5) for _ in range(150)]
