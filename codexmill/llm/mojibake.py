@@ -18,12 +18,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexmill.llm.vectext import BMP, M1, codes, mix, portions
+from codexmill.llm.vectext import BMP, M1, codes, mix, portions, table_sum
 
 BITS = 20
 THRESHOLD = 12.0  # of the negated score in nats, from which a pair may belong to a garbled segment
@@ -68,25 +67,18 @@ def pair_slots(low: np.ndarray) -> np.ndarray:
 def counts(corpus: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(characters, pairs) of all texts, as arrays of fixed size."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones, pairs = np.zeros(BMP + 1, np.int64), np.zeros(1 << BITS, np.int64)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in portions(texts):
-                raw, at = codes(texts[part])
-                low = np.minimum(raw, BMP)
-                ones += np.bincount(low, minlength=BMP + 1)
-                if len(low) > 1:
-                    pairs += np.bincount(pair_slots(low), minlength=1 << BITS)
-        for kind, table in ((0, ones), (1, pairs)):
-            slots = np.flatnonzero(table)
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({"kind": np.full(len(slots), kind, np.int32), "slot": slots.astype(np.int32), "n": table[slots]}), preserve_index=False)
-
-    summed = corpus.select("text").mapInArrow(count, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")).toArrow()
-    ones, pairs = np.zeros(BMP + 1), np.zeros(1 << BITS)
-    kinds, slots, n = (summed[c].to_numpy() for c in ("kind", "slot", "n"))
-    for kind, table in ((0, ones), (1, pairs)):
-        table[slots[kinds == kind]] = n[kinds == kind]
+    split = BMP + 1
+
+    def count(table: np.ndarray, batch: pa.RecordBatch) -> None:
+        texts = batch.column(0).to_pylist()
+        for part in portions(texts):
+            low = np.minimum(codes(texts[part])[0], BMP)
+            table[:split] += np.bincount(low, minlength=split)
+            if len(low) > 1:
+                table[split:] += np.bincount(pair_slots(low), minlength=1 << BITS)
+
+    table = table_sum(corpus.select("text"), split + (1 << BITS), count).astype(float)
+    ones, pairs = table[:split], table[split:]
     grouped = np.bincount(symbols().astype(np.int64), weights=ones, minlength=BMP + 1)
     return grouped[symbols().astype(np.int64)], pairs
 

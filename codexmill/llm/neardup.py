@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codexmill.llm.canonical import canonical
-from codexmill.llm.vectext import M1, Tokens, mix, portions
+from codexmill.llm.vectext import M1, Tokens, mix, portions, table_sum
 from codexmill.session import written
 
 WORDS, IDEOGRAPHS = 2, 4
@@ -98,22 +98,16 @@ def slot(h: np.ndarray) -> np.ndarray:
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """(counters, number of texts) over the column ``form``."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, n = np.zeros(1 << IDF_BITS, np.int64), 0
-        for batch in batches:
-            rows = batch.column(0).to_pylist()
-            n += len(rows)
-            for part in portions(rows):
-                table += np.bincount(slot(features(rows[part])[0]), minlength=1 << IDF_BITS)
-        at = np.flatnonzero(table)
-        slots, counts = np.append(at, -1), np.append(table[at], n)
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts, pa.int64())], names=["slot", "n"])
-
-    summed = texts.select("form").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    slots, n = summed["slot"].to_numpy(), summed["n"].to_numpy()
-    table = np.zeros(1 << IDF_BITS)
-    table[slots[slots >= 0]] = n[slots >= 0]
-    return table, int(n[slots < 0].sum())
+    size = 1 << IDF_BITS
+
+    def count(table: np.ndarray, batch: pa.RecordBatch) -> None:
+        rows = batch.column(0).to_pylist()
+        table[size] += len(rows)
+        for part in portions(rows):
+            table[:size] += np.bincount(slot(features(rows[part])[0]), minlength=size)
+
+    table = table_sum(texts.select("form"), size + 1, count)
+    return table[:size].astype(float), int(table[size])
 
 
 class Sampler:

@@ -9,10 +9,12 @@ is a handful of array passes over it.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SEP, WORD, IDEO = 0, 1, 2
 BMP = 0x10000
@@ -92,6 +94,46 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32), at
 
 
+CHUNK = 1 << 14  # counters in a row of a table that is summed
+
+
+def table_sum(rows: DataFrame, size: int, fill: Callable[[np.ndarray, pa.RecordBatch], None]) -> np.ndarray:
+    """A table of ``size`` counters that ``fill`` adds each batch of ``rows`` to, summed over all of them.
+
+    A task sends its table in chunks, not counter by counter; the chunks are
+    added up where they are shuffled to, one after the other, so that neither
+    a task nor the driver holds more than one table, whatever the input.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size, np.int64)
+        for batch in batches:
+            fill(table, batch)
+        yield _chunks({k: table[k * CHUNK : (k + 1) * CHUNK] for k in range(-(-size // CHUNK))})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(data, f"i{width}").astype(np.int64)
+                sums[k] = sums[k] + part if k in sums else part
+        yield _chunks(sums)
+
+    kind = "chunk int, width int, data binary"
+    out = np.zeros(size, np.int64)
+    for k, width, data in zip(*(c.to_pylist() for c in rows.mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow().columns), strict=True):
+        out[k * CHUNK : (k + 1) * CHUNK] = np.frombuffer(data, f"i{width}")
+    return out
+
+
+def _chunks(tables: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Rows (chunk, bytes of a counter, data) of the chunks that aren't empty."""
+    full = {k: t for k, t in tables.items() if t.any()}
+    widths = {k: next(w for w in (1, 2, 4, 8) if t.max() < 1 << 8 * w - 1) for k, t in full.items()}
+    data = [t.astype(f"i{widths[k]}").tobytes() for k, t in full.items()]
+    return pa.RecordBatch.from_arrays([pa.array(list(full), pa.int32()), pa.array(list(widths.values()), pa.int32()), pa.array(data, pa.binary())], names=["chunk", "width", "data"])
+
+
 class Tokens:
     """Tokens of a batch: a run of word characters, or one ideograph or kana.
 
