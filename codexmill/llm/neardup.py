@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,13 @@ from codexmill.session import written
 
 WORDS, IDEOGRAPHS = 2, 4
 IDF_BITS = 20
-BANDS, ROWS = 48, 4
+BANDS, ROWS = 32, 3
 SIMILARITY = 0.36
 POWER = 2  # of the inverse document frequency: wording that many texts share hardly counts
-TABLE = 1 << 12
+TABLE, LEVELS = 1 << 10, 32
+LOG_WEIGHTS = (-2.3, 8.5)  # range of log weights that are told apart in sampling
+SLICE = 256  # members of a band that are compared in one piece
+READ = 8 << 20  # bytes of bands that a task reads
 
 
 def leaves(text: str | None) -> str:
@@ -63,11 +66,6 @@ def leaves_udf(texts: pd.Series) -> pd.Series:
     return texts.map(leaves)
 
 
-@F.pandas_udf(T.StringType())
-def form_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: (canonical(t) or "").lower())
-
-
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingle, term frequency, first): the distinct shingles of each text, sorted, and where each text's begin.
 
@@ -111,45 +109,47 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 class Sampler:
-    """Improved consistent weighted sampling with random numbers drawn from tables by a shingle's hash."""
+    """Improved consistent weighted sampling with random numbers drawn from tables by a shingle's hash.
+
+    Log weights are rounded to ``LEVELS`` steps before sampling, so that the
+    value of a shingle depends on its place in the table and its level alone:
+    all values are worked out and ranked once, and a sample is the least rank of
+    a text with the shingle's hash behind it. Equal values have equal ranks, so
+    a sample names a shingle and a quantised weight, as the method has it. The
+    tables have a fixed size at any size of corpus.
+    """
 
     def __init__(self, df: np.ndarray, n: int, samples: int = BANDS * ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.idf = np.log((n + 1) / (df + 0.5)).clip(0.01).astype(np.float32)
-        self.r = rng.gamma(2, 1, (samples, TABLE)).astype(np.float32)
-        self.c = np.log(rng.gamma(2, 1, (samples, TABLE))).astype(np.float32)
-        self.b = rng.random((samples, TABLE)).astype(np.float32)
-        self.odd = mix(np.arange(1, samples + 1, dtype=np.uint64) * M1) | np.uint64(1)
+        steps = np.linspace(*LOG_WEIGHTS, LEVELS)[:, None]
+        self.ranks = np.zeros((samples, LEVELS * TABLE), np.uint16)
+        for k in range(samples):
+            r, log_c, b = rng.gamma(2, 1, TABLE), np.log(rng.gamma(2, 1, TABLE)), rng.random(TABLE)
+            value = log_c - r * (np.floor(steps / r + b) - b + 1)
+            self.ranks[k] = np.unique(value, return_inverse=True)[1].ravel()
+        self.odd = (mix(np.arange(1, samples + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
     def weights(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return tf * self.idf[slot(h)] ** POWER
 
     def samples(self, h: np.ndarray, w: np.ndarray, first: np.ndarray) -> np.ndarray:
         """One hash for each sample and text; two texts agree in one as often as their weighted Jaccard similarity."""
-        log_w = np.log(w).astype(np.float32)
         full = np.flatnonzero(np.diff(first))
-        out = np.zeros((len(self.r), len(first) - 1), np.uint64)
+        out = np.zeros((len(self.ranks), len(first) - 1), np.uint64)
         if not len(full):
             return out
-        starts = first[full]
-        sizes = np.diff(np.append(starts, len(h)))
-        mixed = h ^ (h >> np.uint64(31))
-        owners = np.repeat(np.arange(len(starts)), sizes)
-        for k in range(len(self.r)):
-            at = (mixed * self.odd[k] >> np.uint64(52)).view(np.int64)
-            r, b = self.r[k].take(at), self.b[k].take(at)
-            t = log_w / r
-            t += b
-            np.floor(t, out=t)
-            b -= t
-            b -= 1
-            b *= r
-            b += self.c[k].take(at)
-            least = np.minimum.reduceat(b, starts)
-            pick = np.flatnonzero(b == least.take(owners))
-            # of equal values the first counts; assigning backwards leaves it
-            pick = pick[::-1]
-            out[k, full[owners[pick]]] = mix(h[pick] + t[pick].astype(np.int64).view(np.uint64) * M1)
+        low, high = LOG_WEIGHTS
+        level = np.rint((np.log(w) - low) * ((LEVELS - 1) / (high - low))).clip(0, LEVELS - 1).astype(np.uint32) * np.uint32(TABLE)
+        upper, rest = (h >> np.uint64(32)).astype(np.uint32), h >> np.uint64(16)
+        at, key, starts = np.empty_like(upper), np.empty_like(rest), first[full]
+        for k, rank in enumerate(self.ranks):
+            np.multiply(upper, self.odd[k], out=at)
+            at >>= np.uint32(32 - TABLE.bit_length() + 1)
+            at += level
+            np.left_shift(rank.take(at), np.uint64(48), out=key, dtype=np.uint64)
+            key |= rest
+            out[k, full] = np.minimum.reduceat(key, starts)
         return out
 
     def bands(self, samples: np.ndarray) -> np.ndarray:
@@ -166,46 +166,54 @@ def jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> f
     return float(low / (wa.sum() + wb.sum() - low)) if low else 0.0
 
 
+def band_pairs(entries: DataFrame, slice_: int = SLICE) -> DataFrame:
+    """(a, b) with a < b: all pairs of ids that share a band, each once, from rows (band, id).
+
+    Bands of two need no join. Larger ones are cut into slices, and every pair
+    of slices of a band is compared by itself, so that no band, however many
+    share it, is one task's work.
+    """
+    sized = entries.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1")
+    more = sized.where("n > 2").select("band", F.ceil(F.col("n") / slice_).cast("int").alias("slices"))
+    own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
+    held = entries.join(more.hint("shuffle_hash"), "band").select("band", "id", own.alias("slice"))
+    left = held.select("band", "slice", F.col("id").alias("x"))
+    right = held.select("band", F.explode(F.sequence(F.lit(0), "slice")).alias("slice"), F.col("slice").alias("home"), F.col("id").alias("y"))
+    met = left.join(right, ["band", "slice"]).where("home > slice or x < y")
+    return sized.where("n = 2").select("a", "b").unionByName(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+
+
 def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, similarity) with a < b, of distinct texts (field, key, form); only texts of one field are compared.
+    """(a, b, similarity) with a < b, of distinct texts (id, field, form); only texts of one field are compared.
 
-    ``key`` is a binary key of the text, ``form`` the text. Empty texts have no
-    shingles and are similar to nothing.
+    Ids are whole numbers. Empty texts have no shingles and are similar to nothing.
     """
     spark = texts.sparkSession
-    send = spark.sparkContext.broadcast(Sampler(*document_frequencies(texts)))
+    df, n = document_frequencies(texts)
+    send = spark.sparkContext.broadcast(Sampler(df, n))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = send.value
         for batch in batches:
-            fields, keys, rows = (batch.column(i).to_pylist() for i in range(3))
-            for part in portions(rows):
+            ids, fields, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            for part in portions(rows, 150_000):
                 h, tf, first = features(rows[part])
-                w = s.weights(h, tf).astype(np.float32)
-                bands = s.bands(s.samples(h, w, first)).astype(np.int64)
-                n = [i for i in range(len(first) - 1) if first[i + 1] > first[i]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([fields[part.start + i] for i in n], pa.int32()),
-                        pa.array([keys[part.start + i] for i in n], pa.binary()),
-                        pa.array([bands[:, i] for i in n], pa.list_(pa.int64())),
-                    ],
-                    names=["field", "key", "bands"],
-                )
-
-    sampled = texts.select("field", "key", "form").mapInArrow(sample, "field int, key binary, bands array<long>")
-    # one shuffle by band serves the count and both sides of the join
-    entries = written(sampled, "sampled").select("field", "key", F.explode("bands").alias("band")).repartition("field", "band")
-    shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("field", "band"))).where("n > 1").drop("n")
-    pairs = written(shared.withColumnRenamed("key", "a").join(shared.withColumnRenamed("key", "b"), ["field", "band"]).where("a < b").select("field", "a", "b").distinct(), "pairs")
-    met = pairs.select("field", F.col("a").alias("key")).union(pairs.select("field", F.col("b").alias("key"))).distinct()
-    forms = texts.select("field", "key", "form").join(met, ["field", "key"], "left_semi")
-    both = pairs.join(forms.toDF("field", "a", "form_a"), ["field", "a"]).join(forms.toDF("field", "b", "form_b"), ["field", "b"])
+                bands = s.bands(s.samples(h, s.weights(h, tf), first)) ^ mix(fields[part].astype(np.uint64) + M1)
+                full = np.flatnonzero(np.diff(first))
+                yield pa.RecordBatch.from_arrays([pa.array(bands[:, full].view(np.int64).ravel()), pa.array(np.tile(ids[part][full], BANDS))], names=["band", "id"])
+
+    # one shuffle by band serves the count and the join
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * BANDS * 16 // READ))
+    entries = texts.select("id", "field", "form").mapInArrow(sample, "band long, id long").repartition(parts, "band")
+    pairs = written(band_pairs(entries), "pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    forms = written(texts.select("id", "form").join(met, "id", "left_semi"), "met")
+    both = pairs.join(forms.toDF("a", "form_a"), "a").join(forms.toDF("b", "form_b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = send.value
         for batch in batches:
-            left, right = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             scores = []
             for part in portions(left):
                 sides = []
@@ -215,34 +223,57 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
                 (ha, wa, fa), (hb, wb, fb) = sides
                 scores += [jaccard(ha[fa[i] : fa[i + 1]], wa[fa[i] : fa[i + 1]], hb[fb[i] : fb[i + 1]], wb[fb[i] : fb[i + 1]]) for i in range(len(fa) - 1)]
             keep = pa.array([x >= similarity for x in scores], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(scores, pa.float64())], names=["field", "a", "b", "similarity"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["a", "b", "similarity"]).filter(keep)
 
-    return both.select("field", "a", "b", "form_a", "form_b").mapInArrow(verify, "field int, a binary, b binary, similarity double")
+    return both.select("a", "b", "form_a", "form_b").mapInArrow(verify, "a long, b long, similarity double")
 
 
-def newest(localizations: DataFrame) -> DataFrame:
-    """The last delivery of each localization."""
-    return localizations.where("locId is not null").groupBy("locId").agg(F.max_by(F.struct(F.lower(F.regexp_replace("unitId", r"^\s+|\s+$", "")).alias("unit"), "language", "title", "summary", "description"), F.struct("capturedAt", "updatedAt")).alias("x")).select("locId", "x.*")
+def formed(localizations: DataFrame) -> DataFrame:
+    """(locId, late, unit, field, form) of the summaries (field 0) and description texts (1) of all deliveries, where they lie."""
+    unit = F.lower(F.regexp_replace("unitId", r"^\s+|\s+$", "")).alias("unit")
+    rows = localizations.where("locId is not null").select("locId", F.struct("capturedAt", "updatedAt").alias("late"), unit, "summary", "description")
+
+    def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for field, read in ((0, str), (1, leaves)):
+                made = [(i, f) for i, t in enumerate(batch.column(3 + field).to_pylist()) if t and (f := (canonical(read(t)) or "").lower())]
+                at = pa.array([i for i, _ in made], pa.int32())
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), pa.array([field] * len(made), pa.int32()), pa.array([f for _, f in made], pa.string())], names=["locId", "late", "unit", "field", "form"])
+
+    late = rows.schema["late"].dataType.simpleString()
+    return rows.mapInArrow(form, f"locId long, late {late}, unit string, field int, form string")
+
+
+def near_duplicate_classes(localizations: DataFrame, excluded: DataFrame | None = None, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(members, links): localizations with the class of each of their texts, and the pairs of classes that are nearly the same.
+
+    ``members`` holds (class, field, locId, unit): texts that look the same are
+    one class, however many carry it. ``links`` holds (a, b, similarity), a < b,
+    of classes of one field. Neither grows with the pairs within a class. Null
+    and empty texts are no text; repeated deliveries count once, by their last;
+    ``excluded`` holds the ``locId`` of those that take no part.
+    """
+    texts = written(formed(localizations).withColumn("key", F.unhex(F.md5("form"))), "formed")
+    last = localizations.where("locId is not null").groupBy("locId").agg(F.max(F.struct("capturedAt", "updatedAt")).alias("last"))
+    live = texts.drop("form").join(last, "locId").where("late <=> last").drop("late", "last")
+    if excluded is not None:
+        live = live.join(excluded.select("locId"), "locId", "left_anti")
+    live = written(live.distinct(), "live")
+    kept = texts.select("field", "key", "form").join(live.select("field", "key").distinct(), ["field", "key"], "left_semi")
+    classes = written(kept.groupBy("field", "key").agg(F.first("form").alias("form")).withColumn("id", F.monotonically_increasing_id()), "classes")
+    members = live.join(classes.select("field", "key", F.col("id").alias("class")), ["field", "key"]).select("class", "field", "locId", "unit")
+    return written(members, "members"), written(similar_texts(classes, similarity), "links")
 
 
 def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
     """(locIdA, locIdB): localizations of different books whose summaries, or description texts, are nearly the same.
 
-    Null and empty texts are no text. Repeated deliveries count once, by their
-    last. ``excluded`` holds the ``locId`` of those that take no part. Texts that
-    look the same are one text and are expanded into pairs only at the end.
+    The classes of ``near_duplicate_classes`` written out into pairs.
     """
-    rows = newest(localizations)
-    if excluded is not None:
-        rows = rows.join(excluded.select("locId"), "locId", "left_anti")
-    each = F.create_map(F.lit(0), F.col("summary"), F.lit(1), leaves_udf("description"))
-    parts = rows.select("locId", "unit", F.explode(each).alias("field", "text")).where("text <> ''")
-    formed = parts.withColumn("form", form_udf("text")).where("form <> ''")
-    members = written(formed.select("locId", "unit", "field", F.unhex(F.md5("form")).alias("key"), "form"), "members")
-    texts = members.groupBy("field", "key").agg(F.first("form").alias("form"))
-    near = similar_texts(written(texts, "texts"), similarity)
-    m = members.select("field", "key", "locId", "unit")
-    a, b = m.toDF("field", "a", "locIdA", "unitA"), m.toDF("field", "b", "locIdB", "unitB")
-    different = near.join(a, ["field", "a"]).join(b, ["field", "b"]).where("unitA <> unitB").select("locIdA", "locIdB")
-    equal = a.join(b.withColumnRenamed("b", "a"), ["field", "a"]).where("unitA <> unitB and locIdA < locIdB").select("locIdA", "locIdB")
+    members, links = near_duplicate_classes(localizations, excluded, similarity)
+    m = members.select("class", "locId", "unit")
+    a, b = m.toDF("a", "locIdA", "unitA"), m.toDF("b", "locIdB", "unitB")
+    different = links.join(a, "a").join(b, "b").where("unitA <> unitB").select("locIdA", "locIdB")
+    several = m.groupBy("class").agg(F.min("unit").alias("x"), F.max("unit").alias("y")).where("x <> y").select(F.col("class").alias("a"))
+    equal = a.join(several, "a", "left_semi").join(b.withColumnRenamed("b", "a"), "a").where("unitA <> unitB and locIdA < locIdB").select("locIdA", "locIdB")
     return different.unionByName(equal).select(F.least("locIdA", "locIdB").alias("locIdA"), F.greatest("locIdA", "locIdB").alias("locIdB")).distinct()
