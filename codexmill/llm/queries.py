@@ -45,6 +45,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return langid.mislabelled(localizations, written(residue.residue_ids(localizations), "residue"))
 
 
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    localizations = table(spark, d, "localizations")
+    return langid.identified(localizations, written(residue.residue_ids(localizations), "residue"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     localizations = table(spark, d, "localizations")
     return neardup.near_duplicates(localizations, written(residue.residue_ids(localizations), "residue"))
@@ -67,4 +72,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_values, p4_found, p5_found, p6_found, p7_found, p8_containers, p9_found, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_values, p4_found, p5_found, p6_found, p6_segments, p7_found, p8_containers, p9_found, p10_found, p10_restored)}

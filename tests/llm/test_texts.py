@@ -99,7 +99,8 @@ def test_languages(spark, clash):
     df = clash(loc(spark, rows))
     got = {tuple(r) for r in langid.mislabelled(df).select("locId", "lang").collect()}
     assert got == {(1, "de"), (2, "fr"), (3, "ja"), (3, "en")}
-    parts = langid.identified(df).where("locId = 3").collect()
+    parts = langid.identified(df).where("locId = 3").orderBy("at").collect()
+    assert "".join(p["part"] for p in parts) == rows[1000 - 1000 + len(WORDS) * 30 + 2][4]
     assert {p["lang"] for p in parts} == {"ja", "en"} and all(0 < p["confidence"] <= 1 for p in parts)
     assert langid.mislabelled(df.limit(0)).count() == 0
 
