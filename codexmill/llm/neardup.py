@@ -12,7 +12,7 @@ texts, so the weights are a table of fixed size at any size of corpus.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,7 @@ from codexmill.session import written
 
 WORDS, IDEOGRAPHS = 2, 4
 IDF_BITS = 20
-BANDS, ROWS = 32, 3
+BANDS, ROWS = 48, 4
 SIMILARITY = 0.36
 POWER = 2  # of the inverse document frequency: wording that many texts share hardly counts
 TABLE, LEVELS = 1 << 10, 32
@@ -166,21 +166,119 @@ def jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> f
     return float(low / (wa.sum() + wb.sum() - low)) if low else 0.0
 
 
-def band_pairs(entries: DataFrame, slice_: int = SLICE) -> DataFrame:
-    """(a, b) with a < b: all pairs of ids that share a band, each once, from rows (band, id).
+def packed(bands: np.ndarray, ids: np.ndarray, cells: int) -> pa.RecordBatch:
+    """Rows (cell, data) of the bands of texts: each band's last 48 bits and the text's id, in one piece for each cell."""
+    cell = (bands >> np.uint64(48)).astype(np.int64) * cells >> 16
+    order = np.argsort(cell, kind="stable")
+    cell, bands, ids = cell[order], bands[order], ids[order]
+    at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
+    high, low = (bands >> np.uint64(32)).astype(np.uint16), bands.astype(np.uint32)
+    data = []
+    for i, j in zip(at.tolist(), [*at[1:].tolist(), len(cell)], strict=True):
+        least = int(ids[i:j].min())
+        width = next(w for w in (2, 4, 8) if int(ids[i:j].max()) - least < 1 << 8 * w - 1)
+        data.append(np.array([j - i, least, width], np.int64).tobytes() + high[i:j].tobytes() + low[i:j].tobytes() + (ids[i:j] - least).astype(f"u{width}").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(cell[at], pa.int32()), pa.array(data, pa.binary())], names=["cell", "data"])
 
-    Bands of two need no join. Larger ones are cut into slices, and every pair
-    of slices of a band is compared by itself, so that no band, however many
-    share it, is one task's work.
+
+def unpacked(cell: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, least, width = np.frombuffer(data, np.int64, 3).tolist()
+    high, low = np.frombuffer(data, np.uint16, n, 24), np.frombuffer(data, np.uint32, n, 24 + 2 * n)
+    band = high.astype(np.uint64) << np.uint64(32) | low | np.uint64((cell & 0xFFFF) << 48)
+    return band, least + np.frombuffer(data, f"u{width}", n, 24 + 6 * n).astype(np.int64)
+
+
+class Meeting:
+    """The pairs of ids that share a band, of the bands of a few cells.
+
+    Bands of more than ``slice_`` ids aren't written out but handed on as rows,
+    as soon as more than ``most`` entries are held, so that what is held depends
+    on the number of cells and not on how many share a band.
     """
-    sized = entries.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1")
-    more = sized.where("n > 2").select("band", F.ceil(F.col("n") / slice_).cast("int").alias("slices"))
-    own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    held = entries.join(more.hint("shuffle_hash"), "band").select("band", "id", own.alias("slice"))
+
+    def __init__(self, slice_: int, most: int = 1 << 22):
+        self.slice, self.most, self.held, self.size = slice_, most, [], 0
+        self.hot = np.zeros(0, np.uint64)
+
+    def add(self, band: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((band, ids))
+        self.size += len(band)
+        if self.size > self.most:
+            yield from self.shed()
+            self.most = max(self.most, 2 * self.size)
+
+    def shed(self) -> Iterator[pa.RecordBatch]:
+        """Hand on the entries of large bands, and keep the rest in order."""
+        band, ids = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.argsort(band)
+        band, ids = band[order], ids[order]
+        kinds, counts = np.unique(band, return_counts=True)
+        self.hot = np.union1d(self.hot, kinds[counts > self.slice])
+        out = np.isin(band, self.hot)
+        if out.any():
+            yield met(ids[out], band[out].view(np.int64), True)
+        self.held, self.size = [(band[~out], ids[~out])], int((~out).sum())
+
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        yield from self.shed()
+        band, ids = self.held[0]
+        # the ends of what is left of each entry's band, one place further every time
+        at = np.arange(len(band))
+        for ahead in range(1, self.slice):
+            at = at[at + ahead < len(band)]
+            at = at[band[at + ahead] == band[at]]
+            if not len(at):
+                return
+            x, y = ids[at], ids[at + ahead]
+            yield met(np.minimum(x, y), np.maximum(x, y), False)
+
+
+def met(a: np.ndarray, b: np.ndarray, hot: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), hot))], names=["a", "b", "hot"])
+
+
+def sliced_pairs(entries: DataFrame, slice_: int = SLICE) -> DataFrame:
+    """(a, b): all pairs of ids (a) that share a band (b), each of the band's pairs of slices compared by itself."""
+    sized = entries.groupBy("b").agg(F.ceil(F.count("*") / slice_).cast("int").alias("slices"))
+    held = entries.join(sized, "b").select(F.col("b").alias("band"), F.col("a").alias("id"), F.pmod(F.xxhash64("a"), F.col("slices")).cast("int").alias("slice"))
     left = held.select("band", "slice", F.col("id").alias("x"))
     right = held.select("band", F.explode(F.sequence(F.lit(0), "slice")).alias("slice"), F.col("slice").alias("home"), F.col("id").alias("y"))
-    met = left.join(right, ["band", "slice"]).where("home > slice or x < y")
-    return sized.where("n = 2").select("a", "b").unionByName(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+    both = left.join(right, ["band", "slice"]).where("home > slice or x < y")
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def band_pairs(texts: DataFrame, bands_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], parts: int, slice_: int = SLICE) -> DataFrame:
+    """(a, b) with a < b: all pairs of ids that share a band, each once; ``bands_of`` gives the bands and ids of a batch's texts.
+
+    Bands are shuffled packed, in one piece from each task to each of ``parts``
+    tasks, and met there in arrays. Bands that many share are cut into slices,
+    so that none is one task's work.
+    """
+    cells = min(8 * parts, 1 << 16)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for bands, ids in bands_of(batch):
+                held.append((bands, ids))
+                size += len(bands)
+                if size > 1 << 20:
+                    yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+                    held, size = [], 0
+        if held:
+            yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meeting = Meeting(slice_)
+        for batch in batches:
+            for cell, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield from meeting.add(*unpacked(cell, data))
+        yield from meeting.pairs()
+
+    found = written(texts.mapInArrow(pack, "cell int, data binary").repartition(parts, "cell").mapInArrow(meet, "a long, b long, hot boolean"), "met")
+    return found.where("not hot").select("a", "b").unionByName(sliced_pairs(found.where("hot").select("a", "b"), slice_)).distinct()
 
 
 def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -192,22 +290,19 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     df, n = document_frequencies(texts)
     send = spark.sparkContext.broadcast(Sampler(df, n))
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bands_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         s = send.value
-        for batch in batches:
-            ids, fields, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-            for part in portions(rows, 150_000):
-                h, tf, first = features(rows[part])
-                bands = s.bands(s.samples(h, s.weights(h, tf), first)) ^ mix(fields[part].astype(np.uint64) + M1)
-                full = np.flatnonzero(np.diff(first))
-                yield pa.RecordBatch.from_arrays([pa.array(bands[:, full].view(np.int64).ravel()), pa.array(np.tile(ids[part][full], BANDS))], names=["band", "id"])
-
-    # one shuffle by band serves the count and the join
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * BANDS * 16 // READ))
-    entries = texts.select("id", "field", "form").mapInArrow(sample, "band long, id long").repartition(parts, "band")
-    pairs = written(band_pairs(entries), "pairs")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    forms = written(texts.select("id", "form").join(met, "id", "left_semi"), "met")
+        ids, fields, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+        for part in portions(rows, 150_000):
+            h, tf, first = features(rows[part])
+            bands = s.bands(s.samples(h, s.weights(h, tf), first)) ^ mix(fields[part].astype(np.uint64) + M1)
+            full = np.flatnonzero(np.diff(first))
+            yield bands[:, full].ravel(), np.tile(ids[part][full], BANDS)
+
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * BANDS * 8 // READ))
+    pairs = written(band_pairs(texts.select("id", "field", "form"), bands_of, parts), "pairs")
+    known = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    forms = written(texts.select("id", "form").join(known, "id", "left_semi"), "known")
     both = pairs.join(forms.toDF("a", "form_a"), "a").join(forms.toDF("b", "form_b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,6 +122,26 @@ def test_samples_agree_as_often_as_texts_are_alike():
     assert abs((x[:, 0] == x[:, 1]).mean() - true) < 0.05
 
 
+@pytest.mark.parametrize("slice_", [2, 5, 256])
+@pytest.mark.parametrize("most", [10, 1 << 22])
+def test_bands_of_any_size_give_all_their_pairs(spark, monkeypatch, slice_, most):
+    rng = random.Random(9)
+    entries = [(rng.choice([7, 7, 7, rng.randint(8, 90)]) * 0x9E3779B97F4A7C15 % 2**64, i << 33) for i in range(120)]
+    want = {(a, b) for x, a in entries for y, b in entries if x == y and a < b}
+    meeting = neardup.Meeting
+    monkeypatch.setattr(neardup, "Meeting", lambda s: meeting(s, most))
+    one = neardup.Meeting(slice_)
+    made = [b for k in range(0, 120, 12) for b in one.add(*(np.array([e[j] for e in entries[k : k + 12]], t) for j, t in enumerate((np.uint64, np.int64))))] + list(one.pairs())
+    rows = [r for b in made for r in b.to_pylist()]
+    hot = spark.createDataFrame([(r["a"], r["b"]) for r in rows if r["hot"]], "a long, b long")
+    got = [(r["a"], r["b"]) for r in rows if not r["hot"]] + [tuple(r) for r in neardup.sliced_pairs(hot, slice_).collect()]
+    assert len(got) == len(want) and set(got) == want
+    packed = neardup.packed(*(np.array([e[j] for e in entries], t) for j, t in enumerate((np.uint64, np.int64))), 16)
+    back = [p for c, d in zip(*(c.to_pylist() for c in packed.columns), strict=True) for p in zip(*neardup.unpacked(c, d), strict=True)]
+    assert sorted(int(i) for _, i in back) == sorted(i for _, i in entries)
+    assert len({(int(x)) for x, _ in back}) == len({x for x, _ in entries})
+
+
 def test_near_duplicates_equal_brute_force(spark, clash):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
