@@ -37,6 +37,8 @@ CLEAR = 16.0  # score of a window that stands apart from the text around it
 WHOLE = 9.0  # score of windows that cover a text, or of one that holds the marks of a template
 DENSE = 0.8  # score for each character of a text that windows cover, or of a window that stands apart
 SHORT = 5.0  # score of windows that cover a text to its ends
+SPARSE = 0.25  # score for each character of a text that windows cover to its ends
+NEAR = 12.0  # score that a dense window gains in SPAN characters
 COVER = 0.5  # share of a text that residue has to cover
 LEAST = 4.5  # score of a window
 SPAN = 24  # characters in which a window gains its first LEAST
@@ -365,9 +367,26 @@ def judge(text: str, x: np.ndarray) -> list[tuple[int, int, float]]:
     size = len(text.strip())
     score = sum(w[2] for w in found)
     covered = sum(min(b + 2, len(text)) - a for a, b, _ in found)
-    if found and covered >= COVER * size and (score >= max(WHOLE, DENSE * size) or marked(text) or covered >= 0.95 * size and score >= SHORT):
+    if found and covered >= COVER * size and (score >= max(WHOLE, DENSE * size) or marked(text) or covered >= 0.95 * size and score >= max(SHORT, SPARSE * size)):
         return found
-    return [w for w in found if w[2] >= STRONG or w[2] >= max(CLEAR, DENSE * (w[1] - w[0])) and set_apart(text, w[0], w[1]) or w[2] >= WHOLE and marked(text[max(0, w[0] - 2) : w[1] + 2])]
+    return [w for w in found if w[2] >= max(CLEAR, DENSE * (w[1] - w[0])) and (w[2] >= STRONG or set_apart(text, w[0], w[1])) or w[2] >= WHOLE and marked(text[max(0, w[0] - 2) : w[1] + 2])]
+
+
+def suspects(texts: list[str], x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The texts that ``judge`` can find anything in, by bounds on what it asks for.
+
+    A window as dense as it has to be gains more than ``NEAR`` somewhere in
+    ``SPAN`` characters; a short text may also be covered more thinly, and marks
+    make do with less.
+    """
+    gains = np.maximum(x, 0)
+    y = np.concatenate([np.zeros(SPAN), np.cumsum(gains, dtype=np.float64)])
+    rises = np.maximum.reduceat(y[SPAN:] - y[:-SPAN], at[:-1])
+    total, size = np.add.reduceat(gains, at[:-1]), np.diff(at)
+    keep = (rises >= NEAR) | (size <= 2 * NEAR / SPARSE) & (total >= np.maximum(SHORT, SPARSE * (size - 3)))
+    for k in np.flatnonzero((rises >= LEAST) & ~keep).tolist():
+        keep[k] = MARK.search(texts[k]) is not None
+    return np.flatnonzero(keep)
 
 
 def set_apart(text: str, a: int, b: int) -> bool:
@@ -382,6 +401,7 @@ def marked(part: str) -> bool:
     return sum(c in "{}<>%$#@_【】" for c in part) + 2 * part.count("[[") + 2 * part.count("&lt;") + 2 * part.count("[INSERT") >= 2
 
 
+MARK = re.compile(r"[{}<>%$#@_【】]|\[\[|&lt;|\[INSERT")
 BORDER = re.compile(r"[。.!?！？…>:：|\n」”\"]\s*\w{0,3}$")
 INSIDE = re.compile(r"[。.!?！？…:：]\s")
 RUNS_ON = re.compile(r"\w*[,;]?\s+[a-zà-ÿа-я]")
@@ -416,9 +436,7 @@ def residue(localizations: DataFrame) -> DataFrame:
             for part in portions(texts):
                 low, at = folded([t + "\n" for t in texts[part]])
                 x = ratio.places(low, at)
-                y = np.concatenate([np.zeros(SPAN), np.cumsum(np.maximum(x, 0), dtype=np.float64)])
-                rises = np.maximum.reduceat(y[SPAN:] - y[:-SPAN], at[:-1])
-                for k in np.flatnonzero(rises >= LEAST).tolist():
+                for k in suspects(texts[part], x, at).tolist():
                     i = part.start + k
                     out += [(owners[i], FIELDS[names[i]], a, b, s) for a, b, s in judge(texts[i], x[at[k] : at[k + 1] - 1])]
             cols = list(zip(*out, strict=True)) or [[]] * 5
