@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from codexmill.llm.canonical import canonical
 from codexmill.llm.vectext import M1, Tokens, mix, portions, table_sum
-from codexmill.session import written
+from codexmill.session import drop_written, written
 
 WORDS, IDEOGRAPHS = 2, 4
 IDF_BITS = 20
@@ -136,18 +136,19 @@ class Sampler:
     def samples(self, h: np.ndarray, w: np.ndarray, first: np.ndarray) -> np.ndarray:
         """One hash for each sample and text; two texts agree in one as often as their weighted Jaccard similarity."""
         full = np.flatnonzero(np.diff(first))
-        out = np.zeros((len(self.ranks), len(first) - 1), np.uint64)
+        out = np.zeros((len(self.ranks), len(first) - 1), np.uint32)
         if not len(full):
             return out
         low, high = LOG_WEIGHTS
         level = np.rint((np.log(w) - low) * ((LEVELS - 1) / (high - low))).clip(0, LEVELS - 1).astype(np.uint32) * np.uint32(TABLE)
-        upper, rest = (h >> np.uint64(32)).astype(np.uint32), h >> np.uint64(16)
+        # what shares a place in the table is told apart by as many bits again
+        upper, rest = (h >> np.uint64(32)).astype(np.uint32), (h & np.uint64(0x1FFFF)).astype(np.uint32)
         at, key, starts = np.empty_like(upper), np.empty_like(rest), first[full]
         for k, rank in enumerate(self.ranks):
             np.multiply(upper, self.odd[k], out=at)
             at >>= np.uint32(32 - TABLE.bit_length() + 1)
             at += level
-            np.left_shift(rank.take(at), np.uint64(48), out=key, dtype=np.uint64)
+            np.left_shift(rank.take(at), np.uint32(17), out=key, dtype=np.uint32)
             key |= rest
             out[k, full] = np.minimum.reduceat(key, starts)
         return out
@@ -302,7 +303,7 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * BANDS * 8 // READ))
     pairs = written(band_pairs(texts.select("id", "field", "form"), bands_of, parts), "pairs")
     known = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    forms = written(texts.select("id", "form").join(known, "id", "left_semi"), "known")
+    forms = written(texts.select("id", "form").join(known.hint("shuffle_hash"), "id", "left_semi"), "known")
     both = pairs.join(forms.toDF("a", "form_a"), "a").join(forms.toDF("b", "form_b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,16 +349,20 @@ def near_duplicate_classes(localizations: DataFrame, excluded: DataFrame | None
     and empty texts are no text; repeated deliveries count once, by their last;
     ``excluded`` holds the ``locId`` of those that take no part.
     """
-    texts = written(formed(localizations).withColumn("key", F.unhex(F.md5("form"))), "formed")
+    # two hashes of 64 bits stand for a form
+    texts = written(formed(localizations).select("*", F.xxhash64(F.lit(1), "form").alias("k1"), F.xxhash64(F.lit(2), "form").alias("k2"), F.monotonically_increasing_id().alias("id")), "formed")
     last = localizations.where("locId is not null").groupBy("locId").agg(F.max(F.struct("capturedAt", "updatedAt")).alias("last"))
-    live = texts.drop("form").join(last, "locId").where("late <=> last").drop("late", "last")
+    live = texts.drop("form").join(last.hint("shuffle_hash"), "locId").where("late <=> last").drop("late", "last")
     if excluded is not None:
-        live = live.join(excluded.select("locId"), "locId", "left_anti")
-    live = written(live.distinct(), "live")
-    kept = texts.select("field", "key", "form").join(live.select("field", "key").distinct(), ["field", "key"], "left_semi")
-    classes = written(kept.groupBy("field", "key").agg(F.first("form").alias("form")).withColumn("id", F.monotonically_increasing_id()), "classes")
-    members = live.join(classes.select("field", "key", F.col("id").alias("class")), ["field", "key"]).select("class", "field", "locId", "unit")
-    return written(members, "members"), written(similar_texts(classes, similarity), "links")
+        live = live.join(excluded.select("locId").hint("shuffle_hash"), "locId", "left_anti")
+    live = written(live.groupBy("locId", "unit", "field", "k1", "k2").agg(F.min("id").alias("id")), "live")
+    # the first row of a class stands for it
+    classes = live.groupBy("field", "k1", "k2").agg(F.min("id").alias("class"))
+    members = written(live.drop("id").join(classes.hint("shuffle_hash"), ["field", "k1", "k2"]).select("class", "field", "locId", "unit"), "members")
+    standing = members.select(F.col("class").alias("id")).distinct()
+    kept = written(texts.select("id", "field", "form").join(standing.hint("shuffle_hash"), "id", "left_semi"), "classes")
+    drop_written(localizations.sparkSession, texts)
+    return members, written(similar_texts(kept, similarity), "links")
 
 
 def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
