@@ -4,8 +4,9 @@ Each spelling is reduced to comparable forms (parts in stored and in sorted
 order, Han names also romanised by readings learned from the catalog, surnames
 with what the summary says of place and year). All forms go through one
 pigeonhole segment join: a form is cut into ``EDITS + 1`` segments, of which at
-least one stays whole under ``EDITS`` edits; position-shifted substrings of the
-other forms are looked up in an inverted index of the segments, and hits are
+least one stays whole under ``EDITS`` edits (a swap across a border is undone in
+the index); position-shifted substrings of the other forms are looked up in an
+inverted index of the segments, and hits are
 verified by banded edit distance. Segments that many forms share are joined a
 second time on segments of what remains of the form, which is as exact and keeps
 common given names from pairing everybody. Verified pairs are judged by their
@@ -17,11 +18,12 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +37,8 @@ COMMON = 64  # forms from which a segment is joined on what remains, too
 ROLES = {"the", "et", "al", "author", "pseud", "editor", "ed", "translator", "trans", "illustrator", "official", "new", "writer", "studio account", "dr", "mr", "mrs", "ms", "prof"}
 LEGAL = {"co", "ltd", "inc", "gmbh", "llc", "corp", "corporation", "company", "limited", "ag", "sa", "bv", "plc", "kg", "sarl", "srl"}
 HAN_ROLES = re.compile(r"(?:作品集|工作室|老师|本人|作者|著|编著|编|译|绘|先生|女士|官方)$")
-# Short forms in the names of publishers.
-SHORT = {"pr": "press", "bks": "books", "bk": "book", "publ": "publishing", "pub": "publishing", "pubs": "publishers", "std": "studio", "st": "street", "ltn": "lantern", "cmx": "comics", "cmcs": "comics", "hbr": "harbor", "hrbr": "harbor", "brg": "bridge", "brdg": "bridge", "mtn": "mountain", "mt": "mountain", "hse": "house", "hs": "house", "ent": "entertainment", "intl": "international", "univ": "university", "assoc": "associates", "bros": "brothers", "grp": "group", "med": "media"}
+# Usual short forms in the names of firms; others are learned (see ``expanded``).
+SHORT = {"pr": "press", "bks": "books", "bk": "book", "publ": "publishing", "pub": "publishing", "pubs": "publishers", "st": "street", "mt": "mountain", "hse": "house", "ent": "entertainment", "intl": "international", "univ": "university", "assoc": "associates", "bros": "brothers", "grp": "group"}
 # Given names and their short forms.
 NICK = """abigail abby|alexander alex|amanda mandy|andrew andy|anthony tony|arthur art|barbara barb|benjamin ben|bernard bernie|catherine cathy|cecil cec|charles charlie|charles chuck|christine chris|christine chrissie|christopher chris|conrad con|daniel dan|daniel danny|david dave|deborah deb|deborah debbie|dorothy dot|dorothy dottie|edward ed|edward ted|edward eddie|elizabeth liz|elizabeth beth|elizabeth betty|emily em|florence flo|frances fran|francis frank|frederick fred|gabrielle gabby|george georgie|gerald gerry|gregory greg|harold harry|henry harry|henry hank|james jim|james jimmy|jennifer jen|jennifer jenny|jeremy jerry|jessica jess|john jack|jonathan jon|joseph joe|joseph joey|joshua josh|judith judy|julia jules|katherine kate|katherine kathy|katherine katie|kenneth ken|kenneth kenny|laurence larry|leonard len|leonie leo|lorenz enzo|magnus mag|margaret maggie|margaret meg|margaret peggy|matthew matt|matilda tilda|michael mike|michael mick|nathaniel nate|nicholas nick|nicholas nicky|oskar ossie|pamela pam|patricia pat|patricia patty|patricia trish|patrick pat|patrick paddy|peter pete|philip phil|rebecca becky|richard dick|richard rick|richard rich|robert bob|robert rob|robert bobby|ronald ron|rosa rosie|samuel sam|sandra sandy|silas si|stephen steve|susan sue|susan susie|theodore ted|theodore theo|theresa tess|theresa terry|thomas tom|thomas tommy|timothy tim|ursula uschi|victoria vicky|vincent vince|wanda wendy|william bill|william will|william billy"""
 NICKS: dict[str, set[str]] = defaultdict(set)
@@ -71,15 +73,44 @@ def parts(title: str) -> tuple[str, ...]:
     return tuple(SHORT.get(w, w) for w in kept or words)
 
 
-def facts(summary: str | None) -> str:
-    """What a summary says of place and year, as one string, '' where it doesn't say both."""
-    if not summary:
-        return ""
-    year = re.search(r"(?<!\d)(1[5-9]\d\d|20\d\d)(?!\d)", summary)
-    # the rarest kind of word: a capital one that no sentence begins with or that is foreign to its script
-    place = re.findall(r"(?:(?<=from )|(?<=in )|(?<=\()|(?<=居)|(?<=^)|(?<=[^\x00-\x7f]))([A-ZÀ-Þ][a-zà-ÿ]{4,})(?=[,.)\s。，]|人| imprint|$)", summary)
-    place = [p for p in place if p not in ("Publisher", "Novelist", "Illustrator", "Translator", "Workshop", "Record", "Holds", "Born")]
-    return f"{plain(place[0])}{year.group(1)}" if year and place else ""
+def expanded(names: tuple[str, ...], common: frozenset[str]) -> tuple[str, ...]:
+    """The parts of a name with short ones written out, each the only common part whose letters it has in order, the first in front; an x stands for cs or ks."""
+    return tuple(_long(p, common) for p in names)
+
+
+@lru_cache(maxsize=100_000)
+def _long(part: str, common: frozenset[str]) -> str:
+    if not 2 <= len(part) <= 4 or part in common or HAN.match(part):
+        return part
+    found = {c for c in common if len(c) >= 5 and c[0] == part[0] and any(in_order(part.replace("x", x), c) for x in ("cs", "ks"))}
+    return found.pop() if len(found) == 1 else part
+
+
+def in_order(letters: str, word: str) -> bool:
+    rest = iter(word)
+    return all(c in rest for c in letters)
+
+
+def facts(names: DataFrame) -> DataFrame:
+    """(unit, said): what the summaries of units say of place and year, as one string, for those that say both.
+
+    The place is taken to be the rarest word with a capital, by the number of
+    units that have it in a summary; a word of more than half a percent of them
+    (held by two standard deviations) is no place.
+    """
+    told = names.where("summary <> ''").select("unit", "summary").distinct()
+    year = F.regexp_extract("summary", r"(?<!\d)(1[5-9]\d\d|20\d\d)(?!\d)", 1).alias("year")
+    words = told.select("unit", "summary", year, F.explode(F.regexp_extract_all("summary", F.lit(r"[A-ZÀ-Þ][a-zà-ÿ]{3,}"), F.lit(0))).alias("word")).where("year <> ''")
+    each = words.select("unit", "word").distinct().groupBy("word").agg(F.count("*").alias("n"))
+    bound = frequent(0.005, told.select("unit").distinct().count())
+    rare = words.join(each.where(~bound), "word").groupBy("unit", "summary", "year").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("word"))
+    flat = F.pandas_udf(lambda x: x.map(plain), T.StringType())
+    return rare.select("unit", F.concat(flat("word"), "year").alias("said")).groupBy("unit").agg(F.min("said").alias("said"))
+
+
+def frequent(share: float, units: int) -> Column:
+    """Whether a count ``n`` lies above a share of so many units by two standard deviations, so that few units tell as many do."""
+    return F.col("n") - 2 * F.sqrt("n") >= share * units
 
 
 def segment(s: str, k: int = EDITS) -> list[tuple[int, str]]:
@@ -94,10 +125,22 @@ def segment(s: str, k: int = EDITS) -> list[tuple[int, str]]:
 
 
 def index_keys(s: str, k: int = EDITS) -> list[tuple[str, str]]:
-    """(key, what remains) of each segment; a form too short for segments is indexed under its length."""
-    if len(s) <= k:
-        return [(f"{len(s)}", s)]
-    return [(f"{len(s)}:{i}:{seg}", s[:at] + s[at + len(seg) :]) for i, (at, seg) in enumerate(segment(s, k))]
+    """(key, what remains) of each segment, as it stands and with the characters at one of its borders swapped.
+
+    A swap of neighbours within a segment spoils one, but across a border two;
+    with the border swapped in the index one of them stays whole. A form too
+    short for segments is indexed under its length.
+    """
+    n = len(s)
+    if n <= k:
+        return [(f"{n}", s)]
+    cut = segment(s, k)
+    out = [(f"{n}:{i}:{seg}", s[:at] + s[at + len(seg) :]) for i, (at, seg) in enumerate(cut)]
+    for i, (at, _) in enumerate(cut[1:], 1):
+        if s[at - 1] != s[at]:
+            t = s[: at - 1] + s[at] + s[at - 1] + s[at + 1 :]
+            out += [(f"{n}:{j}:{t[a : a + len(seg)]}", t[:a] + t[a + len(seg) :]) for j, (a, seg) in ((i - 1, cut[i - 1]), (i, cut[i]))]
+    return out
 
 
 def probe_keys(s: str, k: int = EDITS) -> list[tuple[str, str]]:
@@ -151,8 +194,7 @@ def alike(a: str, b: str) -> bool:
     if a in NICKS and (b in NICKS[a] or b in NICKS and NICKS[a] & NICKS[b]) or b in NICKS and a in NICKS[b]:
         return True
     if len(a) <= 4 and a[0] == b[0] and len(b) > len(a) + 1:
-        rest = iter(b)
-        if all(c in rest for c in a):
+        if in_order(a, b):
             return True
     return len(a) >= 4 and within(a, b, 1 if len(a) < 7 else 2) <= (1 if len(a) < 7 else 2)
 
@@ -203,16 +245,14 @@ def learned_readings(names: DataFrame) -> dict[str, str]:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: Counter = Counter()
-            for titles in batch.column(0).to_pylist():
-                split = [parts(t) for t in titles]
-                for han in (p[0] for p in split if p and HAN.match(p[0])):
-                    for latin in ("".join(p) for p in split if p and not HAN.match(p[0])):
-                        if (cut := syllables(latin, len(han))) is not None:
-                            count.update(zip(han, cut, strict=True))
+            for p, q in zip(map(parts, batch.column(0).to_pylist()), map(parts, batch.column(1).to_pylist()), strict=True):
+                if p and q and HAN.match(p[0]) and not HAN.match(q[0]) and (cut := syllables("".join(q), len(p[0]))) is not None:
+                    count.update(zip(p[0], cut, strict=True))
             keys = list(count)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([count[k] for k in keys], pa.int64())], names=["c", "s", "n"])
 
-    both = names.groupBy("unit").agg(F.slice(F.array_sort(F.collect_set("title")), 1, 16).alias("titles")).where("size(titles) > 1").select("titles")
+    han = F.col("title").rlike(HAN.pattern)
+    both = names.where(han).select("unit", F.col("title").alias("h")).join(names.where(~han).select("unit", F.col("title").alias("l")), "unit").select("h", "l")
     summed = both.mapInArrow(pairs, "c string, s string, n long").groupBy("c", "s").agg(F.sum("n").alias("n"))
     best = summed.groupBy("c").agg(F.max_by("s", F.struct("n", "s")).alias("s"))
     return {r["c"]: r["s"] for r in best.collect()}
@@ -228,22 +268,22 @@ def syllables(latin: str, n: int) -> list[str] | None:
     return None
 
 
-_KEYS = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("rest", T.StringType())]))
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _parts_udf(s: pd.Series) -> pd.Series:
     return s.map(parts)
 
 
-@F.pandas_udf(_KEYS)
-def _index_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: [{"key": k, "rest": r} for k, r in index_keys(x)])
+def keyed(rows: DataFrame, keys: Callable[[str], list[tuple[str, str]]], own: Sequence[str]) -> DataFrame:
+    """Rows (own, key, rest) for each distinct key of the last column of ``rows``; ``own`` are columns of text before it."""
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [list(dict.fromkeys(keys(f))) for f in batch.column(len(own)).to_pylist()]
+            at = pa.array([i for i, ks in enumerate(made) for _ in ks], pa.int32())
+            flat = [[k[j] for ks in made for k in ks] for j in range(2)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(len(own))), *(pa.array(c, pa.string()) for c in flat)], names=[*own, "key", "rest"])
 
-@F.pandas_udf(_KEYS)
-def _probe_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: [{"key": k, "rest": r} for k, r in dict.fromkeys(probe_keys(x))])
+    return rows.mapInArrow(scan, ", ".join(f"{c} string" for c in (*own, "key", "rest")))
 
 
 @F.pandas_udf(T.IntegerType())
@@ -252,17 +292,16 @@ def _within_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def near_forms(distinct: DataFrame) -> DataFrame:
-    """(a, b, edits): all pairs of different strings of the column ``form`` within ``EDITS`` edits."""
-    index = written(distinct.select(F.col("form").alias("a"), F.explode(_index_udf("form")).alias("x")).select("a", "x.key", "x.rest"), "index")
-    probe = distinct.select(F.col("form").alias("b"), F.explode(_probe_udf("form")).alias("x")).select("b", "x.key", F.col("x.rest").alias("rest_b"))
+    """(a, b, edits): all pairs of different strings of the column ``form`` within ``EDITS`` edits, a swap of neighbours being one."""
+    index = written(keyed(distinct.select(F.col("form").alias("a"), "form"), index_keys, ["a"]), "index")
     size = index.groupBy("key").agg(F.count("*").alias("n"))
-    rare = index.join(size.where(F.col("n") <= COMMON).select("key"), "key", "left_semi")
-    common = index.join(size.where(F.col("n") > COMMON).select("key"), "key", "left_semi")
-    first = rare.join(probe.select("key", "b"), "key").select("a", "b")
-    held = common.select("a", "key", F.explode(_index_udf("rest")).alias("x")).select("a", "key", F.col("x.key").alias("key2"))
-    # what remains of the probing form may be the shorter one by no more than it was before
-    asked = probe.join(common.select("key").distinct(), "key", "left_semi").select("b", "key", F.explode(_probe_udf("rest_b")).alias("x")).select("b", "key", F.col("x.key").alias("key2"))
-    second = held.join(asked, ["key", "key2"]).select("a", "b")
+    # most keys that are asked for are in no form; those that are serve both joins
+    probe = written(keyed(distinct.select(F.col("form").alias("b"), "form"), probe_keys, ["b"]).join(size, "key"), "probe")
+    first = index.join(probe.where(F.col("n") <= COMMON).select("key", "b"), "key").select("a", "b")
+    common = size.where(F.col("n") > COMMON).select("key")
+    held = keyed(index.join(common, "key", "left_semi").select("a", F.col("key").alias("first"), "rest"), index_keys, ["a", "first"]).select("a", "first", "key")
+    asked = keyed(probe.where(F.col("n") > COMMON).select("b", F.col("key").alias("first"), "rest"), probe_keys, ["b", "first"]).select("b", "first", "key")
+    second = held.join(asked, ["first", "key"]).select("a", "b")
     hits = first.unionByName(second).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     # a swap is two plain edits, so twice the edits bound what the exact distance has to look at
     close = hits.where(F.levenshtein("a", "b", 2 * EDITS) >= 0)
@@ -326,24 +365,22 @@ def links(attributions: DataFrame) -> DataFrame:
     readings = spark.sparkContext.broadcast(learned_readings(titled.select("unit", "title").distinct()))
 
     # parts that many names share are given names and trades; at three parts a name there are at most 1,500 of them
-    share = max(8, int(0.002 * names.select("unit").distinct().count()))
+    units = names.select("unit").distinct().count()
     words = titled.select("unit", F.explode(_parts_udf("title")).alias("part")).distinct().groupBy("part").agg(F.count("*").alias("n"))
-    common = spark.sparkContext.broadcast(frozenset(r["part"] for r in words.where((F.col("n") >= share) & F.col("part").rlike("^[a-z]")).collect()))
+    common = spark.sparkContext.broadcast(frozenset(r["part"] for r in words.where(frequent(0.002, units) & F.col("part").rlike("^[a-z]")).collect()))
 
     def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for unit, title, said in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if p := parts(title):
+                if p := expanded(parts(title), common.value):
                     reading = "".join(readings.value.get(c, "?") for c in p[0]) if HAN.match(p[0]) else ""
                     out.append((unit, list(p), said, "" if "?" in reading else reading, forms(p, said, readings.value, common.value)))
             cols = list(zip(*out, strict=True)) or [[]] * 5
             text = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), text, pa.string(), pa.string(), text), strict=True)], names=["unit", "parts", "said", "reading", "forms"])
 
-    facts_udf = F.pandas_udf(lambda s: s.map(facts), T.StringType())
-    said = names.where("summary <> ''").select("unit", facts_udf("summary").alias("said")).where("said <> ''").groupBy("unit").agg(F.min("said").alias("said"))
-    shaped = titled.select("unit", "title").distinct().join(said, "unit", "left").select("unit", "title", F.coalesce("said", F.lit("")).alias("said"))
+    shaped = titled.select("unit", "title").distinct().join(facts(names), "unit", "left").select("unit", "title", F.coalesce("said", F.lit("")).alias("said"))
     known = written(shaped.mapInArrow(shape, "unit string, parts array<string>, said string, reading string, forms array<string>"), "shaped")
     # units of equal names and saying are judged alike, so the least of them stands for all
     own = known.groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("parts", "said", "reading"))).alias("names"))

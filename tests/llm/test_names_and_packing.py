@@ -9,34 +9,75 @@ from codexmill.llm import names, packing
 
 
 def edit(a, b):
-    row = list(range(len(b) + 1))
+    """Edits between two strings, a swap of neighbours being one."""
+    rows = [list(range(len(b) + 1))]
     for i, c in enumerate(a, 1):
-        before, row[0] = row[0], i
+        row = [i]
         for j, d in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (c != d))
-    return row[-1]
+            best = min(row[j - 1] + 1, rows[-1][j] + 1, rows[-1][j - 1] + (c != d))
+            if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == d:
+                best = min(best, rows[-2][j - 2] + 1)
+            row.append(best)
+        rows.append(row)
+    return rows[-1][-1]
+
+
+def swapped(s, *places):
+    for p in places:
+        s = s[:p] + s[p + 1] + s[p] + s[p + 2 :]
+    return s
 
 
 def test_segment_join_equals_brute_force(spark, monkeypatch):
     rng = random.Random(1)
-    base = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 14))) for _ in range(150)]
-    forms = list({*base, *(x[: len(x) // 2] + "b" + x[len(x) // 2 + 1 :] for x in base)})
-    want = {(a, b) for a in forms for b in forms if a < b and edit(a, b) <= 2}
+    base = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 14))) for _ in range(110)]
+    long = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(6, 16))) for _ in range(30)]
+    forms = {*base, *(x[: len(x) // 2] + "b" + x[len(x) // 2 + 1 :] for x in base)}
+    for x in long:
+        p, q = sorted(rng.sample(range(len(x) - 1), 2))
+        forms |= {x, swapped(x, p, q) if q > p + 1 else swapped(x, p), swapped(x, p)[:-1] + "z", swapped(x, q)[1:], swapped(x, p) + "y"}
+    forms = sorted(forms - {""})
+    want = {(a, b): edit(a, b) for a in forms for b in forms if a < b and abs(len(a) - len(b)) < 3 and edit(a, b) <= 2}
+    assert all(names.within(a, b) == n for (a, b), n in want.items())
     for common in (1, 64):
         monkeypatch.setattr(names, "COMMON", common)
-        got = {(r["a"], r["b"]) for r in names.near_forms(spark.createDataFrame([(f,) for f in forms], "form string")).collect()}
-        assert want <= got
-        assert all(edit(a, b) <= 4 for a, b in got)
-
-
-def test_parts_and_facts():
-    assert names.parts('"Nurqobik Ltn. Bks Co., Ltd."') == ("nurqobik", "lantern", "books")
+        got = {(r["a"], r["b"]): r["edits"] for r in names.near_forms(spark.createDataFrame([(f,) for f in forms], "form string")).collect()}
+        assert got == want
+
+
+def test_no_pair_of_swaps_is_without_a_key():
+    rng = random.Random(2)
+    for _ in range(4000):
+        s = "".join(rng.sample("abcdefghijklmnopqrs", rng.randint(5, 12)))
+        p = rng.randrange(len(s) - 1)
+        q = rng.randrange(len(s) - 1)
+        t = swapped(s, p, q) if abs(p - q) > 1 else swapped(s, p)
+        if rng.random() < 0.5:
+            k = rng.randrange(len(t))
+            t = rng.choice([t[:k] + t[k + 1 :], t[:k] + "z" + t[k + 1 :], t[:k] + "z" + t[k:]])
+        if names.within(s, t) <= 2:
+            a, b = sorted((s, t), key=len)
+            assert {k for k, _ in names.index_keys(a)} & {k for k, _ in names.probe_keys(b)}, (s, t)
+    assert {k for k, _ in names.index_keys("abcdefghi")} & {k for k, _ in names.probe_keys("abdcefhgi")}
+
+
+def test_parts_and_short_forms():
+    assert names.parts('"Nurqobik Ltn. Bks Co., Ltd."') == ("nurqobik", "ltn", "books")
+    common = frozenset({"lantern", "harbor", "street", "studio", "comics"})
+    assert names.expanded(("nurqobik", "ltn", "hbr", "cmx", "st", "xyz"), common) == ("nurqobik", "lantern", "harbor", "comics", "st", "xyz")
     assert names.parts("JohnSmith") == ("john", "smith") and names.parts("月飞云西南·著") == ("月飞云西南",) and names.parts("") == ()
-    assert names.facts("Born in Setvoford. Novelist; debut 2013.") == names.facts("小说作者，2013年出道，现居Setvoford。") == "setvoford2013"
-    assert names.facts(None) == "" and names.facts("A writer.") == ""
     assert names.compatible(("a", "simlubis"), ("astrid", "bruno", "simlubis")) and not names.compatible(("anna", "simlubis"), ("bruno", "simlubis"))
 
 
+def test_facts_are_the_rarest_capital_and_the_year(spark):
+    said = {"a": "Born in Setvoford. Novelist; debut 2013.", "b": "小说作者，2013年出道，现居Setvoford。", "c": None, "d": "A writer.", "e": "Novelist, 1960", "f": "Seit 1931 lebt die Autorin Novelist in Überberg."}
+    said |= {f"x{i}": f"Novelist. Born in {chr(65 + i % 26)}{chr(97 + i // 26)}town, since 1990." for i in range(80)}
+    found = names.facts(spark.createDataFrame([(u, t, t) for u, t in said.items()], "unit string, title string, summary string"))
+    got = {r["unit"]: r["said"] for r in found.collect()}
+    assert got["a"] == got["b"] == "setvoford2013" and got["x0"] == "aatown1990" and not {"c", "d", "e"} & set(got)
+    assert got["f"] == "uberberg1931"
+
+
 def test_same_entities(spark, clash):
     x = "Novelist from Makwuford, first published in 1960."
     people = {
