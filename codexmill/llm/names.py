@@ -95,7 +95,7 @@ def facts(names: DataFrame) -> DataFrame:
     """(unit, said): what the summaries of units say of place and year, as one string, for those that say both.
 
     The place is taken to be the rarest word with a capital, by the number of
-    units that have it in a summary; a word of more than half a percent of them
+    units that have it in a summary (to a factor of two, then the longest); a word of more than half a percent of them
     (held by two standard deviations) is no place.
     """
     told = names.where("summary <> ''").select("unit", "summary").distinct()
@@ -103,7 +103,7 @@ def facts(names: DataFrame) -> DataFrame:
     words = told.select("unit", "summary", year, F.explode(F.regexp_extract_all("summary", F.lit(r"[A-ZÀ-Þ][a-zà-ÿ]{3,}"), F.lit(0))).alias("word")).where("year <> ''")
     each = words.select("unit", "word").distinct().groupBy("word").agg(F.count("*").alias("n"))
     bound = frequent(0.005, told.select("unit").distinct().count())
-    rare = words.join(each.where(~bound), "word").groupBy("unit", "summary", "year").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("word"))
+    rare = words.join(each.where(~bound), "word").groupBy("unit", "summary", "year").agg(F.min_by("word", F.struct(F.floor(F.log2(F.greatest("n", F.lit(4)))), -F.length("word"), "word")).alias("word"))
     flat = F.pandas_udf(lambda x: x.map(plain), T.StringType())
     return rare.select("unit", F.concat(flat("word"), "year").alias("said")).groupBy("unit").agg(F.min("said").alias("said"))
 
