@@ -74,13 +74,13 @@ def parts(title: str) -> tuple[str, ...]:
 
 
 def expanded(names: tuple[str, ...], common: frozenset[str]) -> tuple[str, ...]:
-    """The parts of a name with short ones written out, each the only common part whose letters it has in order, the first in front; an x stands for cs or ks."""
+    """The parts of a name with short ones written out: those without vowels, each the only common part whose letters it has in order, the first in front; an x stands for cs or ks."""
     return tuple(_long(p, common) for p in names)
 
 
 @lru_cache(maxsize=100_000)
 def _long(part: str, common: frozenset[str]) -> str:
-    if not 2 <= len(part) <= 4 or part in common or HAN.match(part):
+    if not re.fullmatch("[b-df-hj-np-tv-xz]{2,4}", part) or part in common:
         return part
     found = {c for c in common if len(c) >= 5 and c[0] == part[0] and any(in_order(part.replace("x", x), c) for x in ("cs", "ks"))}
     return found.pop() if len(found) == 1 else part
