@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Mapping
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +110,21 @@ def json_leaves(texts: pd.Series) -> pd.Series:
     return texts.map(string_leaves)
 
 
+def field_values(rows: DataFrame, ident: str, fields: Mapping[str, Column | str]) -> DataFrame:
+    """(unitId, field, value): one row for each value of the named fields of a record; a field may hold an array. Nulls are no values."""
+    of = [(name, _column(c)) for name, c in fields.items()]
+    kinds = rows.select(*[c.alias(n) for n, c in of]).schema
+
+    def entries(name: str, c: Column) -> Column:
+        values = c if kinds[name].dataType.typeName() == "array" else F.array(c)
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("field"), v.cast("string").alias("value")))
+
+    each = [entries(n, c) for n, c in of]
+    empty = F.array().cast("array<struct<field:string,value:string>>")
+    whole = F.flatten(F.array(*[F.coalesce(e, empty) for e in each]))
+    return rows.select(F.col(ident).alias("unitId"), F.explode(whole).alias("x")).select("unitId", "x.field", "x.value").where("value is not null")
+
+
 def whole_number(c: Column | str) -> Column:
     """A count as a long, null where it isn't a whole number that doubles hold exactly."""
     n = F.expr(f"try_cast({c} as decimal(38,6))") if isinstance(c, str) else c

@@ -86,9 +86,10 @@ def with_children(parents: DataFrame, key: str, children: Mapping[str, tuple[Dat
     return parents
 
 
-def language_sets(parents: DataFrame, children: DataFrame, key: str, member: str) -> DataFrame:
-    """(key, members): the sorted set of members of each parent, empty where it has no child."""
-    return parents.select(key).join(children.select(key, member), key, "left").groupBy(key).agg(sorted_set(member).alias("members"))
+def language_sets(parents: DataFrame, children: DataFrame, key: str, member: str, carried: Sequence[str] = ()) -> DataFrame:
+    """(key, carried, members): the sorted set of members of each parent, empty where it has no child, with other fields of the parent."""
+    sets = children.select(key, member).groupBy(key).agg(sorted_set(member).alias("members"))
+    return parents.select(key, *carried).join(sets, key, "left").withColumn("members", F.coalesce("members", F.array().cast(sets.schema["members"].dataType)))
 
 
 def set_distribution(sets: DataFrame, members: str = "members") -> DataFrame:

@@ -54,3 +54,15 @@ def subsets(rows: DataFrame, size: str, most: int = 12) -> DataFrame:
     bound = F.assert_true(n <= most, f"more than {most} items have too many subsets")
     masks = F.when(n >= 2, F.sequence(F.lit(1).cast("long"), F.expr(f"shiftleft(1L, {size})") - 2))
     return rows.where(bound.isNull()).withColumn("mask", F.explode(masks)).withColumn("items", F.bit_count("mask"))
+
+
+def first_valid(rows: DataFrame, keys: list[str], size: str, valid: Column, most: int = 12) -> DataFrame:
+    """(keys, mask, items): of each row the largest set of its items that is valid, the full set included, ties by the greater mask.
+
+    ``valid`` is a column over ``mask``. Rows without a valid set have none. Only
+    rows whose full set isn't valid are multiplied by their subsets.
+    """
+    full = rows.withColumn("mask", F.expr(f"shiftleft(1L, {size})") - 1).withColumn("items", F.col(size).cast("int"))
+    sound, rest = full.where(valid), full.where(~F.coalesce(valid, F.lit(False))).drop("mask", "items")
+    best = subsets(rest, size, most).where(valid).groupBy(*keys).agg(F.max(F.struct(F.col("items").cast("int").alias("items"), "mask")).alias("x"))
+    return sound.select(*keys, "mask", "items").unionByName(best.select(*keys, "x.mask", "x.items"))

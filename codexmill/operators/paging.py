@@ -30,9 +30,10 @@ def after(time: str, ident: str, cursor: tuple[object, str] | None) -> Column:
     return (F.col(time) >= t) & ((F.col(time) > t) | (F.col(ident) > i))
 
 
-def page(rows: DataFrame, time: str, ident: str, n: int, cursor: tuple[object, str] | None = None) -> DataFrame:
-    """The next ``n`` rows behind a cursor; planned as a top-k, not as a sort of everything."""
-    return rows.where(after(time, ident, cursor)).orderBy(time, ident).limit(page_size(n))
+def page(rows: DataFrame, time: str, ident: str, n: int, cursor: tuple[object, str] | None = None, cutoff: object = None) -> DataFrame:
+    """The next ``n`` rows behind a cursor, none later than ``cutoff``; planned as a top-k, not as a sort of everything."""
+    within = F.lit(True) if cutoff is None else F.col(time) <= F.lit(cutoff)
+    return rows.where(within & after(time, ident, cursor)).orderBy(time, ident).limit(page_size(n))
 
 
 def positions(rows: DataFrame, keys: Sequence[str], name: str = "position") -> DataFrame:
@@ -67,10 +68,10 @@ def disorder(rows: DataFrame, group: Sequence[str], order: Sequence[Column], val
     return rows.withColumn("__value", value).withColumn("__before", F.lag("__value").over(w)).where(F.col("__value") <= F.col("__before")).drop("__value", "__before")
 
 
-def gaps(numbers: DataFrame, part: str) -> DataFrame:
-    """(part, expected): part numbers that don't follow the one before them, counted from 0."""
-    each = numbers.select(F.col(part).cast("long").alias(part)).distinct()
-    w = Window.orderBy(part)  # one row for each part
+def gaps(numbers: DataFrame, part: str, group: Sequence[str] = ()) -> DataFrame:
+    """(group, part, expected): part numbers of each group that don't follow the one before them, counted from 0."""
+    each = numbers.select(*group, F.col(part).cast("long").alias(part)).distinct()
+    w = Window.partitionBy(*group).orderBy(part)  # one row for each part
     return each.withColumn("expected", F.coalesce(F.lag(part).over(w) + 1, F.lit(0).cast("long"))).where(F.col(part) != F.col("expected"))
 
 

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from codexmill.functions import hashing, text
-from codexmill.operators import candidates, catalog, citations, gates, paging
+from codexmill.operators import audit, candidates, catalog, citations, contracts, evidence, gates, packets, paging, workers
 from codexmill.operators.catalog import instant, norm_id
-from codexmill.sources.files import id_list, record_set, table
+from codexmill.session import scratch, written
+from codexmill.sources.files import id_list, json_lines, record_set, relations, statement, table
+from codexmill.sources.sinks import append_rows
+from codexmill.streaming.capture import capture_all, next_batch, progress, status
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+STATEMENTS = Path(__file__).parent / "statements"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -44,13 +50,14 @@ WITH versions AS (
 
 
 def localizations(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "localizations").select("locId", norm_id("unitId").alias("id"), "language", "title", "summary", "position").distinct()
+    """The localizations of all deliveries, without their texts; what counts them takes each ``locId`` once."""
+    return table(spark, d, "localizations").select("locId", norm_id("unitId").alias("id"), "language")
 
 
 @query(BOOKS + """, sets AS (SELECT b.id, b.created, count(l.language) AS n, coalesce(bool_or(l.language = 'ja'), false) AS ja FROM books b LEFT JOIN loc l USING (id) GROUP BY 1, 2)
 SELECT count(*) AS books, count(*) FILTER (WHERE ja) AS with_ja, count(*) FILTER (WHERE n = 0) AS without_language, epoch_us(min(created)) AS first_us, epoch_us(max(created)) AS last_us, epoch_us(max(created) FILTER (WHERE ja)) AS last_ja_us FROM sets""")
 def inventory_summary(spark: SparkSession, d: str) -> DataFrame:
-    sets = catalog.language_sets(books(spark, d), localizations(spark, d), "id", "language").join(books(spark, d).select("id", "created"), "id")
+    sets = catalog.language_sets(books(spark, d), localizations(spark, d), "id", "language", ["created"])
     ja = F.array_contains("members", "ja")
     return sets.agg(F.count("*").alias("books"), F.count_if(ja).alias("with_ja"), F.count_if(F.size("members") == 0).alias("without_language"), F.unix_micros(F.min("created")).alias("first_us"), F.unix_micros(F.max("created")).alias("last_us"), F.unix_micros(F.max(F.when(ja, F.col("created")))).alias("last_ja_us"))
 
@@ -109,7 +116,7 @@ aa AS (SELECT id, string_agg(kind || ':' || alias, '|' ORDER BY kind, term, alia
 SELECT b.id, coalesce(languages, '') AS languages, coalesce(names, '') AS names FROM b LEFT JOIN la USING (id) LEFT JOIN aa USING (id)""")
 def evidence_children(spark: SparkSession, d: str) -> DataFrame:
     parents = table(spark, d, "book_evidence").select(norm_id("id").alias("id")).distinct()
-    loc = localizations(spark, d).select("id", "locId", "language")
+    loc = localizations(spark, d).distinct()
     alias = table(spark, d, "aliases").select(norm_id("unitId").alias("id"), F.col("id").alias("alias"), "term", "kind").distinct()
     whole = catalog.with_children(
         parents,
@@ -145,7 +152,7 @@ def evidence_mixed_order(spark: SparkSession, d: str) -> DataFrame:
 def requested_ids(spark: SparkSession, d: str) -> DataFrame:
     wanted = id_list(spark, '["author", "translator", "author"]', "role")
     rows = table(spark, d, "attributions").select(F.lower("role").alias("role"), norm_id("creditedUnitId").alias("unit"))
-    return rows.join(F.broadcast(wanted), "role").groupBy("role").agg(F.count("*").alias("n"), F.countDistinct("unit").alias("credited"))  # a list of two
+    return rows.join(wanted, "role").groupBy("role").agg(F.count("*").alias("n"), F.countDistinct("unit").alias("credited"))
 
 
 @query("""WITH r(kind, label) AS (VALUES ('original', 'first'), ('alternate', 'other'), ('none', 'unused'))
@@ -170,13 +177,15 @@ def set_operations(spark: SparkSession, d: str) -> DataFrame:
     return one(loc.intersect(alias), "both").unionByName(one(loc.union(alias).distinct(), "either")).unionByName(one(t.subtract(alias), "unnamed"))
 
 
-@query("""WITH l AS (SELECT locId, min(lower(title)) AS t FROM localizations WHERE title IS NOT NULL GROUP BY 1), g AS (SELECT DISTINCT locId, substr(t, i, 6) AS gram FROM (SELECT locId, t, unnest(range(1, length(t) - 4)) AS i FROM l WHERE length(t) >= 6)),
-s AS (SELECT locId, count(*) AS size FROM g GROUP BY 1), k AS (SELECT gram FROM g GROUP BY 1 HAVING count(*) BETWEEN 2 AND 30),
-p AS (SELECT a.locId AS source, b.locId AS candidate, count(*) AS shared FROM g a JOIN k USING (gram) JOIN g b USING (gram) WHERE a.locId <> b.locId GROUP BY 1, 2),
-r AS (SELECT source, candidate, shared / (x.size + y.size - shared) AS score FROM p JOIN s x ON x.locId = source JOIN s y ON y.locId = candidate)
+@query(r"""WITH l AS (SELECT locId, min(lower(title)) AS t FROM localizations WHERE title IS NOT NULL GROUP BY 1),
+d AS (SELECT DISTINCT t, CASE WHEN regexp_matches(t, '[\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7af}\x{f900}-\x{faff}]') THEN 2 ELSE 6 END AS n FROM l WHERE t <> ''),
+g AS (SELECT DISTINCT t, substr(t, i, n) AS gram FROM (SELECT t, n, unnest(range(1, greatest(length(t) - n + 1, 1) + 1)) AS i FROM d)),
+s AS (SELECT t, count(*) AS size FROM g GROUP BY 1),
+p AS (SELECT a.t AS t, b.t AS u, count(*) AS shared FROM g a JOIN g b USING (gram) GROUP BY 1, 2),
+r AS (SELECT x.locId AS source, y.locId AS candidate, shared / (s.size + z.size - shared) AS score FROM p JOIN l x ON x.t = p.t JOIN l y ON y.t = p.u JOIN s ON s.t = p.t JOIN s z ON z.t = p.u WHERE x.locId <> y.locId)
 SELECT source, candidate, round(score, 9) AS score, row_number() OVER (PARTITION BY source ORDER BY score DESC, candidate) AS rank FROM r QUALIFY rank <= 5""")
 def candidate_links(spark: SparkSession, d: str) -> DataFrame:
-    """The titles most alike to each; the SQL leaves out n-grams of more than 30 titles, and titles under six characters."""
+    """The titles most alike to each."""
     rows = table(spark, d, "localizations").where("title is not null").groupBy("locId").agg(F.min(F.lower("title")).alias("t"))
     return candidates.candidates(rows, "locId", "t", n=candidates.by_script("t"), budget=30, most=5).select("source", "candidate", F.round("score", 9).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -196,10 +205,7 @@ def order_violations(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH p AS (SELECT DISTINCT runId, part FROM decisions), e AS (SELECT runId, part, coalesce(lag(part) OVER (PARTITION BY runId ORDER BY part) + 1, 0) AS expected FROM p) SELECT runId, part, expected FROM e WHERE part <> expected""")
 def part_gaps(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    each = table(spark, d, "decisions").select("runId", "part").distinct()
-    return each.withColumn("expected", F.coalesce(F.lag("part").over(Window.partitionBy("runId").orderBy("part")) + 1, F.lit(0).cast("long"))).where("part <> expected")
+    return paging.gaps(table(spark, d, "decisions"), "part", ["runId"])
 
 
 @query("""WITH b AS (SELECT lower(trim(id)) AS id FROM book_evidence GROUP BY 1), s AS (SELECT lower(trim(sourceUnitId)) AS id, count(*) AS n FROM decisions GROUP BY 1)
@@ -215,8 +221,6 @@ def undecided(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT s AS sources, n AS decisions, greatest(0, s - n) AS remaining, s <= n AS complete FROM (SELECT count(DISTINCT lower(trim(id))) AS s FROM book_evidence), (SELECT count(DISTINCT lower(trim(sourceUnitId))) AS n FROM decisions)""")
 def run_status(spark: SparkSession, d: str) -> DataFrame:
-    from codexmill.streaming.capture import status
-
     return status(table(spark, d, "book_evidence").select(norm_id("id").alias("source")), table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source")))
 
 
@@ -268,19 +272,55 @@ def issue_sample(spark: SparkSession, d: str) -> DataFrame:
 FORM = r"lower(trim(regexp_replace({}, '\s+', ' ', 'g')))"
 
 
+STORED = f"""SELECT DISTINCT lower(trim(unitId)) AS unitId, field, {{form}} AS value FROM (
+  SELECT unitId, 'localization_title' AS field, title AS v FROM localizations UNION SELECT unitId, 'localization_summary', summary FROM localizations
+  UNION SELECT l.unitId, 'localization_description', x.value ->> '$' FROM localizations l, json_tree(l.description) x WHERE json_valid(l.description) AND x.type = 'VARCHAR'
+  UNION SELECT unitId, 'localization_description', description FROM localizations WHERE NOT json_valid(description)
+  UNION SELECT unitId, 'alias', term FROM aliases
+  UNION SELECT id, 'isbn13', details.isbn13 FROM book_evidence UNION SELECT id, 'publication_date', details.publicationDate FROM book_evidence
+  UNION SELECT id, 'page_count', details.pageCount::VARCHAR FROM book_evidence UNION SELECT id, 'word_count', details.wordCount::VARCHAR FROM book_evidence
+  UNION SELECT id, 'release_status', details.releaseStatus FROM book_evidence UNION SELECT id, 'content_rating', contentRating FROM book_evidence
+  UNION SELECT unitId, 'attribution_title', x.title FROM (SELECT unitId, unnest(localizations) AS x FROM attributions)
+  UNION SELECT unitId, 'attribution_summary', x.summary FROM (SELECT unitId, unnest(localizations) AS x FROM attributions)
+  UNION SELECT unitId, 'attribution_role', role FROM attributions
+) WHERE v IS NOT NULL"""
+
+
+def stored_fields(spark: SparkSession, d: str) -> DataFrame:
+    """(unitId, field, value): everything stored of a book that a citation may quote."""
+    loc, book = table(spark, d, "localizations"), table(spark, d, "book_evidence")
+    credit = table(spark, d, "attributions")
+    named = credit.select("unitId", F.explode("localizations").alias("x"))
+    parts = [
+        text.field_values(loc, "unitId", {"localization_title": "title", "localization_summary": "summary", "localization_description": text.json_leaves("description")}),
+        text.field_values(table(spark, d, "aliases"), "unitId", {"alias": "term"}),
+        text.field_values(book, "id", {"isbn13": "details.isbn13", "publication_date": "details.publicationDate", "page_count": "details.pageCount", "word_count": "details.wordCount", "release_status": "details.releaseStatus", "content_rating": "contentRating"}),
+        text.field_values(named, "unitId", {"attribution_title": "x.title", "attribution_summary": "x.summary"}),
+        text.field_values(credit, "unitId", {"attribution_role": "role"}),
+    ]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole.withColumn("unitId", norm_id("unitId"))
+
+
 @query(f"""WITH c AS (SELECT DISTINCT lower(trim(sourceUnitId)) AS source, lower(trim(c.unitId)) AS unitId, c.field AS field, c.excerpt AS excerpt FROM (SELECT sourceUnitId, unnest(citations) AS c FROM decisions)),
-e AS (SELECT DISTINCT lower(trim(unitId)) AS unitId, 'localization_title' AS field, {FORM.format("title")} AS value FROM localizations WHERE title IS NOT NULL UNION SELECT lower(trim(unitId)), 'alias', {FORM.format("term")} FROM aliases WHERE term IS NOT NULL)
+e AS ({STORED.format(form=FORM.format("v"))})
 SELECT source, count(*) AS asked, count(*) FILTER (WHERE ok) AS found FROM (SELECT c.source, c.unitId, c.field, c.excerpt, coalesce(bool_or({FORM.format("c.excerpt")} <> '' AND contains(e.value, {FORM.format("c.excerpt")})), false) AS ok FROM c LEFT JOIN e ON e.unitId = c.unitId AND e.field = c.field GROUP BY 1, 2, 3, 4) GROUP BY 1""")
 def citation_match(spark: SparkSession, d: str) -> DataFrame:
     normal = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
     asked = citations.cited(table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source"), "citations"), ["source"]).withColumn("unitId", norm_id("unitId")).drop("place").distinct()
     asked = asked.withColumn("place", F.struct("unitId", "field", "excerpt"))
-    loc = table(spark, d, "localizations").select(norm_id("unitId").alias("unitId"), F.lit("localization_title").alias("field"), F.col("title").alias("value"))
-    alias = table(spark, d, "aliases").select(norm_id("unitId").alias("unitId"), F.lit("alias").alias("field"), F.col("term").alias("value"))
-    found = citations.supported(asked, loc.unionByName(alias), ["source"], normal)
+    found = citations.supported(asked, stored_fields(spark, d), ["source"], normal)
     return found.groupBy("source").agg(F.count("*").alias("asked"), F.count_if("found").alias("found"))
 
 
+@query(f"WITH e AS ({STORED.format(form='v')}) SELECT field, count(*) AS n, sum(length(value)) AS characters FROM e GROUP BY 1")
+def field_values(spark: SparkSession, d: str) -> DataFrame:
+    """What each citation field offers over all books."""
+    return stored_fields(spark, d).distinct().groupBy("field").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("characters"))
+
+
 @query("""WITH d AS (SELECT *, len(citations) AS n, flatten([b.citationIndexes FOR b IN basis]) AS used, [b.citationIndexes FOR b IN basis] AS each FROM decisions WHERE basis IS NOT NULL)
 SELECT CASE WHEN len([i FOR i IN used IF i < 0 OR i >= n]) > 0 THEN 'missing' WHEN len([x FOR x IN each IF len(list_distinct(x)) < len(x)]) > 0 THEN 'repeated' WHEN len(list_distinct(used)) < n THEN 'unused' ELSE 'sound' END AS state, count(*) AS n FROM d GROUP BY 1""")
 def citation_linkage(spark: SparkSession, d: str) -> DataFrame:
@@ -295,11 +335,13 @@ def citation_subsets(spark: SparkSession, d: str) -> DataFrame:
     return citations.subsets(rows, "k").groupBy("k", "mask", "items").agg(F.count("*").alias("n"))
 
 
-@query("""WITH n AS (SELECT DISTINCT x.title AS title FROM (SELECT unnest(localizations) AS x FROM attributions) WHERE length(x.title) >= 4), l AS (SELECT title FROM n), a AS (SELECT title AS term FROM n)
-SELECT title, term FROM l JOIN a ON title < term AND substr(title, 1, 4) = substr(term, 1, 4) WHERE ((length(title) = length(term) AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, i, 1) <> substr(term, i, 1)]) = 1)
-OR (length(title) = length(term) + 1 AND len([i FOR i IN range(1, length(title) + 1) IF substr(title, 1, i - 1) || substr(title, i + 1) = term]) > 0) OR (length(term) = length(title) + 1 AND len([i FOR i IN range(1, length(term) + 1) IF substr(term, 1, i - 1) || substr(term, i + 1) = title]) > 0))""")
+@query("""WITH n AS (SELECT DISTINCT x.title AS title FROM (SELECT unnest(localizations) AS x FROM attributions) WHERE length(x.title) >= 2)
+SELECT a.title AS title, b.title AS term FROM n a JOIN n b ON a.title < b.title AND abs(length(a.title) - length(b.title)) <= 1
+WHERE CASE WHEN length(a.title) = length(b.title) THEN len([i FOR i IN range(1, length(a.title) + 1) IF substr(a.title, i, 1) <> substr(b.title, i, 1)]) = 1
+WHEN length(a.title) > length(b.title) THEN len([i FOR i IN range(1, length(a.title) + 1) IF substr(a.title, 1, i - 1) || substr(a.title, i + 1) = b.title]) > 0
+ELSE len([i FOR i IN range(1, length(b.title) + 1) IF substr(b.title, 1, i - 1) || substr(b.title, i + 1) = a.title]) > 0 END""")
 def near_misses(spark: SparkSession, d: str) -> DataFrame:
-    """All pairs of credited names of two or more characters one edit apart; the SQL has only those of four or more that begin alike."""
+    """All pairs of credited names of two or more characters one edit apart."""
     return candidates.one_edit_pairs(table(spark, d, "attributions").select(F.explode("localizations.title").alias("title")), "title")
 
 
@@ -308,18 +350,12 @@ def json_fields(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k")).where("k is not null")
 
 
-@query()
+@query("""SELECT DISTINCT l.locId, coalesce(array_to_string(list(x.value ->> '$' ORDER BY x.id), chr(10)), '') AS leaves FROM (SELECT DISTINCT locId, description FROM localizations WHERE json_valid(description)) l LEFT JOIN json_tree(l.description) x ON x.type = 'VARCHAR' GROUP BY l.locId, l.description
+UNION SELECT DISTINCT locId, description FROM localizations WHERE description IS NOT NULL AND NOT json_valid(description)""")
 def description_leaves(spark: SparkSession, d: str) -> DataFrame:
-    """(locId, leaves, first): the strings in each description; NFKC and ordered JSON strings have no SQL."""
+    """(locId, leaves): the strings in each description."""
     rows = table(spark, d, "localizations").where("description is not null").select("locId", "description").distinct()
-    return rows.select("locId", F.array_join(text.json_leaves("description"), "\n").alias("leaves"))
-
-
-@query()
-def title_forms(spark: SparkSession, d: str) -> DataFrame:
-    """The forms of each distinct title."""
-    rows = table(spark, d, "localizations").select("title").where("title is not null").distinct()
-    return rows.select("title", text.title_key("title").alias("key"), text.squeezed("title").alias("squeezed"), text.spaced("title").alias("spaced"), text.prefix("title").alias("prefix"), text.excerpt("title").alias("excerpt"))
+    return rows.select("locId", F.array_join(text.json_leaves("description"), "\n").alias("leaves")).distinct()
 
 
 @query("""SELECT DISTINCT id, sha256('{"id":"' || id || '","kind":"' || kind || '","unitId":"' || unitId || '"}') AS hash FROM aliases""")
@@ -350,6 +386,338 @@ def repeated_deliveries(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "book_evidence").groupBy(norm_id("id").alias("id")).agg(F.count("*").alias("n"), F.countDistinct("evidenceHash").alias("versions"), F.max(F.col("details.pageCount").cast("long")).alias("pages")).where("n > 1")
 
 
+ZH = "SELECT lower(trim(id)) AS id, min(try_cast(createdAt AS TIMESTAMPTZ)) AS created FROM book_evidence WHERE list_sort(list_distinct(localizationLanguages)) = ['zh'] AND createdAt IS NOT NULL GROUP BY 1"
+
+
+def chinese(spark: SparkSession, d: str) -> DataFrame:
+    """(id, created) of the books stored as Chinese only, by what their records say."""
+    rows = table(spark, d, "book_evidence").where(catalog.exact_array("localizationLanguages", ["zh"]))
+    return rows.groupBy(norm_id("id").alias("id")).agg(F.min(instant("createdAt")).alias("created")).where("created is not null")
+
+
+ELIGIBLE = {"status": "published", "visibility": "public", "moderationStatus": "approved"}
+
+
+@query("SELECT lower(trim(id)) AS id, count(*) AS n FROM book_evidence WHERE status = 'published' AND visibility = 'public' AND moderationStatus = 'approved' AND try_cast(createdAt AS TIMESTAMPTZ) <= TIMESTAMPTZ '2025-01-01 00:00:00+00' GROUP BY 1")
+def eligible_books(spark: SparkSession, d: str) -> DataFrame:
+    """Books that match fixed values, made until a cutoff."""
+    made = instant("createdAt") <= F.lit("2025-01-01 00:00:00+00:00").cast("timestamp")
+    return table(spark, d, "book_evidence").where(catalog.matching(ELIGIBLE) & made).groupBy(norm_id("id").alias("id")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT kind, count(*) AS n FROM aliases WHERE language IS NULL GROUP BY 1")
+def aliases_without_language(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "aliases").where(catalog.matching({"language": None})).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("SELECT details.releaseStatus AS release, count(*) AS n, count(DISTINCT lower(trim(id))) AS books FROM book_evidence WHERE details.pageCount >= 100 AND status = 'published' GROUP BY 1")
+def stored_statement(spark: SparkSession, d: str) -> DataFrame:
+    """A statement from a file with bound parameters."""
+    relations(spark, d, ["book_evidence"])
+    return statement(spark, str(STATEMENTS / "books_by_release.sql"), least=100, status="published")
+
+
+@query("SELECT DISTINCT title, left(coalesce(nullif(trim(title), ''), locId::VARCHAR), 512) AS shown, locId FROM localizations")
+def shown_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "localizations").select("locId", "title", text.or_id("title", F.col("locId").cast("string")).alias("shown")).distinct()
+
+
+@query("SELECT DISTINCT id, coalesce(list_filter(localizations, lambda x: x.language = 'zh')[1].title, '') AS title FROM attributions")
+def preferred_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "attributions").select("id", text.preferred("localizations", "zh").alias("title")).distinct()
+
+
+def _nfkc_sql(c: str) -> str:
+    """SQL for NFKC and lower case: DuckDB has NFC alone, so what NFKC maps besides is written out from the Unicode tables."""
+    import unicodedata
+
+    one, many = [], []
+    for code in (*range(0xA0, 0x3400), *range(0xF900, 0x10000)):
+        ch = chr(code)
+        to = unicodedata.normalize("NFKC", ch)
+        if to != unicodedata.normalize("NFC", ch):
+            (one if len(to) == 1 else many).append((ch, to))
+    kept = [(a, b) for a, b in many if a in "\u2026\u2025\ufb00\ufb01\ufb02\ufb03\ufb04\u2116\u2122\u00bd\u00bc\u00be\u203c\u2049\u2048\u2167\u2166\u2165\u2163\u2162\u2161"]
+    quoted = lambda t: t.replace("'", "''")
+    out = f"translate({c}, '{quoted(''.join(a for a, _ in one))}', '{quoted(''.join(b for _, b in one))}')"
+    for x, y in kept:
+        out = f"replace({out}, '{x}', '{quoted(y)}')"
+    return f"lower(nfc_normalize({out}))"
+
+
+_SPACE_SQL = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in text.SPACE) + "]"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT title, {_nfkc_sql("title")} AS f FROM localizations WHERE title IS NOT NULL)
+SELECT title, regexp_replace(regexp_replace(f, '[\\p{{P}}\\p{{S}}]', '', 'g'), '{_SPACE_SQL}', '', 'g') AS key, regexp_replace(f, '{_SPACE_SQL}', '', 'g') AS squeezed, trim(regexp_replace(f, '{_SPACE_SQL}+', ' ', 'g')) AS spaced,
+left(regexp_replace(regexp_replace(f, '[\\p{{P}}\\p{{S}}]', '', 'g'), '{_SPACE_SQL}', '', 'g'), 4) AS prefix, nullif(left(regexp_replace(title, '^{_SPACE_SQL}+|{_SPACE_SQL}+$', '', 'g'), 240), '') AS excerpt FROM t""")
+def title_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The forms of each distinct title."""
+    rows = table(spark, d, "localizations").select("title").where("title is not null").distinct()
+    return rows.select("title", text.title_key("title").alias("key"), text.squeezed("title").alias("squeezed"), text.spaced("title").alias("spaced"), text.prefix("title").alias("prefix"), text.excerpt("title").alias("excerpt"))
+
+
+def signals() -> list[tuple[str, Column]]:
+    return [
+        ("empty_title", F.coalesce(F.trim("title") == "", F.lit(True))),
+        ("question_title", F.col("title").rlike("[?？]")),
+        ("trailing_noise", F.col("title").rlike("[<_]|[a-zA-Z]$")),
+        ("very_long_title", F.length("title") > 40),
+        ("sparse_metadata", F.col("summary").isNull() & F.col("description").isNull()),
+    ]
+
+
+@query("""WITH f AS (SELECT array_to_string(list_filter([CASE WHEN coalesce(trim(title) = '', true) THEN 'empty_title' END, CASE WHEN regexp_matches(title, '[?？]') THEN 'question_title' END, CASE WHEN regexp_matches(title, '[<_]|[a-zA-Z]$') THEN 'trailing_noise' END,
+CASE WHEN length(title) > 40 THEN 'very_long_title' END, CASE WHEN summary IS NULL AND description IS NULL THEN 'sparse_metadata' END], lambda x: x IS NOT NULL), ',') AS flags FROM localizations) SELECT flags, count(*) AS n FROM f GROUP BY 1""")
+def signal_flags(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "localizations").select(F.array_join(gates.flags(signals()), ",").alias("flags")).groupBy("flags").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE WHEN explanation IS NULL THEN 'v3' WHEN citations IS NOT NULL THEN 'v2' ELSE 'v1' END AS contract, count(*) AS n FROM decisions GROUP BY 1")
+def decision_contracts(spark: SparkSession, d: str) -> DataFrame:
+    """Which of three contracts a decision follows, by the fields it has."""
+    kind = F.when(F.col("explanation").isNull(), "v3").when(F.col("citations").isNotNull(), "v2").otherwise("v1")
+    return table(spark, d, "decisions").select(kind.alias("contract")).groupBy("contract").agg(F.count("*").alias("n"))
+
+
+def book_contract() -> list[tuple[str, Column]]:
+    return [
+        ("id", contracts.shaped("id", contracts.UUID)),
+        ("status", contracts.one_of("status", ["published"])),
+        ("visibility", contracts.one_of("visibility", ["public"])),
+        ("moderation", contracts.one_of("moderationStatus", ["approved"])),
+        ("rating", contracts.one_of("contentRating", ["general", "teen", "mature"])),
+        ("page_count", contracts.optional("details.pageCount", F.col("details.pageCount") > 0)),
+        ("word_count", contracts.optional("details.wordCount", F.col("details.wordCount") >= 0)),
+        ("isbn13", contracts.optional("details.isbn13", contracts.sized("details.isbn13", 13, 17))),
+        ("created", instant("createdAt").isNotNull()),
+        ("languages", contracts.counted("localizationLanguages", 1, 50)),
+        ("hash", contracts.shaped("evidenceHash", contracts.SHA256)),
+    ]
+
+
+@query("""WITH c AS (SELECT lower(trim(id)) AS id, array_to_string(list_filter([CASE WHEN NOT coalesce(regexp_matches(id, '^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$'), false) THEN 'id' END, CASE WHEN NOT coalesce(status = 'published', false) THEN 'status' END,
+CASE WHEN NOT coalesce(visibility = 'public', false) THEN 'visibility' END, CASE WHEN NOT coalesce(moderationStatus = 'approved', false) THEN 'moderation' END, CASE WHEN NOT coalesce(contentRating IN ('general', 'teen', 'mature'), false) THEN 'rating' END,
+CASE WHEN NOT coalesce(details.pageCount IS NULL OR details.pageCount > 0, false) THEN 'page_count' END, CASE WHEN NOT coalesce(details.wordCount IS NULL OR details.wordCount >= 0, false) THEN 'word_count' END,
+CASE WHEN NOT coalesce(details.isbn13 IS NULL OR length(details.isbn13) BETWEEN 13 AND 17, false) THEN 'isbn13' END, CASE WHEN try_cast(createdAt AS TIMESTAMPTZ) IS NULL THEN 'created' END, CASE WHEN NOT coalesce(len(localizationLanguages) BETWEEN 1 AND 50, false) THEN 'languages' END,
+CASE WHEN NOT coalesce(regexp_matches(evidenceHash, '^[0-9a-f]{64}$'), false) THEN 'hash' END], lambda x: x IS NOT NULL), ',') AS broken FROM book_evidence) SELECT id, broken, count(*) AS n FROM c WHERE broken <> '' GROUP BY 1, 2""")
+def contract_violations(spark: SparkSession, d: str) -> DataFrame:
+    rows = contracts.checked(table(spark, d, "book_evidence"), book_contract())
+    return rows.select(norm_id("id").alias("id"), F.array_join("violations", ",").alias("broken")).where("broken <> ''").groupBy("id", "broken").agg(F.count("*").alias("n"))
+
+
+@query(BOOKS + """, l AS (SELECT id, list_sort(list(DISTINCT language) FILTER (WHERE language <> '')) AS spoken FROM loc GROUP BY 1), m AS (SELECT b.id, coalesce(list_sort(list_distinct(list_filter(b.localizationLanguages, lambda x: x <> ''))), []) AS stored, coalesce(l.spoken, []) AS spoken, v.sourceEligible AS eligible
+FROM books b LEFT JOIN l USING (id) JOIN (SELECT lower(trim(id)) AS id, evidenceHash, updatedAt, capturedAt, sourceEligible FROM book_evidence QUALIFY row_number() OVER (PARTITION BY lower(trim(id)) ORDER BY try_cast(updatedAt AS TIMESTAMPTZ) DESC, capturedAt DESC, evidenceHash DESC) = 1) v USING (id))
+SELECT id, 'languages' AS field FROM m WHERE stored <> spoken UNION ALL SELECT id, 'eligible' FROM m WHERE (spoken = ['zh']) IS DISTINCT FROM eligible""")
+def record_consistency(spark: SparkSession, d: str) -> DataFrame:
+    """Books whose stored languages or eligibility aren't those that their localizations give."""
+    rows = table(spark, d, "book_evidence").select(norm_id("id").alias("id"), instant("updatedAt").alias("updated"), "capturedAt", "evidenceHash", "localizationLanguages", "sourceEligible")
+    last = catalog.latest(rows, "id", [F.col("updated"), F.col("capturedAt"), F.col("evidenceHash")])
+    spoken = localizations(spark, d).where("language <> ''").groupBy("id").agg(catalog.sorted_set("language").alias("spoken"))
+    none = F.array().cast("array<string>")
+    both = last.join(spoken, "id", "left").select("id", "sourceEligible", F.coalesce("spoken", none).alias("spoken"), F.coalesce(F.array_sort(F.array_distinct(F.filter("localizationLanguages", lambda x: x != ""))), none).alias("stored"))
+    return contracts.inconsistent(both, "id", {"languages": (F.col("stored"), F.col("spoken")), "eligible": (F.col("sourceEligible"), F.col("spoken") == F.array(F.lit("zh")))})
+
+
+@query("""WITH k AS (SELECT DISTINCT lower(trim(id)) AS id FROM book_evidence), n AS (SELECT DISTINCT packetId, lower(trim(sourceUnitId)) AS source, code, lower(trim(u)) AS id FROM (
+SELECT packetId, sourceUnitId, 'source' AS code, sourceUnitId AS u FROM decisions UNION ALL SELECT packetId, sourceUnitId, 'target', targetUnitId FROM decisions UNION ALL SELECT packetId, sourceUnitId, 'citation', unnest([c.unitId FOR c IN citations]) FROM decisions UNION ALL SELECT packetId, sourceUnitId, 'evidence', unnest(evidenceUnitIds) FROM decisions))
+SELECT packetId, source, code, id FROM n WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM k)""")
+def decision_bindings(spark: SparkSession, d: str) -> DataFrame:
+    """Ids in decisions that no book has."""
+    rows = table(spark, d, "decisions").select("packetId", norm_id("sourceUnitId").alias("source"), norm_id("targetUnitId").alias("target"), F.transform("citations.unitId", norm_id).alias("cited"), F.transform("evidenceUnitIds", norm_id).alias("evidence"))
+    empty = F.array().cast("array<string>")
+    ids = {"source": F.array("source"), "target": F.array("target"), "citation": F.coalesce("cited", empty), "evidence": F.coalesce("evidence", empty)}
+    return contracts.bound(rows, table(spark, d, "book_evidence").select(norm_id("id").alias("id")), ids, ["packetId", "source"]).distinct()
+
+
+@query(f"""WITH c AS (SELECT runId, part, packetId, lower(trim(sourceUnitId)) AS source, decidedAt, generate_subscripts(citations, 1) - 1 AS place, unnest(citations) AS c FROM decisions),
+f AS (SELECT runId, part, packetId, source, decidedAt, lower(trim(c.unitId)) AS unitId, c.field AS field, {FORM.format("c.excerpt")} AS form, min(place) AS place FROM c GROUP BY ALL)
+SELECT runId, part, source, decidedAt, unitId, field, form, place, row_number() OVER (PARTITION BY runId, part, packetId, source, decidedAt ORDER BY place) - 1 AS index FROM f""")
+def first_citations(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct citations of each decision and the index each has, in the order of first appearance."""
+    normal = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    keys = ["runId", "part", "packetId", "source", "decidedAt"]
+    rows = table(spark, d, "decisions").withColumn("source", norm_id("sourceUnitId"))
+    each = citations.cited(rows, keys).withColumn("unitId", norm_id("unitId"))
+    return citations.distinct_citations(each, keys, normal).select("runId", "part", "source", "decidedAt", "unitId", "field", "form", F.col("place").cast("long").alias("place"), F.col("index").cast("long").alias("index"))
+
+
+@query("""WITH b AS (SELECT DISTINCT lower(trim(id)) AS id FROM book_evidence), d AS (SELECT DISTINCT runId, part, packetId, decidedAt, lower(trim(sourceUnitId)) AS source, citations, len(citations) AS k FROM decisions WHERE len(citations) > 0),
+u AS (SELECT * EXCLUDE (citations), unnest(range(1, k + 1)) AS i, unnest([lower(trim(c.unitId)) FOR c IN citations]) AS unit FROM d), w AS (SELECT runId, part, packetId, decidedAt, source, k, coalesce(sum(CAST(power(2, i - 1) AS BIGINT)) FILTER (WHERE unit IS NULL OR unit NOT IN (SELECT id FROM b)), 0)::BIGINT AS bad FROM u GROUP BY ALL),
+m AS (SELECT runId, part, source, decidedAt, packetId, bad, unnest(range(1, CAST(power(2, k) AS BIGINT))) AS mask FROM w)
+SELECT runId, part, source, decidedAt, mask, bit_count(mask)::INT AS items FROM m WHERE mask & bad = 0 QUALIFY row_number() OVER (PARTITION BY runId, part, packetId, source, decidedAt ORDER BY bit_count(mask) DESC, mask DESC) = 1""")
+def valid_citations(spark: SparkSession, d: str) -> DataFrame:
+    """The largest set of a decision's citations that all name a known book."""
+    keys = ["runId", "part", "packetId", "source", "decidedAt"]
+    rows = table(spark, d, "decisions").withColumn("source", norm_id("sourceUnitId")).where(F.size("citations") > 0).select(*keys, "citations").distinct()
+    known = table(spark, d, "book_evidence").select(norm_id("id").alias("unitId")).distinct()
+    strange = citations.cited(rows, keys).withColumn("unitId", norm_id("unitId")).join(known, "unitId", "left_anti").groupBy(*keys).agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bad"))
+    sized = rows.join(strange, keys, "left").select(*keys, F.size("citations").alias("k"), F.coalesce("bad", F.lit(0).cast("long")).alias("bad"))
+    return citations.first_valid(sized, keys, "k", F.expr("(mask & bad) = 0")).select("runId", "part", "source", "decidedAt", "mask", "items")
+
+
+@query(rf"""WITH d AS (SELECT DISTINCT runId, part, packetId, decidedAt, lower(trim(sourceUnitId)) AS source, regexp_replace(explanation, '{text.UUID}', '<unit>', 'g') AS bare, list_sort([{{'n': -length(c.excerpt), 'e': c.excerpt}} FOR c IN coalesce(citations, []) IF c.excerpt <> '']) AS quotes FROM decisions WHERE explanation IS NOT NULL)
+SELECT DISTINCT runId, part, source, decidedAt, list_reduce(list_prepend(bare, [q.e FOR q IN quotes]), lambda t, e: replace(t, e, '<evidence>')) AS form FROM d""")
+def explanation_templates(spark: SparkSession, d: str) -> DataFrame:
+    """Explanations with ids and quoted excerpts replaced, the longest first, ties in order of the text."""
+    quotes = F.array_sort(F.coalesce("citations.excerpt", F.array().cast("array<string>")))
+    return table(spark, d, "decisions").where("explanation is not null").select("runId", "part", norm_id("sourceUnitId").alias("source"), "decidedAt", text.template("explanation", quotes).alias("form")).distinct()
+
+
+@query("SELECT DISTINCT part, 'part-' || lpad(part::VARCHAR, 5, '0') AS name, part AS number FROM decisions")
+def part_names(spark: SparkSession, d: str) -> DataFrame:
+    named = table(spark, d, "decisions").select("part").distinct().withColumn("name", text.part_name("part"))
+    return named.withColumn("number", text.part_number(F.concat("name", F.lit(".jsonl"))))
+
+
+@query("SELECT DISTINCT lower(trim(id)) AS id, try_cast(trim(replace(details.isbn13, '-', '')) AS BIGINT) AS digits FROM book_evidence WHERE NOT regexp_matches(coalesce(details.isbn13, ''), '[^0-9-]')")
+def whole_numbers(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "book_evidence").where(~F.coalesce("details.isbn13", F.lit("")).rlike("[^0-9-]")).select(norm_id("id").alias("id"), F.trim(F.replace("details.isbn13", F.lit("-"), F.lit(""))).alias("isbn"))
+    return rows.select("id", text.whole_number("isbn").alias("digits")).distinct()
+
+
+@query("""WITH r AS (SELECT DISTINCT runId, part, lower(trim(sourceUnitId)) AS source FROM decisions) SELECT runId, part, source, CAST(floor((row_number() OVER (PARTITION BY runId, part ORDER BY source) - 1) / 20) AS BIGINT) AS batch FROM r""")
+def source_batches(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "decisions").select("runId", "part", norm_id("sourceUnitId").alias("source")).distinct()
+    return paging.batches(rows, ["runId", "part"], [F.col("source")], 20)
+
+
+RUN = "run-1"
+PACKETS = f"""zh AS ({ZH}), placed AS (SELECT id, CAST(floor((row_number() OVER (ORDER BY created, id) - 1) / 20) AS BIGINT) AS part FROM zh), packs AS (SELECT part, list_sort(list(id)) AS sources FROM placed GROUP BY 1),
+hashed AS (SELECT part, sources, sha256('{{"part":' || part || ',"runId":"{RUN}","sourceUnitIds":["' || array_to_string(sources, '","') || '"]}}') AS packetId FROM packs)"""
+
+
+def packs(spark: SparkSession, d: str) -> DataFrame:
+    return packets.packets(chinese(spark, d), ["created", "id"], "id", RUN)
+
+
+@query(f"WITH {PACKETS} SELECT part, array_to_string(sources, ' ') AS sources, packetId FROM hashed")
+def source_packets(spark: SparkSession, d: str) -> DataFrame:
+    return packs(spark, d).select("part", F.array_join("sources", " ").alias("sources"), "packetId")
+
+
+@query(f"WITH {PACKETS} SELECT count(*) AS packets, sum(len(sources))::BIGINT AS sources FROM hashed")
+def packet_totals(spark: SparkSession, d: str) -> DataFrame:
+    return packs(spark, d).agg(F.count("*").alias("packets"), F.sum(F.size("sources")).alias("sources"))
+
+
+KIN = "kin AS (SELECT DISTINCT lower(trim(unitId)) AS id, left(lower(trim(title)), 3) AS t FROM localizations WHERE length(trim(title)) >= 2), linked AS (SELECT DISTINCT a.id AS source, b.id AS candidate FROM kin a JOIN kin b ON a.t = b.t AND a.id <> b.id)"
+EVIDENCE = "ev AS (SELECT lower(trim(id)) AS id, max(len(localizationLanguages))::BIGINT AS quality, min(try_cast(createdAt AS TIMESTAMPTZ)) AS created FROM book_evidence GROUP BY 1)"
+
+
+def kin(spark: SparkSession, d: str) -> DataFrame:
+    """(source, candidate): books with titles that begin with the same three characters, as an example of links."""
+    titled = table(spark, d, "localizations").select(norm_id("unitId").alias("id"), F.lower(F.trim("title")).alias("t")).where("length(t) >= 2").select("id", F.left("t", F.lit(3)).alias("t")).distinct()
+    return titled.withColumnRenamed("id", "source").join(titled.withColumnRenamed("id", "candidate"), "t").where("source <> candidate").select("source", "candidate").distinct()
+
+
+def evidence_facts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "book_evidence").groupBy(norm_id("id").alias("id")).agg(F.max(F.size("localizationLanguages")).cast("long").alias("quality"), F.min(instant("createdAt")).alias("created"))
+
+
+@query(f"""WITH {PACKETS}, {KIN}, {EVIDENCE}, own AS (SELECT part, unnest(sources) AS candidate, len(sources) AS k FROM hashed), others AS (SELECT DISTINCT o.part, o.k, l.candidate FROM own o JOIN linked l ON l.source = o.candidate WHERE NOT EXISTS (SELECT 1 FROM own p WHERE p.part = o.part AND p.candidate = l.candidate)),
+ranked AS (SELECT part, candidate, k + row_number() OVER (PARTITION BY part ORDER BY quality DESC, created, candidate) AS rank FROM others JOIN ev ON ev.id = candidate),
+every AS (SELECT part, candidate, row_number() OVER (PARTITION BY part ORDER BY candidate) AS rank FROM own UNION ALL SELECT part, candidate, rank FROM ranked WHERE rank <= 50),
+listed AS (SELECT part, list(candidate ORDER BY rank) AS candidates FROM every GROUP BY 1)
+SELECT part, packetId, len(candidates) AS n, sha256('{{"candidates":["' || array_to_string(candidates, '","') || '"],"packetId":"' || packetId || '"}}') AS inputHash, '' AS problems FROM hashed JOIN listed USING (part)""")
+def review_packets(spark: SparkSession, d: str) -> DataFrame:
+    """Whole packets: sources, ranked candidates, signals, hashes, and what the check of their hashes finds."""
+    own = packs(spark, d)
+    ranked = packets.ranked_candidates(own, kin(spark, d), evidence_facts(spark, d), [F.desc("quality"), F.asc("created")])
+    flagged = table(spark, d, "localizations").groupBy(norm_id("unitId").alias("id")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(gates.flags(signals()))))).alias("flags"))
+    whole = packets.review_packets(own, ranked, flagged)
+    return whole.select("part", "packetId", F.size("candidates").cast("long").alias("n"), "inputHash", F.array_join(packets.packet_problems(whole, RUN), ",").alias("problems"))
+
+
+@query(f"""WITH zh AS ({ZH}), {KIN}, {EVIDENCE}, page AS (SELECT id, created FROM zh WHERE (created, id) > (TIMESTAMPTZ '2024-09-01 00:00:00+00', '8') AND created <= TIMESTAMPTZ '2025-06-01 00:00:00+00' ORDER BY created, id LIMIT 64),
+near AS (SELECT source, candidate, row_number() OVER (PARTITION BY source ORDER BY candidate) AS rank FROM linked JOIN page ON page.id = source QUALIFY rank <= 5),
+wanted AS (SELECT id AS source, id AS unit, 0 AS rank FROM page UNION ALL SELECT source, candidate, rank FROM near)
+SELECT source, unit, rank, quality, epoch_us(created) AS created_us FROM wanted JOIN ev ON ev.id = unit""")
+def evidence_page(spark: SparkSession, d: str) -> DataFrame:
+    """A page of sources with their candidates and the evidence of both."""
+    at, until = (F.lit(x).cast("timestamp") for x in ("2024-09-01 00:00:00+00:00", "2025-06-01 00:00:00+00:00"))
+    links = kin(spark, d).withColumn("score", F.lit(1.0))
+    got = evidence.evidence_page(chinese(spark, d), links, evidence_facts(spark, d), "created", "id", 64, (at, "8"), until, most=5)
+    return got.select("source", "unit", F.col("rank").cast("long").alias("rank"), "evidence.quality", F.unix_micros("evidence.created").alias("created_us"))
+
+
+@query("""WITH b AS (SELECT lower(trim(id)) AS id FROM book_evidence GROUP BY 1), s AS (SELECT lower(trim(sourceUnitId)) AS id, count(*) AS n FROM decisions GROUP BY 1), issues AS (
+SELECT CASE WHEN s.id IS NULL THEN 'missing' WHEN b.id IS NULL THEN 'unexpected' ELSE 'duplicate' END AS code, coalesce(b.id, s.id) AS id FROM b FULL JOIN s ON b.id = s.id WHERE s.id IS NULL OR b.id IS NULL OR s.n > 1
+UNION ALL SELECT 'self_merge', lower(trim(sourceUnitId)) FROM decisions WHERE lower(trim(sourceUnitId)) = lower(trim(targetUnitId))
+UNION ALL SELECT 'legacy_contract', lower(trim(sourceUnitId)) FROM decisions WHERE explanation IS NOT NULL)
+SELECT code, count(*) AS n, array_to_string(list_sort(list(DISTINCT id))[1:20], ' ') AS ids FROM issues GROUP BY 1""")
+def audit_report(spark: SparkSession, d: str) -> DataFrame:
+    """Issues of several checks in one report."""
+    rows = table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("id"), norm_id("targetUnitId").alias("target"), "explanation")
+    covered = catalog.one_to_one(table(spark, d, "book_evidence").select(norm_id("id").alias("id")), rows.select("id"), "id")
+    each = {c: (covered.where(F.col("issue") == c), "id") for c in ("missing", "unexpected", "duplicate")}
+    each |= {"self_merge": (rows.where("id = target"), "id"), "legacy_contract": (rows.where("explanation is not null"), "id")}
+    return audit.report(audit.united(each)).select("code", "n", F.array_join("ids", " ").alias("ids"))
+
+
+@query("""WITH i AS (SELECT DISTINCT lower(trim(sourceUnitId)) AS id FROM decisions WHERE sourceUnitId IS NOT NULL), w AS (SELECT id, (strpos('0123456789abcdef', left(id, 1)) - 1) % 5 AS need FROM i)
+SELECT id, least(need + 1, 3)::INT AS attempts, CASE WHEN need < 3 THEN right(id, 4) END AS verdict, CASE WHEN need >= 3 THEN 'rejected: attempt 3' END AS error FROM w""")
+def worker_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """What a worker gives that accepts an item only after as many rejections as its id says."""
+    items = table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("id")).where("id is not null").distinct()
+    return workers.decided(items, stubborn, StructType().add("verdict", "string"), pause=no_pause)
+
+
+def no_pause(seconds: float) -> None:
+    pass
+
+
+def stubborn(items, feedback):
+    """A worker for the query above: it counts its attempts by the feedback it is given."""
+    out = {}
+    for item in items:
+        tried = int(feedback.get(item["id"], "attempt 0").split()[-1])
+        out[item["id"]] = {"verdict": item["id"][-4:]} if tried >= int(item["id"][0], 16) % 5 else workers.Rejected(f"attempt {tried + 1}")
+    return out
+
+
+PROGRESS = f"zh AS ({ZH}), placed AS (SELECT id, CAST(floor((row_number() OVER (ORDER BY created, id) - 1) / 20) AS BIGINT) AS part FROM zh), done AS (SELECT DISTINCT lower(trim(sourceUnitId)) AS id FROM decisions)"
+
+
+@query(f"WITH {PROGRESS}, e AS (SELECT part, count(*) AS n, count(done.id) AS d FROM placed LEFT JOIN done USING (id) GROUP BY 1) SELECT coalesce(min(part) FILTER (WHERE d < n) - 1, max(part), -1) AS completed, min(part) FILTER (WHERE d < n) AS next, coalesce(arg_min(n - d, part) FILTER (WHERE d < n), 0) AS pending FROM e")
+def decision_progress(spark: SparkSession, d: str) -> DataFrame:
+    placed = paging.parts(chinese(spark, d), ["created", "id"], 20).select("part", F.col("id").alias("source"))
+    return progress(placed, table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source")))
+
+
+@query(f"WITH {PROGRESS}, p AS (SELECT part, id AS source FROM placed WHERE id NOT IN (SELECT id FROM done WHERE id IS NOT NULL)) SELECT part, source FROM p WHERE part = (SELECT min(part) FROM p) ORDER BY source LIMIT 10")
+def pending_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The next batch of a part that isn't complete."""
+    placed = paging.parts(chinese(spark, d), ["created", "id"], 20).select("part", F.col("id").alias("source"))
+    return next_batch(placed, table(spark, d, "decisions").select(norm_id("sourceUnitId").alias("source")), 10)
+
+
+@query(f"WITH zh AS ({ZH}) SELECT id, epoch_us(created) AS created_us, CAST(floor((row_number() OVER (ORDER BY created, id) - 1) / 256) AS BIGINT) AS part FROM zh WHERE created <= TIMESTAMPTZ '2025-01-01 00:00:00+00'")
+def captured_pages(spark: SparkSession, d: str) -> DataFrame:
+    """All sources until a cutoff, captured page by page into parts and read back."""
+    until = "2025-01-01 00:00:00+00:00"
+    rows = written(chinese(spark, d), "sources")
+    got = capture_all(rows, scratch(spark, "capture"), "created", "id", 256, cutoff=F.lit(until).cast("timestamp"))
+    return got.select("id", F.unix_micros("created").alias("created_us"), "part")
+
+
+@query("SELECT runId, part, count(*) AS n, count(DISTINCT lower(trim(sourceUnitId))) AS sources, count(note) AS notes FROM decisions GROUP BY 1, 2")
+def recorded_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions appended as JSON Lines, read back strictly, and counted."""
+    rows = table(spark, d, "decisions").select("runId", "part", "sourceUnitId", "note")
+    path = scratch(spark, "lines")
+    append_rows(rows, path)
+    back = json_lines(spark, path, rows.schema)
+    return back.groupBy("runId", "part").agg(F.count("*").alias("n"), F.countDistinct(norm_id("sourceUnitId")).alias("sources"), F.count("note").alias("notes"))
+
+
+@query("SELECT DISTINCT id, sha256('{\"eligible\":' || coalesce(sourceEligible::VARCHAR, 'null') || ',\"id\":\"' || id || '\",\"languages\":' || coalesce('[' || array_to_string([CASE WHEN x IS NULL THEN 'null' ELSE '\"' || x || '\"' END FOR x IN localizationLanguages], ',') || ']', 'null') || '}') AS hash FROM book_evidence WHERE NOT regexp_matches(coalesce(array_to_string(localizationLanguages, ','), ''), '[\"\\\\]')")
+def evidence_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """The hash of a nested record, by its JSON with all fields."""
+    rows = table(spark, d, "book_evidence").where(~F.coalesce(F.array_join("localizationLanguages", ","), F.lit("")).rlike(r'["\\]'))
+    return rows.select("id", F.col("sourceEligible").alias("eligible"), F.col("localizationLanguages").alias("languages")).select("id", hashing.struct_hash("id", "eligible", "languages").alias("hash")).distinct()
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -53,15 +53,27 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     although several consumers follow.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, name: str) -> None:
+def file_system(spark: SparkSession, name: str):
+    """(file system, path) of a name, wherever Spark reaches it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new name in the shared folder, deleted by ``clear_written``."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    fs, path = file_system(spark, name)
+    fs.delete(path, True)
 
 
 def drop_written(spark: SparkSession, df: DataFrame) -> None:

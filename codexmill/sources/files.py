@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from codexmill.functions.text import PART_FILE, part_number
+from codexmill.operators.contracts import unknown_keys
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +55,7 @@ def json_lines(spark: SparkSession, path: str, schema: StructType, strict: bool
 
     A strict read ends with an error at the first line that doesn't fit; otherwise
     such a line is a row with ``_error`` holding it and every field null.
+    ``bad_lines`` tells which lines those are.
     """
     lines = spark.read.option("lineSep", "\n").text(path).where(F.trim("value") != "")
     shaped = StructType([*schema.fields]).add("_error", "string")
@@ -72,20 +75,42 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return whole.where(F.trim("value") != "").select("file", (F.col("n") + 1).alias("line"), "value")
 
 
-def json_document(path: str) -> object:
-    """A JSON file of the control plane."""
-    return json.loads(Path(path).read_text())
+def bad_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(file, line, problem, value): the lines of JSON Lines that don't fit a schema or have keys that it doesn't name."""
+    shaped = StructType([*schema.fields]).add("_error", "string")
+    read = numbered_lines(spark, path).select("*", F.from_json("value", shaped, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_error"}).alias("x"))
+    keys = unknown_keys("value", schema.fieldNames())
+    problem = F.when(F.col("x._error").isNotNull() | F.json_object_keys("value").isNull(), "doesn't fit").when(F.size(keys) > 0, F.concat(F.lit("unknown keys: "), F.array_join(keys, ", ")))
+    return read.select("file", "line", problem.alias("problem"), "value").where("problem is not null")
+
+
+def checked_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Records of JSON Lines that all fit; an error that names the first line that doesn't."""
+    bad = bad_lines(spark, path, schema).orderBy("file", "line").first()
+    if bad:
+        raise ValueError(f"{bad['file']}, line {bad['line']}: {bad['problem']}")
+    return json_lines(spark, path, schema)
+
+
+def json_document(path: str, known: Sequence[str] | None = None) -> object:
+    """A JSON file of the control plane; an error where it is an object with keys that aren't ``known``."""
+    value = json.loads(Path(path).read_text())
+    if known is not None and (not isinstance(value, dict) or set(value) - set(known)):
+        raise ValueError(f"{path} has to be an object with no keys but {', '.join(known)}")
+    return value
 
 
 def decision_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Records of a file that is a JSON array, one JSON object, or JSON Lines."""
-    head = Path(path).read_text()
-    try:
-        value = json.loads(head)
-    except ValueError:
-        return json_lines(spark, path, schema)
-    if not isinstance(value, list | dict):
+    """Records of a file that is a JSON array, one JSON object, or JSON Lines; only its first lines are looked at to tell."""
+    head = [r["value"].strip() for r in spark.read.option("lineSep", "\n").text(path).where(F.trim("value") != "").limit(2).collect()]
+    if head and head[0][0] not in "[{":
         raise ValueError("decisions are objects")
+    if len(head) == 2 and head[0][0] == "{":
+        try:
+            json.loads(head[0])
+            return json_lines(spark, path, schema)
+        except ValueError:
+            pass
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=True)
 
 

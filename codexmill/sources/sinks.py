@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from collections.abc import Sequence
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codexmill.session import file_system
+
 
 def _atomic(path: str, text: str) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
@@ -65,6 +68,21 @@ def write_once(rows: DataFrame, path: str, problems: DataFrame | None = None) ->
     rows.write.mode("errorifexists").parquet(path)
 
 
+def record(rows: DataFrame, path: str, key: str, problems: DataFrame | None = None) -> int:
+    """Append rows to a Parquet table after all checks, or append none: an error if a key comes twice, is there already, or a check found problems."""
+    spark = rows.sparkSession
+    if not rows.groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError("a key comes twice")
+    fs, there = file_system(spark, path)
+    if fs.exists(there) and not rows.join(spark.read.parquet(path).select(key), key, "left_semi").isEmpty():
+        raise ValueError("a key is recorded already")
+    if problems is not None and not problems.isEmpty():
+        raise ValueError("the check found problems, so nothing is written")
+    n = rows.count()
+    rows.write.mode("append").parquet(path)
+    return n
+
+
 def write_summary(rows: DataFrame, path: str) -> dict:
     """The single row of an aggregate as a JSON document."""
     found = rows.select(F.to_json(F.struct("*")).alias("j")).limit(2).collect()
@@ -75,6 +93,6 @@ def write_summary(rows: DataFrame, path: str) -> dict:
     return value
 
 
-def write_schema(rows: DataFrame, path: str) -> None:
-    """The schema of a table as a JSON document."""
-    write_json(path, json.loads(rows.schema.json()))
+def write_schema(rows: DataFrame, path: str, rules: Sequence[tuple[str, Column]] = ()) -> None:
+    """The schema of a table as a JSON document, with the rules of its contract."""
+    write_json(path, json.loads(rows.schema.json()) | {"rules": [{"code": code, "holds": str(rule)} for code, rule in rules]})

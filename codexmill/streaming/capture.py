@@ -1,9 +1,16 @@
-"""Incremental capture: pages behind a cursor, recovery from what is written, streams that end when all is read."""
+"""Incremental capture: pages behind a cursor, recovery from what is written, streams that end when all is read.
+
+Folders may lie on any file system that Spark can reach; locks and notes are
+files of it, so that a capture may be taken up on another machine.
+"""
 
 from __future__ import annotations
 
 import json
 import os
+import socket
+import time as clock
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
@@ -13,28 +20,77 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from codexmill.operators.paging import cursors, gaps, page
-from codexmill.sources.sinks import write_json
+from codexmill.session import file_system
+
+LEASE = 6 * 3600  # seconds after which a lock of another machine counts as left behind
+
+
+def _read(spark: SparkSession, name: str) -> str | None:
+    fs, path = file_system(spark, name)
+    if not fs.exists(path):
+        return None
+    size = fs.getFileStatus(path).getLen()
+    stream = fs.open(path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)).decode()
+    finally:
+        stream.close()
+
+
+def _write(spark: SparkSession, name: str, text: str, new: bool = False) -> None:
+    """A file with a text; where it has to be ``new``, an error if it is there already."""
+    fs, path = file_system(spark, name)
+    stream = fs.create(path, not new)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _left_behind(owner: str, age: float) -> bool:
+    host, _, process = owner.partition(" ")
+    if host == socket.gethostname() and process.isdigit():
+        return not Path(f"/proc/{process}").exists()
+    return age > LEASE
 
 
 @contextmanager
-def locked(path: str):
-    """An exclusive lock file; one left by a process that no longer runs is taken over."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
+def locked(spark: SparkSession, name: str):
+    """An exclusive lock file; one whose owner no longer runs is taken over.
+
+    A lock is taken over by renaming it, which only one of several can do, so
+    that no fresh lock of another is removed.
+    """
+    fs, path = file_system(spark, name)
+    own = f"{socket.gethostname()} {os.getpid()}"
     while True:
         try:
-            handle = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+            _write(spark, name, own, new=True)
             break
-        except FileExistsError:
-            owner = Path(path).read_text().strip()
-            if owner.isdigit() and Path(f"/proc/{owner}").exists():
-                raise RuntimeError(f"process {owner} holds {path}") from None
-            Path(path).unlink(missing_ok=True)
+        except Exception as e:
+            if not fs.exists(path):
+                if "AlreadyExists" not in str(e):
+                    raise
+                continue
+            owner, age = _read(spark, name) or "", clock.time() - fs.getFileStatus(path).getModificationTime() / 1000
+            if not _left_behind(owner, age):
+                raise RuntimeError(f"{owner or 'another process'} holds {name}") from None
+            aside = f"{name}.{uuid.uuid4().hex}"
+            if fs.rename(path, file_system(spark, aside)[1]):
+                fs.delete(file_system(spark, aside)[1], False)
     try:
-        os.write(handle, str(os.getpid()).encode())
-        os.close(handle)
         yield
     finally:
-        Path(path).unlink(missing_ok=True)
+        fs.delete(path, False)
+
+
+def _parts(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the parts that are written whole."""
+    fs, path = file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = [s.getPath() for s in fs.listStatus(path)]
+    return sorted(int(n.getName()[5:]) for n in names if n.getName().startswith("part=") and fs.exists(file_system(spark, f"{folder}/{n.getName()}/_SUCCESS")[1]))
 
 
 def checkpoint(spark: SparkSession, folder: str, time: str, ident: str) -> dict | None:
@@ -43,7 +99,7 @@ def checkpoint(spark: SparkSession, folder: str, time: str, ident: str) -> dict
     A crash between writing a part and noting it loses nothing, as nothing but
     the parts is trusted. Parts that don't follow each other are an error.
     """
-    if not Path(folder).exists() or not any(Path(folder).glob("part=*")):
+    if not _parts(spark, folder):
         return None
     rows = spark.read.parquet(folder)
     if not gaps(rows, "part").isEmpty():
@@ -53,28 +109,67 @@ def checkpoint(spark: SparkSession, folder: str, time: str, ident: str) -> dict
     return {"next": int(last["part"]) + 1, "rows": each.agg(F.sum("n")).first()[0], "cursor": (last["last_time"], last["last_id"]), "last": last["n"]}
 
 
-def capture_page(rows: DataFrame, folder: str, time: str, ident: str, n: int, start: tuple | None = None) -> dict:
-    """Write the next page as a part; ``complete`` once a page isn't full. ``start`` is another run's cursor to go on from."""
+def noted(spark: SparkSession, folder: str, time: str, ident: str) -> dict | None:
+    """Where a capture stands by its note, if the note tells of every part there is; otherwise worked out from the parts.
+
+    So a page reads no part but, after a crash between a part and its note, all.
+    """
+    text = _read(spark, f"{folder}.state.json")
+    note = json.loads(text) if text else None
+    there = _parts(spark, folder)
+    if note and there == list(range(note["next"])) and there:
+        last = spark.read.parquet(f"{folder}/part={there[-1]}").orderBy(F.desc(time), F.desc(ident)).select(time, ident).first()
+        return {"next": note["next"], "rows": note["total"], "cursor": (last[0], last[1]), "last": note["rows"]}
+    return checkpoint(spark, folder, time, ident)
+
+
+def capture_page(rows: DataFrame, folder: str, time: str, ident: str, n: int, start: tuple | None = None, cutoff: object = None) -> dict:
+    """Write the next page as a part; ``complete`` once a page isn't full.
+
+    ``start`` is another run's cursor to go on from. ``cutoff`` bounds the
+    population and is the same for all pages of a capture; another one is an
+    error.
+    """
     spark = rows.sparkSession
-    with locked(f"{folder}.lock"):
-        at = checkpoint(spark, folder, time, ident)
+    with locked(spark, f"{folder}.lock"):
+        text = _read(spark, f"{folder}.state.json")
+        if text and json.loads(text)["cutoff"] != (None if cutoff is None else str(cutoff)):
+            raise ValueError("a capture has one cutoff")
+        at = noted(spark, folder, time, ident)
         if at and at["last"] < n:
             return {"part": at["next"] - 1, "rows": 0, "complete": True}
-        got = page(rows, time, ident, n, at["cursor"] if at else start)
+        got = page(rows, time, ident, n, at["cursor"] if at else start, cutoff)
         number = at["next"] if at else 0
-        size = got.count()
-        if size:
-            got.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/part={number}")
-        state = {"part": number, "rows": size, "complete": size < n}
-        write_json(f"{folder}.state.json", state)
+        path = f"{folder}/part={number}"
+        # what an attempt that didn't end has left there is no part
+        fs, left = file_system(spark, path)
+        fs.delete(left, True)
+        got.coalesce(1).write.mode("errorifexists").parquet(path)
+        size = spark.read.schema(rows.schema).parquet(path).count()
+        if not size:
+            fs.delete(left, True)
+        state = {"part": number, "next": number + bool(size), "rows": size, "total": (at["rows"] if at else 0) + size, "complete": size < n, "cutoff": None if cutoff is None else str(cutoff)}
+        _write(spark, f"{folder}.state.json", json.dumps(state))
         return state
 
 
-def capture_all(rows: DataFrame, folder: str, time: str, ident: str, n: int) -> DataFrame:
-    """Capture pages until none is left; the same rows as one batch would give."""
-    while not capture_page(rows, folder, time, ident, n)["complete"]:
+def successor_start(spark: SparkSession, folder: str, time: str, ident: str, cutoff: object) -> tuple:
+    """The cursor from which another run goes on after this capture; an error if it is not complete or had another cutoff."""
+    state = json.loads(_read(spark, f"{folder}.state.json") or "null")
+    if not state or not state["complete"]:
+        raise ValueError("the run before isn't complete")
+    if state["cutoff"] != (None if cutoff is None else str(cutoff)):
+        raise ValueError("a run goes on with the cutoff of the one before")
+    return checkpoint(spark, folder, time, ident)["cursor"]
+
+
+def capture_all(rows: DataFrame, folder: str, time: str, ident: str, n: int, cutoff: object = None) -> DataFrame:
+    """Capture pages until none is left; the same rows as one batch would give, with their part."""
+    spark = rows.sparkSession
+    while not capture_page(rows, folder, time, ident, n, cutoff=cutoff)["complete"]:
         pass
-    return rows.sparkSession.read.schema(rows.schema).parquet(*[str(p) for p in Path(folder).glob("part=*")]) if Path(folder).exists() else rows.limit(0)
+    schema = StructType([*rows.schema.fields]).add("part", "long")
+    return spark.read.schema(schema).parquet(folder) if _parts(spark, folder) else spark.createDataFrame([], schema)
 
 
 def stream_files(spark: SparkSession, folder: str, schema: StructType, out: str, checkpoints: str, change: Callable[[DataFrame], DataFrame] = lambda d: d) -> int:
@@ -96,19 +191,40 @@ def stream_counts(spark: SparkSession, folder: str, schema: StructType, key: str
 def pending(parts: DataFrame, done: DataFrame, part: str = "part", source: str = "source") -> DataFrame:
     """The sources of the first part that isn't done."""
     left = parts.join(done.select(part, source), [part, source], "left_anti")
-    first = left.agg(F.min(part).alias(part))
-    return left.join(F.broadcast(first), part)  # one row
+    return left.join(F.broadcast(left.agg(F.min(part).alias(part))), part)  # one row
+
+
+def progress(parts: DataFrame, done: DataFrame, part: str = "part", source: str = "source") -> DataFrame:
+    """(completed, next, pending): one row with the last part that is complete together with all before it (-1 for none), the part to go on with and its sources left.
+
+    Where every part is complete the next is null and nothing is pending.
+    """
+    each = _by_part(parts, done, part, source)
+    open_ = F.when(F.col("done") < F.col("n"), F.struct(F.col(part).alias("p"), (F.col("n") - F.col("done")).alias("left")))
+    one = each.agg(F.min(open_).alias("x"), F.max(part).alias("last"))
+    return one.select(F.coalesce(F.col("x.p") - 1, "last", F.lit(-1)).cast("long").alias("completed"), F.col("x.p").cast("long").alias("next"), F.coalesce("x.left", F.lit(0)).cast("long").alias("pending"))
+
+
+def _by_part(parts: DataFrame, done: DataFrame, part: str, source: str) -> DataFrame:
+    marked = parts.select(part, source).distinct().join(done.select(source).distinct().withColumn("__done", F.lit(1)), source, "left")
+    return marked.groupBy(part).agg(F.count("*").alias("n"), F.count("__done").alias("done"))
+
+
+def next_batch(parts: DataFrame, done: DataFrame, n: int, part: str = "part", source: str = "source") -> DataFrame:
+    """(part, source): up to ``n`` sources of the first part that isn't complete, in order of id; a batch never crosses a part."""
+    left = parts.select(part, source).distinct().join(done.select(source), source, "left_anti")
+    return left.join(F.broadcast(left.agg(F.min(part).alias(part))), part).orderBy(source).limit(n).select(part, source)  # one row
 
 
 def status(parts: DataFrame, done: DataFrame, source: str = "source") -> DataFrame:
     """(sources, decisions, remaining, complete): one row."""
-    a = parts.agg(F.countDistinct(source).alias("sources"))
-    b = done.agg(F.countDistinct(source).alias("decisions"))
+    both = parts.select(F.col(source).alias("s"), F.lit(True).alias("asked")).unionByName(done.select(F.col(source).alias("s"), F.lit(False).alias("asked")))
+    one = both.agg(F.countDistinct(F.when(F.col("asked"), F.col("s"))).alias("sources"), F.countDistinct(F.when(~F.col("asked"), F.col("s"))).alias("decisions"))
     remaining = F.greatest(F.lit(0), F.col("sources") - F.col("decisions"))
-    return a.join(b).select("sources", "decisions", remaining.alias("remaining"), (remaining == 0).alias("complete"))
+    return one.select("sources", "decisions", remaining.alias("remaining"), (remaining == 0).alias("complete"))
 
 
-def read_state(folder: str) -> dict | None:
+def read_state(spark: SparkSession, folder: str) -> dict | None:
     """What the last capture noted, for a quick look; ``checkpoint`` is what counts."""
-    path = Path(f"{folder}.state.json")
-    return json.loads(path.read_text()) if path.exists() else None
+    text = _read(spark, f"{folder}.state.json")
+    return json.loads(text) if text else None
