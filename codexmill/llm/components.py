@@ -50,7 +50,8 @@ def _cell(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _round(edges: DataFrame, count: int, cell_edges: int) -> DataFrame:
     """(v, roots): what each vertex is called in the cells of its row and column."""
-    side = max(1, math.ceil(math.sqrt(count / cell_edges)))
+    # a mean of half the bound, so that only cells of hubs are cut
+    side = 1 if count <= cell_edges else math.ceil(math.sqrt(2 * count / cell_edges))
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(side)).cast("int")
     cells = edges.select("a", "b", block("a").alias("i"), block("b").alias("j"))
     if side > 1:

@@ -223,27 +223,57 @@ def clear_survivors(groups: DataFrame, books: DataFrame, localizations: DataFram
     return judged.where("distance = 0").groupBy("groupId").agg(F.count("*").alias("n"), F.min("unitId").alias("unitId")).where("n = 1").select("groupId", "unitId")
 
 
-def surviving_values(groups: DataFrame, books: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def trust(latest: F.Column) -> F.Column:
+    """The weight of a book's votes: 1, and as much again each for a usable isbn13, for approval, and for how recent it is.
+
+    The last falls by half with each year before ``latest``, the group's newest
+    update; a book without an instant has none of it.
+    """
+    years = (F.unix_micros(latest) - F.unix_micros("updated")) / (365.25 * 86400e6)
+    return F.lit(1.0) + usable_isbn("details.isbn13").cast("double") + F.coalesce((F.col("moderationStatus") == "approved").cast("double"), F.lit(0.0)) + F.coalesce(F.pow(F.lit(0.5), years), F.lit(0.0))
+
+
+def surviving_values(groups: DataFrame, books: DataFrame, localizations: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
     """(groupId, field, value, distance): for each group and field of a book, the existing value closest to the group's consensus.
 
-    Unusable values have no vote: an isbn13 with a wrong check digit, a page
-    count that isn't positive. Of values at one distance the one that more rows
-    carry wins, then the greater. A field without a usable value has no row.
+    Values are sequences of tokens: the words of a title (its characters where it
+    has ideographs), the parts of a date, one for what can't be parted. They vote
+    with the trust in their book. Unusable values have no vote: an isbn13 with a
+    wrong check digit, a page count that isn't positive, a blank text. Titles
+    vote by language, as fields ``title:en`` and so on. Of values at one distance
+    the one with more weight behind it wins, then the greater. A field without a
+    usable value has no row. Of several rows of a book all usable values count,
+    each once.
     """
     rows = books.select(
         norm_id("id").alias("unitId"),
+        instant("updatedAt").alias("updated"),
+        "details",
+        "moderationStatus",
         F.when(usable_isbn("details.isbn13"), F.regexp_replace("details.isbn13", r"[^0-9]", "")).alias("isbn13"),
         F.when(F.col("details.pageCount") > 0, F.col("details.pageCount").cast("string")).alias("pageCount"),
         F.when(F.trim("details.publicationDate") != "", F.trim("details.publicationDate")).alias("publicationDate"),
         F.when(F.trim("details.releaseStatus") != "", F.trim("details.releaseStatus")).alias("releaseStatus"),
-    ).distinct()
+    )
+    members = groups.select("groupId", "unitId").distinct()
+    known = members.join(rows, "unitId")
+    newest = known.groupBy("groupId").agg(F.max("updated").alias("latest"))
+    weighed = known.join(newest, "groupId").withColumn("weight", trust(F.col("latest")))
     names = ("isbn13", "pageCount", "publicationDate", "releaseStatus")
     each = F.explode(F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])).alias("field", "value")
-    values = groups.select("groupId", "unitId").join(rows, "unitId").select("groupId", "unitId", each).where("value is not null")
-    tokens = F.when(F.col("field") == "publicationDate", F.split("value", "-")).otherwise(F.array("value"))
-    typed = values.select(F.concat_ws("|", "groupId", "field").alias("group"), F.concat_ws("|", "unitId", "value").alias("unit"), "value", tokens.alias("tokens"))
-    voted = typed.select("group", "unit", "tokens", F.transform("tokens", lambda t: F.lit(0.0)).alias("merits"), F.lit(1.0).alias("weight"))
+    values = weighed.select("groupId", "unitId", "weight", each)
+    if localizations is not None:
+        title = F.trim(F.regexp_replace("title", r"\s+", " ")).alias("value")
+        titles = localizations.where("language <> ''").select(norm_id("unitId").alias("unitId"), F.concat(F.lit("title:"), F.lower("language")).alias("field"), title)
+        trusted = weighed.groupBy("groupId", "unitId").agg(F.max("weight").alias("weight"))
+        values = values.unionByName(trusted.join(titles, "unitId").select("groupId", "unitId", "weight", "field", "value"))
+    values = values.where("value <> ''").groupBy("groupId", "field", "unitId", "value").agg(F.max("weight").alias("weight"))
+    wide = F.col("value").rlike("[\u3040-\u30ff\u3400-\u9fff]")
+    tokens = F.when(F.col("field") == "publicationDate", F.split("value", "-")).when(F.col("field").startswith("title:"), F.when(wide, F.split("value", "")).otherwise(F.split("value", " "))).otherwise(F.array("value"))
+    typed = values.select(F.concat_ws("|", "groupId", "field").alias("group"), F.concat_ws("|", "unitId", "value").alias("unit"), F.array_remove(tokens, "").alias("tokens"), "weight")
+    voted = typed.select("group", "unit", "tokens", F.transform("tokens", lambda t: F.lit(0.0)).alias("merits"), "weight")
     judged = consensus(voted, chunk)
-    per = judged.groupBy("group", "distance", F.substring_index("unit", "|", -1).alias("value")).agg(F.count("*").alias("n"))
-    best = per.groupBy("group").agg(F.max_by(F.struct("value", "distance"), F.struct(-F.col("distance"), F.col("n"), F.col("value"))).alias("x"))
-    return best.select(F.substring_index("group", "|", 1).alias("groupId"), F.substring_index("group", "|", -1).alias("field"), "x.value", "x.distance")
+    value = F.expr("substring(unit, locate('|', unit) + 1)").alias("value")
+    per = judged.groupBy("group", "distance", value).agg(F.sum("weight").alias("weight"))
+    best = per.groupBy("group").agg(F.max_by(F.struct("value", "distance"), F.struct(-F.col("distance"), F.round("weight", 6), F.col("value"))).alias("x"))
+    return best.select(F.substring_index("group", "|", 1).alias("groupId"), F.expr("substring(group, locate('|', group) + 1)").alias("field"), "x.value", "x.distance")

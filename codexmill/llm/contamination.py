@@ -77,6 +77,12 @@ class Items:
             for at in range(0, max(1, len(own) - size + 1), step):
                 keys[size].append(own[at : at + size])
         self.keys = {c: np.unique(np.concatenate([signature(s) for s in segments])) if segments else None for c, segments in keys.items()}
+        # items with no shingle are looked up whole: by the number of their tokens, the hash of all of them
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        few = [(n, whole(tokens.hash[tokens.first[i] : tokens.first[i + 1]], n)[0], i) for i, n in enumerate(self.sizes) if n and not len(self.shingles[i])]
+        for n in {n for n, _, _ in few}:
+            own = sorted((h, i) for m, h, i in few if m == n)
+            self.short[n] = np.array([h for h, _ in own], np.uint64), np.array([i for _, i in own])
         flat = np.concatenate(self.shingles) if self.shingles else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.flat = flat[order]
@@ -92,6 +98,26 @@ def bitmap(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def whole(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each ``n`` tokens in a row, of whatever kind."""
+    h = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
+    for k in range(n):
+        h = h * M1 + hashes[k : k + len(h)]
+    return mix(h)
+
+
+def short_hits(tokens: Tokens, items: Items) -> list[tuple[int, int]]:
+    """(document, item) for the items with no shingle that stand whole in a document of the batch."""
+    out: set[tuple[int, int]] = set()
+    for n, (keys, owners) in items.short.items():
+        h = whole(tokens.hash, n)
+        lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+        for at in np.flatnonzero(hi > lo).tolist():
+            if tokens.doc[at] == tokens.doc[at + n - 1]:
+                out |= {(int(tokens.doc[at]), int(i)) for i in owners[lo[at] : hi[at]]}
+    return sorted(out)
+
+
 SALTS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * M1) | np.uint64(1)
 
 
@@ -192,8 +218,8 @@ def stretches(hashes: np.ndarray, items: Items) -> dict[int, float]:
 def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, share): documents that hold at least about ``share`` of an item in one stretch.
 
-    Null and empty texts leak nothing; an item shorter than one shingle can't be
-    found; repeated items and documents are reported once per id. Every form of
+    Null and empty texts leak nothing; an item shorter than one shingle leaks
+    where it stands whole; repeated items and documents are reported once per id. Every form of
     a document is searched, and the greatest share counts. Other columns are not
     read. An empty side gives an empty result.
     """
@@ -216,6 +242,7 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
                 for part in portions(texts):
                     tokens = Tokens(texts[part])
                     hashes, fits = tokens.shingles(WORDS, IDEOGRAPHS)
+                    out += [(ids[part.start + i], int(index.ids[j]), 1.0) for i, j in short_hits(tokens, index)]
                     for i in candidates(hashes, fits, tokens.doc, index):
                         a, b = tokens.first[i], tokens.first[i + 1]
                         own = hashes[a:b][fits[a:b]]

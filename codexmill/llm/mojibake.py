@@ -28,7 +28,7 @@ BITS = 20
 THRESHOLD = 12.0  # of the negated score in nats, from which a pair may belong to a garbled segment
 SUSPECT = 22.0  # from which a segment is tried for older encodings
 STRANGE = 30.0  # from which a pair has no place in an undone text
-JOIN = 12  # characters between two improbable pairs that one segment may bridge
+BRIDGE = 0.1  # nats that each pair below the threshold costs a segment
 AROUND = 60  # characters around an improbable part that have to gain with it
 LOST = chr(0xFFFD)
 # What a text's bytes were read as, and what they were.
@@ -54,6 +54,16 @@ def symbols() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def continuations() -> np.ndarray:
+    """Whether a character is what a byte that goes on in UTF-8 looks like, read as Western European."""
+    out = np.zeros(BMP + 1, bool)
+    out[0x80:0xC0] = True
+    out[[ord(bytes([b]).decode("cp1252", "replace")) for b in range(0x80, 0xC0)]] = True
+    out[ord(LOST)] = False
+    return out
+
+
 def points(text: str) -> np.ndarray:
     """A text's code points, those beyond the basic plane as one."""
     return np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), BMP)
@@ -139,6 +149,16 @@ def to_bytes(encoding: str) -> dict[str, int]:
     return out
 
 
+@lru_cache(maxsize=1)
+def begun() -> re.Pattern:
+    """What the first two bytes of a character in UTF-8 look like, read in any one-byte encoding."""
+    pairs = []
+    for e in (e for e in UTF8_READ_AS if e not in WIDE):
+        of = {b: re.escape(c) for c, b in to_bytes(e).items() if c > "\x7f"}
+        pairs.append("[" + "".join(of[b] for b in range(0xC2, 0xF5) if b in of) + "][" + "".join(of[b] for b in range(0x80, 0xC0) if b in of) + "]")
+    return re.compile("|".join(pairs))
+
+
 @lru_cache(maxsize=32)
 def byte_table(encoding: str) -> dict[int, int]:
     """For str.translate: a character to the one whose code is its byte; what the encoding doesn't have becomes 0xFF."""
@@ -218,19 +238,40 @@ def _encoded(ch: str, encoding: str) -> bytes:
 
 
 def segments(score: np.ndarray) -> list[tuple[int, int]]:
-    """Maximum-scoring segments: an improbable pair opens one, a stretch of ``JOIN`` other pairs ends it."""
+    """All maximum-scoring segments: none can be made longer or joined with the next without losing score.
+
+    Pairs above the threshold add what they exceed it by; each pair between
+    them costs ``BRIDGE``. Runs of either kind count as one value, so the work
+    follows the improbable pairs and not the length of the text.
+    """
     at = np.flatnonzero(score > 0)
     if not len(at):
         return []
-    cut = np.flatnonzero(np.diff(at) > JOIN)
-    return list(zip(at[np.append(0, cut + 1)].tolist(), (at[np.append(cut, len(at) - 1)] + 2).tolist(), strict=True))
+    opens = np.flatnonzero(np.append(True, np.diff(at) > 1))
+    begins, ends = at[opens].tolist(), (at[np.append(opens[1:], len(at)) - 1] + 1).tolist()
+    gains = np.add.reduceat(score[at], opens).tolist()
+    found: list[tuple[int, int, float, float]] = []  # begin, end, running sum before and after
+    total, last = 0.0, begins[0]
+    for begin, end, gain in zip(begins, ends, gains, strict=True):
+        before = total - BRIDGE * (begin - last)
+        total, last = before + gain, end
+        now = (begin, end, before, total)
+        while True:
+            # the nearest segment that began lower; it is joined if its end lies lower, too
+            k = next((k for k in range(len(found) - 1, -1, -1) if found[k][2] < now[2]), -1)
+            if k < 0 or found[k][3] >= now[3]:
+                break
+            now = (found[k][0], now[1], found[k][2], now[3])
+            del found[k:]
+        found.append(now)
+    return [(a, b + 1) for a, b, _, _ in found]
 
 
 class Inverter:
     """Undoes UTF-8 that was read as something else, run by run; what a run becomes is remembered."""
 
     def __init__(self, model: Model):
-        self.model, self.known, self.parts = model, {}, {}
+        self.model, self.known, self.parts, self.cuts = model, {}, {}, {}
 
     def run(self, run: str, before: str, after: str) -> str | None:
         """The undoing of a run of characters beyond ASCII that makes it more probable between its neighbours."""
@@ -252,10 +293,37 @@ class Inverter:
                 best = (gain, made)
         return best and best[1]
 
+    def split(self, runs: list[tuple[tuple[int, int], str]]) -> list[tuple[tuple[int, int], str]]:
+        """Runs with their places; one that can't be read whole without loss is parted where what can begins and ends."""
+        self.learn([run for _, run in runs])
+        out = []
+        for (a, b), run in runs:
+            whole = len(run) < 6 or any(not lost for _, lost in self.known[run]) or not begun().search(run)
+            cuts = [0, len(run)] if whole else self.cuts.get(run) or self.cuts.setdefault(run, self.borders(run))
+            out += [((a + x, a + y), run[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+        self.learn([run for _, run in out])
+        return out
+
+    @staticmethod
+    def borders(run: str) -> list[int]:
+        """Where a run parts into sound text and UTF-8 read in a one-byte encoding, if it does in one place.
+
+        Two-byte encodings read so hold valid UTF-8 by chance, but in many places.
+        """
+        best, most = [0, len(run)], 5
+        for wrong in UTF8_READ_AS:
+            if wrong in WIDE:
+                continue
+            spans = [m.span() for m in WHOLE_UTF8.finditer(run.translate(byte_table(wrong)))]
+            if len(spans) == 1 and (spans[0][0] == 0 or spans[0][1] == len(run)) and (size := spans[0][1] - spans[0][0]) > most:
+                best, most = sorted({0, len(run), *spans[0]}), size
+        return best
+
     def learn(self, runs: list[str]) -> None:
         """Work out the readings of runs not yet met, all at once."""
         if len(self.known) > 200_000:
             self.known.clear()
+            self.cuts.clear()
         new = [r for r in dict.fromkeys(runs) if r not in self.known]
         for r, readings in zip(new, self.readings(new), strict=True):
             self.known[r] = readings
@@ -329,6 +397,8 @@ class Inverter:
 
 
 BEYOND = re.compile(r"[^\x00-\x7f]+")
+# bytes as characters that are whole characters in UTF-8
+WHOLE_UTF8 = re.compile("(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
 # bytes of two-byte encodings may look like single letters between the others
 MIXED = re.compile(r"[^\x00-\x7f](?:[!-~]?[^\x00-\x7f])*")
 
@@ -336,9 +406,25 @@ MIXED = re.compile(r"[^\x00-\x7f](?:[!-~]?[^\x00-\x7f])*")
 def repair(text: str, inverter: Inverter, score: np.ndarray, restore: bool = True) -> tuple[bool, str]:
     """Whether any part of a text is garbled, and the text with what could be restored (as far as was looked unless ``restore``)."""
     shown = [m.span(2) for m in LITERAL.finditer(text)] if "<" in text else []
-    found, out, marks, last, size, rest = False, [], [], 0, 0, []
-    parted = []
-    for a, b in segments(score):
+    spans = segments(score)
+    found, made = _undone(text, inverter, score, spans, shown, restore)
+    if found and restore and made[2]:
+        # once UTF-8 is undone somewhere, what is as frequent in the corpus as sound text is looked at too
+        again = _undone(text, inverter, score, [*spans, *(m.span() for m in BEYOND.finditer(text))], shown, restore)[1]
+        made = again if again[2] else made
+    if found and not restore:
+        return True, text
+    text, score, _, rest = made
+    spots = [m.span() for a, b in rest for m in MIXED.finditer(text, a, b) if score[max(0, m.start() - 1) : m.end()].max(initial=0) > SUSPECT - THRESHOLD]
+    made = older(text, spots, inverter, restore)
+    return found or made is not None, text if made is None else made
+
+
+def _undone(text: str, inverter: Inverter, score: np.ndarray, spans: list[tuple[int, int]], shown: list[tuple[int, int]], restore: bool) -> tuple[bool, tuple[str, np.ndarray, bool, list[tuple[int, int]]]]:
+    """Whether UTF-8 was undone or is lost in spans of a text, and the text, its scores, whether any was undone, and the parts of spans left."""
+    found, changed, out, marks, last, size, rest = False, False, [], [], 0, 0, []
+    parted: list = []
+    for a, b in sorted(spans):
         if shown and any(x <= a + 1 and b - 1 <= y for x, y in shown):
             continue  # a reader is shown these characters as such
         while a > 0 and text[a - 1] > "\x7f":
@@ -347,32 +433,29 @@ def repair(text: str, inverter: Inverter, score: np.ndarray, restore: bool = Tru
             b += 1
         if parted and a < parted[-1][1]:
             a, b = parted[-1][0], max(b, parted.pop()[1])
-        parted.append((a, b, [(m, m.group()) for m in BEYOND.finditer(text, a, b)]))
-    inverter.learn([run for _, _, runs in parted for _, run in runs])
+        parted.append((a, b, [(m.span(), m.group()) for m in BEYOND.finditer(text, a, b)]))
+    parted = [(a, b, inverter.split(runs)) for a, b, runs in parted]
     readings = inverter.known
     for a, b, runs in parted:
         begin = a
-        for m, run in runs:
+        for (start, stop), run in runs:
             if not readings[run] and LOST not in run:
                 continue
-            made = inverter.run(run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1])
+            made = inverter.run(run, text[start - 1 : start] if start else "", text[stop : stop + 1])
             if made is None and LOST not in run:
                 continue
-            found = True
-            out += [text[last : m.start()], run if made is None else made]
-            marks += [score[last : m.start()], np.full(len(out[-1]), -THRESHOLD, np.float32)]
-            if begin < m.start():
-                rest.append((begin + size - last, m.start() + size - last))
+            if not restore:
+                return True, (text, score, made is not None, rest)
+            found, changed = True, changed or made is not None
+            out += [text[last:start], run if made is None else made]
+            marks += [score[last:start], np.full(len(out[-1]), -THRESHOLD, np.float32)]
+            if begin < start:
+                rest.append((begin + size - last, start + size - last))
             size += len(out[-2]) + len(out[-1])
-            begin = last = m.end()
+            begin = last = stop
         if begin < b:
             rest.append((begin + size - last, b + size - last))
-    if found and not restore:
-        return True, text
-    text, score = "".join(out) + text[last:], np.concatenate([*marks, score[last:]])
-    spots = [m.span() for a, b in rest for m in MIXED.finditer(text, a, b) if score[max(0, m.start() - 1) : m.end()].max(initial=0) > SUSPECT - THRESHOLD]
-    made = older(text, spots, inverter, restore)
-    return found or made is not None, text if made is None else made
+    return found, ("".join(out) + text[last:], np.concatenate([*marks, score[last:]]), changed, rest)
 
 
 def older(text: str, spots: list[tuple[int, int]], inverter: Inverter, restore: bool = True) -> str | None:
@@ -489,9 +572,12 @@ def garbled(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", re
                 beyond = low > 127
                 matters = np.flatnonzero(beyond[:-1] | beyond[1:])
                 score[matters] = model.one[low[matters]] + model.one[low[matters + 1]] - 3 * model.pair[(mix(signs[matters] * M1 + signs[matters + 1]) >> np.uint64(64 - BITS)).astype(np.int64)] - THRESHOLD
+                # what begins as UTF-8 read in a one-byte encoding does is tried however often the corpus has it
+                signed = np.flatnonzero((low[:-1] >= 0xC2) & (low[:-1] <= 0xF4) & continuations()[low[1:]])
                 # a character beyond ASCII by itself is hardly ever a piece of UTF-8, so it has to be stranger
                 alone = ~(beyond[matters] & beyond[matters + 1]) & (low[matters] != ord(LOST)) & (low[matters + 1] != ord(LOST))
                 score[matters[alone & (score[matters] <= SUSPECT - THRESHOLD)]] = -THRESHOLD
+                score[signed] = np.maximum(score[signed], 1.0)
                 odd = np.unique(np.searchsorted(at, np.flatnonzero(score > 0), "right") - 1)
                 for i in odd:
                     own = texts[part.start + i]

@@ -35,5 +35,23 @@ SELECT groupId, min(unitId) AS unitId FROM judged WHERE n > 1 AND isbn = bi AND
 """
 
 
+P7_EQUAL = """
+WITH newest AS (SELECT locId, lower(trim(unitId)) AS unit, summary FROM localizations WHERE locId IS NOT NULL QUALIFY row_number() OVER (PARTITION BY locId ORDER BY capturedAt DESC, updatedAt DESC) = 1)
+SELECT a.locId AS locIdA, b.locId AS locIdB FROM newest a JOIN newest b ON a.summary = b.summary AND a.locId < b.locId AND a.unit <> b.unit WHERE length(trim(a.summary)) >= 20
+"""
+
+P8_INVARIANTS = """
+SELECT count(*) AS documents, sum(length(coalesce(text, '')))::BIGINT AS characters, 0 AS split_in_vain, 0 AS repeated, 0 AS too_full, true AS packed FROM documents
+"""
+
+P9_VERBATIM = """
+SELECT DISTINCT doc_id, item_id FROM documents d JOIN eval_items e ON contains(d.text, e.text) WHERE e.text <> ''
+"""
+
+P10_LOST = """
+SELECT DISTINCT doc_id FROM documents WHERE contains(text, chr(65533)) AND NOT contains(text, '<code')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p7_equal": P7_EQUAL, "p8_invariants": P8_INVARIANTS, "p9_verbatim": P9_VERBATIM, "p10_lost": P10_LOST}

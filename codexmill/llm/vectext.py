@@ -192,7 +192,7 @@ class Tokens:
         last = self.first[1:][self.doc]
         for size, which in ((words, ~self.ideo), (ideographs, self.ideo)):
             h = np.zeros(n, np.uint64)
-            for k in range(size):
+            for k in range(min(size, n)):
                 h[: n - k] = h[: n - k] * M1 + self.hash[k:]
             out[which] = mix(h)[which]
             fits |= which & (np.arange(n) + size <= last)

@@ -86,9 +86,25 @@ def test_clear_survivors(spark):
     assert got == [("g", "a")]
 
 
+FIELDS = "id string, updatedAt string, moderationStatus string, details struct<isbn13:string,pageCount:int,publicationDate:string,releaseStatus:string>"
+
+
 def test_surviving_values(spark):
     groups = spark.createDataFrame([(u, "g") for u in "abcd"], "unitId string, groupId string")
-    fields = "id string, details struct<isbn13:string,pageCount:int,publicationDate:string,releaseStatus:string>"
-    rows = [("a", ("978-0-306-40615-7", 10, "2020-01-02", None)), ("b", ("9780306406157", 10, "2020-01-03", " ")), ("c", ("9780306406158", -1, "2020-01-02", None)), ("d", None)]
-    got = {r["field"]: r["value"] for r in consensus.surviving_values(groups, spark.createDataFrame(rows + rows[:1], fields)).collect()}
+    t, ok = "2024-01-01T00:00:00Z", "approved"
+    rows = [("a", t, ok, ("978-0-306-40615-7", 10, "2020-01-02", None)), ("b", t, ok, ("9780306406157", 10, "2020-01-03", " ")), ("c", t, ok, ("9780306406158", -1, "2020-01-02", None)), ("d", None, None, None)]
+    got = {r["field"]: r["value"] for r in consensus.surviving_values(groups, spark.createDataFrame(rows + rows[:1], FIELDS)).collect()}
     assert got == {"isbn13": "9780306406157", "pageCount": "10", "publicationDate": "2020-01-02"}
+    assert consensus.surviving_values(groups.limit(0), spark.createDataFrame(rows, FIELDS)).count() == 0
+
+
+def test_votes_weigh_trust_and_recency(spark):
+    groups = spark.createDataFrame([(u, "g") for u in ("a", "b", "c", "d", "e")], "unitId string, groupId string")
+    new, old = "2024-01-01T00:00:00Z", "2014-01-01T00:00:00Z"
+    isbn = "9780306406157"
+    rows = [("a", new, "approved", (isbn, 7, None, None)), ("b", old, "pending", (None, 9, None, None)), ("c", old, "pending", (None, 9, None, None)), ("d", None, None, (None, 9, None, None)), ("e", new, "approved", (isbn, 7, None, None))]
+    titles = [(1, "a", "EN", "The  Red Fox of Oak"), (2, "b", "en", "The Red Fix of Oak"), (3, "c", "en", "A Red Fox of Oak"), (4, "d", "en", "Fox"), (5, "e", "en", "The Red Fox of Elm"), (6, "a", "zh", "红狐狸传"), (7, "b", "zh", "红狐理传"), (8, "c", "zh", "红狐狸"), (9, "e", "", "x"), (10, "e", "de", " "), (11, "e", "zh", None)]
+    loc = spark.createDataFrame(titles, "locId long, unitId string, language string, title string")
+    got = {r["field"]: r["value"] for r in consensus.surviving_values(groups, spark.createDataFrame(rows, FIELDS), loc).collect()}
+    # two trusted and recent books outvote three that are neither; the tokens of several titles make up the winner
+    assert got == {"isbn13": isbn, "pageCount": "7", "title:en": "The Red Fox of Oak", "title:zh": "红狐狸传"}

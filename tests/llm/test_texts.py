@@ -2,6 +2,7 @@
 
 import random
 import unicodedata
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -208,6 +209,13 @@ def test_leaks_stand_in_references_comments_and_broken_tags(spark):
     assert contamination.forms(None) == contamination.forms("") == [] and contamination.forms("a b") == ["a b"]
 
 
+def test_items_below_a_shingle_leak_where_they_stand_whole(spark):
+    items = [(1, "Quorn"), (2, "blue heron"), (3, "苍鹭飞"), (4, "ein, zwei"), (5, "..."), (6, "blue Heron")]
+    docs = [(1, "A Blue Heron, and a quorn."), (2, "blue. heron"), (3, "bluer heron quorny"), (4, "那只苍鹭飞了"), (5, "blue"), (6, "heron"), (7, "Ein zwei drei"), (8, None)]
+    got = {tuple(r)[:2] for r in contamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 1), (1, 2), (1, 6), (2, 2), (2, 6), (4, 3), (7, 4)}
+
+
 def test_candidates_find_what_exact_search_finds():
     rng = random.Random(6)
     words = [f"w{rng.randint(0, 10**5)}" for _ in range(3000)]
@@ -249,6 +257,52 @@ def test_restoration_goes_on_after_the_first_repair(spark):
     assert [r["doc_id"] for r in mojibake.garbled(df, restore=False).collect()] == [5000]
 
 
+def test_segments_have_the_greatest_sums():
+    def brute(w, base=0):
+        sums = [(sum(w[i:j]), -(j - i), i, j) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+        best = max(sums, default=(0,))
+        if best[0] <= 0:
+            return []
+        _, _, i, j = best
+        return brute(w[:i], base) + [(base + i, base + j + 1)] + brute(w[j:], base + j)
+
+    rng = np.random.default_rng(4)
+    for n in [0, 1, 2, *rng.integers(3, 26, 150)]:
+        score = np.where(rng.random(n) < rng.choice([0.1, 0.4, 0.8]), rng.random(n) * rng.choice([0.2, 2.0]), -12.0).astype(np.float32)
+        assert mojibake.segments(score) == brute([float(x) if x > 0 else -mojibake.BRIDGE for x in score])
+
+
+DATA = Path("/root/testdata/sf0.01/documents.parquet")
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_planted_damage_is_undone(spark):
+    """Sound documents of a corpus, damaged whole and in places by every kind of confusion, come back as they were."""
+    corpus = spark.read.parquet(str(DATA))
+    bad = {r["doc_id"] for r in mojibake.garbled(corpus, restore=False).collect()}
+    rng = random.Random(12)
+    ways = {"fr": ["cp1252", "latin-1", "mac_roman", "cp437"], "de": ["cp1252", "latin-1", "mac_roman"], "es": ["cp1252", "latin-1"], "ru": ["cp1251", "cp1252", "koi8-r", "legacy"], "zh": ["cp1252", "latin-1", "gb18030"], "ja": ["cp1252", "latin-1"]}
+    planted = {}
+    for r in corpus.where("length(text) between 300 and 6000").orderBy("doc_id").collect():
+        if r["doc_id"] in bad or r["lang"] not in ways or len(planted) >= 150:
+            continue
+        text, way = r["text"], rng.choice(ways[r["lang"]])
+        a = rng.randrange(len(text) // 2)
+        b = a + rng.choice([100, 250, len(text)])
+        part = text[a:b] if rng.random() < 0.7 else text
+        try:
+            made = part.encode("cp1251").decode("koi8-r") if way == "legacy" else part.encode().decode(way)
+        except UnicodeError:
+            continue
+        if sum(c > "\x7f" for c in part) >= 8:
+            planted[10**6 + r["doc_id"]] = (text, text.replace(part, made, 1))
+    whole = corpus.select("doc_id", "text").unionByName(spark.createDataFrame([(k, g) for k, (_, g) in planted.items()], "doc_id long, text string"))
+    got = {r["doc_id"]: r["text"] for r in mojibake.garbled(whole).where("doc_id >= 1000000").collect()}
+    assert len(planted) >= 40
+    assert len(got) >= 0.97 * len(planted)
+    assert sum(got.get(k) == text for k, (text, _) in planted.items()) >= 0.9 * len(planted)
+
+
 @pytest.mark.parametrize("wrong,right", [("cp1252", "utf-8"), ("mac_roman", "utf-8"), ("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("gb18030", "utf-8")])
 def test_undo_is_an_exact_round_trip(wrong, right):
     text = "Мост через реку" if right != "utf-8" or wrong == "gb18030" else "façade “naïve” über"
