@@ -221,14 +221,12 @@ def forms(names: tuple[str, ...], said: str, readings: dict[str, str], common: f
         out.append(names[0])
         if all(c in readings for c in names[0]):
             out.append("".join(readings[c] for c in names[0]))
-        if said:
-            out.append(f"#{said}{names[0]}")
-        return out
+        return out + [f"#{said}{x}" for x in out if said]
     whole, ordered = "".join(names), "".join(sorted(names))
     out += [whole, ordered, "".join(names[1:] + names[:1]), "".join(names[-1:] + names[:-1])]
     long = [p for p in names if len(p) >= 4]
     if said:
-        out += [f"#{said}{p}" for p in long]
+        out += [f"#{said}{p}" for p in (whole, *long)]
     for k, p in enumerate(names):
         if len(p) >= 5 and p not in common:
             initials = {x[0] for j, q in enumerate(names) if j != k for x in (q, *NICKS.get(q, ()))}
@@ -317,40 +315,30 @@ def credited_names(attributions: DataFrame) -> DataFrame:
 NONE, WEAK, STRONG = 0, 1, 2
 
 
-def verdict(a_names: list[dict], b_names: list[dict], common: frozenset[str] = frozenset()) -> int:
-    """How surely two units are one entity, by their names and what is said of place and year.
+def verdict(x: dict, y: dict, common: frozenset[str] = frozenset()) -> int:
+    """How surely two units are one entity by a name of each and what they say of place and year.
 
     ``WEAK`` is a name that may be short for the other where place and year
     can't tell; it holds only where nobody else fits.
     """
-    fa, fb = {n["said"] for n in a_names if n["said"]}, {n["said"] for n in b_names if n["said"]}
-    agree = any(within(x, y, 1) <= 1 for x in fa for y in fb)
-    best = NONE
-    if fa and fb and not agree:
+    agree = bool(x["said"] and y["said"]) and within(x["said"], y["said"], 1) <= 1
+    if x["said"] and y["said"] and not agree:
         return NONE
-    for x in a_names:
-        for y in b_names:
-            p, q = tuple(x["parts"]), tuple(y["parts"])
-            han = bool(HAN.match(p[0])), bool(HAN.match(q[0]))
-            if all(han):
-                d = within(p[0], q[0])
-                if d == 0 or d <= (EDITS if agree else 1) and min(len(p[0]), len(q[0])) >= 3:
-                    return STRONG
-                continue
-            if any(han):
-                own, other = (x, q) if han[0] else (y, p)
-                if own["reading"] and within(own["reading"], "".join(other)) <= EDITS:
-                    return STRONG
-                continue
-            joined = min((within(f, g) for f in orders(p) for g in orders(q)), default=EDITS + 1)
-            size = min(len("".join(p)), len("".join(q)))
-            if joined <= (0 if size < 6 else 1 if size < 10 else EDITS):
-                return STRONG
-            if compatible(p, q, common):
-                if agree:
-                    return STRONG
-                best = WEAK
-    return best
+    p, q = tuple(x["parts"]), tuple(y["parts"])
+    han = bool(HAN.match(p[0])), bool(HAN.match(q[0]))
+    if all(han):
+        d = within(p[0], q[0])
+        return STRONG if d == 0 or d <= (EDITS if agree else 1) and min(len(p[0]), len(q[0])) >= 3 else NONE
+    if any(han):
+        own, other = (x, q) if han[0] else (y, p)
+        return STRONG if own["reading"] and within(own["reading"], "".join(other)) <= EDITS else NONE
+    size = min(len("".join(p)), len("".join(q)))
+    most = 0 if size < 6 else 1 if size < 10 else EDITS
+    if min((within(f, g, most) for f in orders(p) for g in orders(q)), default=EDITS + 1) <= most:
+        return STRONG
+    if compatible(p, q, common):
+        return STRONG if agree else WEAK
+    return NONE
 
 
 def orders(p: tuple[str, ...]) -> set[str]:
@@ -382,24 +370,29 @@ def links(attributions: DataFrame) -> DataFrame:
 
     shaped = titled.select("unit", "title").distinct().join(facts(names), "unit", "left").select("unit", "title", F.coalesce("said", F.lit("")).alias("said"))
     known = written(shaped.mapInArrow(shape, "unit string, parts array<string>, said string, reading string, forms array<string>"), "shaped")
-    # units of equal names and saying are judged alike, so the least of them stands for all
-    own = known.groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("parts", "said", "reading"))).alias("names"))
-    least = own.groupBy("names").agg(F.min("unit").alias("least"))
-    own = written(own.join(least, "names").select("unit", "least", "names"), "own")
+    named = written(known.select("unit", "parts", "said", "reading").distinct(), "named")
+    # units of equal names and saying are judged alike, so the least of them stands for all; a set of names is told by its hashes
+    of = ("parts", "said", "reading")
+    prints = named.groupBy("unit").agg(F.bit_xor(F.xxhash64(*of)).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), *of)).alias("h2"), F.count("*").alias("n"))
+    least = prints.groupBy("h1", "h2", "n").agg(F.min("unit").alias("least"))
+    own = written(prints.join(least, ["h1", "h2", "n"]).select("unit", "least"), "own")
     standing = own.where("unit = least").select("unit")
     entries = written(known.join(standing, "unit", "left_semi").select("unit", F.explode("forms").alias("form"), "said").distinct(), "forms")
     near = near_forms(entries.select("form").distinct()).select("a", "b")
-    left, right = entries.select(F.col("unit").alias("ua"), F.col("form").alias("a")), entries.select(F.col("unit").alias("ub"), F.col("form").alias("b"))
-    # every pair on a form, as one that refuses both may stand between two that fit; where both say something it has to agree
-    # (a swap of neighbours is two plain edits)
-    said_a, said_b = entries.select("form", F.col("unit").alias("ua"), F.col("said").alias("sa")), entries.select("form", F.col("unit").alias("ub"), F.col("said").alias("sb"))
+    left, right = (entries.select(F.col("unit").alias(f"u{k}"), F.col("form").alias(k), F.col("said").alias(f"s{k}")) for k in "ab")
+    # where both say something it has to agree (a swap of neighbours is two plain edits)
     agree = (F.col("sa") == "") | (F.col("sb") == "") | (F.levenshtein("sa", "sb", 2) >= 0)
-    equal = said_a.join(said_b, "form").where((F.col("ua") < F.col("ub")) & agree)
-    pairs = near.join(left, "a").join(right, "b").select("ua", "ub").unionByName(equal.select("ua", "ub")).where("ua <> ub")
+    # every pair on a form, as one that refuses both may stand between two that fit. Two that say something and agree share a form
+    # that holds what they say, so on other forms only those that are silent are joined, and of equal silent names one stands for all
+    silent = left.where("sa = ''").join(right.withColumnRenamed("b", "a"), "a").where("sb <> '' or ua < ub")
+    saying = left.where("sa <> '' and startswith(a, concat('#', sa))").join(right.withColumnRenamed("b", "a"), "a").where("sb <> '' and ua < ub")
+    pairs = near.join(left, "a").join(right, "b").where(agree).select("ua", "ub").unionByName(silent.select("ua", "ub")).unionByName(saying.select("ua", "ub")).where("ua <> ub")
     pairs = pairs.unionByName(own.where("unit <> least").select(F.col("least").alias("ua"), F.col("unit").alias("ub"))).select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()
-    both = pairs.join(own.select(F.col("unit").alias("a"), F.col("names").alias("na")), "a").join(own.select(F.col("unit").alias("b"), F.col("names").alias("nb")), "b")
-    judge = F.pandas_udf(lambda a, b: pd.Series([verdict(list(x), list(y), common.value) for x, y in zip(a, b, strict=True)], dtype="int32"), T.IntegerType())
-    return written(both.select("a", "b", judge("na", "nb").alias("sure")).where("sure > 0"), "links")
+    # name against name, so that no unit's names are collected
+    na, nb = (named.select(F.col("unit").alias(k), F.struct(*of).alias(f"n{k}")) for k in "ab")
+    both = pairs.join(na, "a").join(nb, "b")
+    judge = F.pandas_udf(lambda x, y: pd.Series([verdict(p, q, common.value) for p, q in zip(x.to_dict("records"), y.to_dict("records"), strict=True)], dtype="int32"), T.IntegerType())
+    return written(both.select("a", "b", judge("na", "nb").alias("sure")).groupBy("a", "b").agg(F.max("sure").alias("sure")).where("sure > 0"), "links")
 
 
 def same_entities(attributions: DataFrame) -> DataFrame:
