@@ -294,14 +294,17 @@ class Inverter:
         return best and best[1]
 
     def split(self, runs: list[tuple[tuple[int, int], str]]) -> list[tuple[tuple[int, int], str]]:
-        """Runs with their places; one that can't be read whole without loss is parted where what can begins and ends."""
-        self.learn([run for _, run in runs])
+        """Runs, learned before, with their places; one that can't be read whole without loss is parted where what can begins and ends."""
         out = []
         for (a, b), run in runs:
-            whole = len(run) < 6 or any(not lost for _, lost in self.known[run]) or not begun().search(run)
-            cuts = [0, len(run)] if whole else self.cuts.get(run) or self.cuts.setdefault(run, self.borders(run))
+            # no one-byte encoding has an ideograph, kana or syllable
+            if len(run) < 6 or min(run) >= "\u2e80" or any(not lost for _, lost in self.known[run]) or not begun().search(run):
+                out.append(((a, b), run))
+                continue
+            cuts = self.cuts.get(run) or self.cuts.setdefault(run, self.borders(run))
             out += [((a + x, a + y), run[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
-        self.learn([run for _, run in out])
+        if len(out) > len(runs):
+            self.learn([run for _, run in out])
         return out
 
     @staticmethod
@@ -434,6 +437,7 @@ def _undone(text: str, inverter: Inverter, score: np.ndarray, spans: list[tuple[
         if parted and a < parted[-1][1]:
             a, b = parted[-1][0], max(b, parted.pop()[1])
         parted.append((a, b, [(m.span(), m.group()) for m in BEYOND.finditer(text, a, b)]))
+    inverter.learn([run for _, _, runs in parted for _, run in runs])
     parted = [(a, b, inverter.split(runs)) for a, b, runs in parted]
     readings = inverter.known
     for a, b, runs in parted:
