@@ -27,6 +27,7 @@ from codexmill.session import drop_written, written
 
 WORDS, IDEOGRAPHS = 2, 4
 IDF_BITS = 20
+TEXT_BITS = 18  # of the number of a text among those that are worked on at once
 BANDS, ROWS = 48, 4
 SIMILARITY = 0.36
 POWER = 2  # of the inverse document frequency: wording that many texts share hardly counts
@@ -69,7 +70,8 @@ def leaves_udf(texts: pd.Series) -> pd.Series:
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingle, term frequency, first): the distinct shingles of each text, sorted, and where each text's begin.
 
-    A text shorter than one shingle has its tokens for shingles.
+    A text shorter than one shingle has its tokens for shingles. Hashes have
+    ``64 - TEXT_BITS`` bits, in front.
     """
     tokens = Tokens(texts)
     h, fits = tokens.shingles(WORDS, IDEOGRAPHS)
@@ -79,14 +81,16 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         alone = short[tokens.doc]
         h = np.where(alone, tokens.hash, h)
         fits = fits | alone
-    h, d = h[fits], tokens.doc[fits]
-    order = np.lexsort((h, d))
-    h, d = h[order], d[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+    # the text in front and the hash behind it in one number, so that one plain sort brings both in order
+    key = tokens.doc[fits].astype(np.uint64) << np.uint64(64 - TEXT_BITS) | h[fits] >> np.uint64(TEXT_BITS)
+    key.sort()
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    tf = np.diff(np.append(at, len(h)))
-    return h[at], tf, np.searchsorted(d[at], np.arange(len(counts) + 1))
+    tf = np.diff(np.append(at, len(key)))
+    key = key[at]
+    first = np.searchsorted(key, np.arange(len(counts) + 1, dtype=np.uint64) << np.uint64(64 - TEXT_BITS)) if len(counts) else np.zeros(1, np.int64)
+    return key << np.uint64(TEXT_BITS), tf, first
 
 
 def slot(h: np.ndarray) -> np.ndarray:
@@ -142,7 +146,7 @@ class Sampler:
         low, high = LOG_WEIGHTS
         level = np.rint((np.log(w) - low) * ((LEVELS - 1) / (high - low))).clip(0, LEVELS - 1).astype(np.uint32) * np.uint32(TABLE)
         # what shares a place in the table is told apart by as many bits again
-        upper, rest = (h >> np.uint64(32)).astype(np.uint32), (h & np.uint64(0x1FFFF)).astype(np.uint32)
+        upper, rest = (h >> np.uint64(32)).astype(np.uint32), (h >> np.uint64(TEXT_BITS)).astype(np.uint32) & np.uint32(0x1FFFF)
         at, key, starts = np.empty_like(upper), np.empty_like(rest), first[full]
         for k, rank in enumerate(self.ranks):
             np.multiply(upper, self.odd[k], out=at)

@@ -78,7 +78,7 @@ def portions(texts: list[str | None], chars: int = 400_000) -> Iterator[slice]:
     """Slices of a batch with about so many characters each, so that arrays stay in the cache and memory stays bounded."""
     begin = size = 0
     for i, t in enumerate(texts):
-        size += len(t or "")
+        size += len(t or "") + 2  # so that the number of texts is bounded, too
         if size >= chars:
             yield slice(begin, i + 1)
             begin, size = i + 1, 0
