@@ -366,7 +366,7 @@ def near_duplicate_classes(localizations: DataFrame, excluded: DataFrame | None
     standing = members.select(F.col("class").alias("id")).distinct()
     kept = written(texts.select("id", "field", "form").join(standing.hint("shuffle_hash"), "id", "left_semi"), "classes")
     drop_written(localizations.sparkSession, texts)
-    return members, written(similar_texts(kept, similarity), "links")
+    return members, similar_texts(kept, similarity)
 
 
 def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:

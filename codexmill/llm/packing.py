@@ -11,7 +11,6 @@ remaining gaps, largest first, each where the least space stays unused.
 from __future__ import annotations
 
 import base64
-import importlib.util
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +23,8 @@ from pyspark.sql import functions as F
 from codexmill.session import written
 
 TOKENIZERS = "/opt/tokenizers"
+# Fixed value: the pattern by which this public vocabulary parts a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CAPACITY = 2048
 SHARD = 40_000
 
@@ -33,12 +34,9 @@ def encoding(folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken"):
     """A byte-level BPE tokenizer from its public rank file."""
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("public_tokenizers", f"{folder}/__init__.py")
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
     with open(f"{folder}/{name}", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def pieces(text: str, enc, capacity: int) -> list[tuple[int, int, int]]:

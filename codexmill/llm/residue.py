@@ -264,9 +264,9 @@ def raw_texts(localizations: DataFrame) -> DataFrame:
 def recurring(raw: DataFrame) -> np.ndarray:
     """Hashes of the texts that make up more than a share ``HEAVY`` of all, of which there can't be more than its inverse."""
     each = raw.select(F.explode(F.array(*[F.when(F.col(c) != "", F.col(f"hash_{c}")) for c in FIELDS])).alias("h")).where("h is not null")
-    counts = each.groupBy("h").agg(F.count("*").alias("n"))
-    total = each.count()
-    return np.sort(counts.where(F.col("n") >= max(3.0, HEAVY * total)).select("h").toArrow()["h"].to_numpy().astype(np.int64))
+    # the sum over all reads the same shuffle as the counts
+    found = raw.sparkSession.sql("SELECT h FROM {counts} WHERE n >= greatest(3, {heavy} * (SELECT sum(n) FROM {counts}))", counts=each.groupBy("h").agg(F.count("*").alias("n")), heavy=HEAVY)
+    return np.sort(found.toArrow()["h"].to_numpy().astype(np.int64))
 
 
 def texts_of(batch: pa.RecordBatch, first: int) -> tuple[list[str], np.ndarray, np.ndarray]:
