@@ -32,6 +32,7 @@ BANDS, ROWS = 48, 4
 SIMILARITY = 0.36
 POWER = 2  # of the inverse document frequency: wording that many texts share hardly counts
 TABLE, LEVELS = 1 << 10, 32
+TOGETHER = 4  # samples whose ranks, drawn apart, stand at one place of a table and are looked up at once
 LOG_WEIGHTS = (-2.3, 8.5)  # range of log weights that are told apart in sampling
 SLICE = 256  # members of a band that are compared in one piece
 READ = 8 << 20  # bytes of bands that a task reads
@@ -127,12 +128,14 @@ class Sampler:
         rng = np.random.default_rng(seed)
         self.idf = np.log((n + 1) / (df + 0.5)).clip(0.01).astype(np.float32)
         steps = np.linspace(*LOG_WEIGHTS, LEVELS)[:, None]
-        self.ranks = np.zeros((samples, LEVELS * TABLE), np.uint16)
+        self.n = samples
+        ranks = np.zeros((-(-samples // TOGETHER), LEVELS * TABLE, TOGETHER), np.uint16)
         for k in range(samples):
             r, log_c, b = rng.gamma(2, 1, TABLE), np.log(rng.gamma(2, 1, TABLE)), rng.random(TABLE)
             value = log_c - r * (np.floor(steps / r + b) - b + 1)
-            self.ranks[k] = np.unique(value, return_inverse=True)[1].ravel()
-        self.odd = (mix(np.arange(1, samples + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+            ranks[k // TOGETHER, :, k % TOGETHER] = np.unique(value, return_inverse=True)[1].ravel()
+        self.ranks = ranks.view(np.uint64)[:, :, 0]
+        self.odd = (mix(np.arange(1, len(ranks) + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
     def weights(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return tf * self.idf[slot(h)] ** POWER
@@ -140,7 +143,7 @@ class Sampler:
     def samples(self, h: np.ndarray, w: np.ndarray, first: np.ndarray) -> np.ndarray:
         """One hash for each sample and text; two texts agree in one as often as their weighted Jaccard similarity."""
         full = np.flatnonzero(np.diff(first))
-        out = np.zeros((len(self.ranks), len(first) - 1), np.uint32)
+        out = np.zeros((self.n, len(first) - 1), np.uint32)
         if not len(full):
             return out
         low, high = LOG_WEIGHTS
@@ -148,13 +151,15 @@ class Sampler:
         # what shares a place in the table is told apart by as many bits again
         upper, rest = (h >> np.uint64(32)).astype(np.uint32), (h >> np.uint64(TEXT_BITS)).astype(np.uint32) & np.uint32(0x1FFFF)
         at, key, starts = np.empty_like(upper), np.empty_like(rest), first[full]
-        for k, rank in enumerate(self.ranks):
-            np.multiply(upper, self.odd[k], out=at)
+        for g, ranks in enumerate(self.ranks):
+            np.multiply(upper, self.odd[g], out=at)
             at >>= np.uint32(32 - TABLE.bit_length() + 1)
             at += level
-            np.left_shift(rank.take(at), np.uint32(17), out=key, dtype=np.uint32)
-            key |= rest
-            out[k, full] = np.minimum.reduceat(key, starts)
+            found = ranks.take(at).view(np.uint16).reshape(-1, TOGETHER)
+            for j in range(min(TOGETHER, self.n - g * TOGETHER)):
+                np.left_shift(found[:, j], np.uint32(17), out=key, dtype=np.uint32)
+                key |= rest
+                out[g * TOGETHER + j, full] = np.minimum.reduceat(key, starts)
         return out
 
     def bands(self, samples: np.ndarray) -> np.ndarray:
