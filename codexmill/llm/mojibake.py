@@ -249,6 +249,8 @@ def segments(score: np.ndarray) -> list[tuple[int, int]]:
         return []
     opens = np.flatnonzero(np.append(True, np.diff(at) > 1))
     begins, ends = at[opens].tolist(), (at[np.append(opens[1:], len(at)) - 1] + 1).tolist()
+    if len(begins) == 1:
+        return [(begins[0], ends[0] + 1)]
     gains = np.add.reduceat(score[at], opens).tolist()
     found: list[tuple[int, int, float, float]] = []  # begin, end, running sum before and after
     total, last = 0.0, begins[0]
@@ -258,7 +260,9 @@ def segments(score: np.ndarray) -> list[tuple[int, int]]:
         now = (begin, end, before, total)
         while True:
             # the nearest segment that began lower; it is joined if its end lies lower, too
-            k = next((k for k in range(len(found) - 1, -1, -1) if found[k][2] < now[2]), -1)
+            k = len(found) - 1
+            while k >= 0 and found[k][2] >= now[2]:
+                k -= 1
             if k < 0 or found[k][3] >= now[3]:
                 break
             now = (found[k][0], now[1], found[k][2], now[3])
@@ -459,7 +463,9 @@ def _undone(text: str, inverter: Inverter, score: np.ndarray, spans: list[tuple[
             begin = last = stop
         if begin < b:
             rest.append((begin + size - last, b + size - last))
-    return found, ("".join(out) + text[last:], np.concatenate([*marks, score[last:]]), changed, rest)
+    if not found:
+        return False, (text, score, False, rest)
+    return True, ("".join(out) + text[last:], np.concatenate([*marks, score[last:]]), changed, rest)
 
 
 def older(text: str, spots: list[tuple[int, int]], inverter: Inverter, restore: bool = True) -> str | None:
