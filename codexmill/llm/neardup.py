@@ -383,6 +383,6 @@ def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None,
     m = members.select("class", "locId", "unit")
     a, b = m.toDF("a", "locIdA", "unitA"), m.toDF("b", "locIdB", "unitB")
     different = links.join(a, "a").join(b, "b").where("unitA <> unitB").select("locIdA", "locIdB")
-    several = m.groupBy("class").agg(F.min("unit").alias("x"), F.max("unit").alias("y")).where("x <> y").select(F.col("class").alias("a"))
-    equal = a.join(several, "a", "left_semi").join(b.withColumnRenamed("b", "a"), "a").where("unitA <> unitB and locIdA < locIdB").select("locIdA", "locIdB")
+    several = m.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select(F.col("class").alias("a"))
+    equal = a.join(several.hint("shuffle_hash"), "a", "left_semi").join(b.withColumnRenamed("b", "a"), "a").where("unitA <> unitB and locIdA < locIdB").select("locIdA", "locIdB")
     return different.unionByName(equal).select(F.least("locIdA", "locIdB").alias("locIdA"), F.greatest("locIdA", "locIdB").alias("locIdB")).distinct()
