@@ -298,33 +298,37 @@ class Ratio:
     """Log likelihood ratios, residue against prose, as float32 tables of fixed size; orders from the shortest."""
 
     def __init__(self, residue: list[tuple[np.ndarray, np.ndarray]], prose: np.ndarray):
-        self.hit, self.miss, self.state, self.which = [], [], [], []
+        self.tables = []
         for (h, most), q in zip(residue, prose, strict=True):
             at = slots(h)
             which, own, cap = np.zeros(1 << BITS, np.uint16), np.zeros(1 << BITS, bool), np.zeros(1 << BITS)
             which[at], own[at], cap[at] = marks(h), True, most
             # the rarest n-grams are no wording of prose, as residue itself is part of the corpus
             p = np.maximum(q / max(1, q.sum()), FLOOR)
-            self.hit.append(np.log((PRESENT / max(1, len(h)) + FLOOR) / p).clip(-4, cap).astype(np.float32))
-            self.miss.append(np.log(FLOOR / p).clip(-4, -0.7).astype(np.float32))
-            self.which.append(which)
+            hit = np.log((PRESENT / max(1, len(h)) + FLOOR) / p).clip(-4, cap)
+            miss = np.log(FLOOR / p).clip(-4, -0.7)
             # slots are shared by rare n-grams, so only a frequent one is known from prose
-            self.state.append(own | (q > 5 * FLOOR * q.sum()).astype(np.uint8) << 1)
+            frequent = q > 5 * FLOOR * q.sum()
+            # all that is known of a slot side by side, so that one look tells it
+            row = np.zeros((1 << BITS, 4), np.uint16)
+            row[:, 0], row[:, 1], row[:, 2], row[:, 3] = which, own | frequent.astype(np.uint16) << 1, hit.astype(np.float16).view(np.uint16), miss.astype(np.float16).view(np.uint16)
+            self.tables.append(row.view(np.uint64)[:, 0])
 
     def places(self, low: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The ratio at each place, of the longest n-gram there that either model knows; n-grams don't cross texts."""
-        out = np.full(len(low), -0.7, np.float32)
-        room = np.repeat(at[1:], np.diff(at)) - np.arange(len(low))
-        for k, (n, h) in enumerate(zip(sorted(ORDERS), grams(low), strict=False)):
-            g = slots(h)
-            state = self.state[k][g]
-            near = np.flatnonzero((state > 0) & (room[: len(h)] >= n))
-            g, state = g[near], state[near]
-            own = (state & 1 > 0) & (self.which[k][g] == marks(h[near]))
-            value = np.where(own, self.hit[k][g], self.miss[k][g])
-            take = own | (state > 1)
-            out[near[take]] = value[take]
-        return out
+        out = np.full(len(low), -0.7, np.float16)
+        inside = np.ones(len(low), bool)
+        ends = at[1:] - 1
+        reach = 1
+        for n, h, table in zip(sorted(ORDERS), grams(low), self.tables, strict=False):
+            for k in range(reach, n):
+                inside[np.maximum(ends - k + 1, 0)] = False  # an n-gram that begins here ends in the next text
+            reach = n
+            row = table.take(slots(h)).view(np.uint16).reshape(-1, 4)
+            own = (row[:, 0] == marks(h)) & ((row[:, 1] & 1) > 0) & inside[: len(h)]
+            np.copyto(out[: len(h)], row[:, 3].view(np.float16), where=~own & (row[:, 1] > 1) & inside[: len(h)])
+            np.copyto(out[: len(h)], row[:, 2].view(np.float16), where=own)
+        return out.astype(np.float32)
 
 
 def windows(x: np.ndarray) -> list[tuple[int, int, float]]:
