@@ -34,12 +34,13 @@ def candidates(rows: DataFrame, ident: str, text: str, n: int | Column = 3, budg
     so only as many more are looked up (prefix filtering); every pair met is
     scored by its whole overlap. ``budget`` divides the work between the two
     rounds and doesn't change the result. Ids are unique; ties go to the
-    smaller id. Null and empty texts take no part.
+    smaller id. Null and empty texts take no part. Texts and n-grams are told by
+    hashes of 64 bits, so that no text is shuffled with a pair.
     """
-    held = rows.where(F.col(text) != "").select(F.col(ident).alias("id"), F.col(text).alias("t"), F.lit(n).alias("n") if isinstance(n, int) else n.alias("n"))
+    held = rows.where(F.col(text) != "").select(F.col(ident).alias("id"), F.col(text).alias("s"), F.xxhash64(text).alias("t"), F.lit(n).alias("n") if isinstance(n, int) else n.alias("n"))
     # of equal texts no more ids than there are places, and one for the source itself
     first = top_each(held.select("t", "id"), ["t"], [F.asc("id")], most + 1).select("t", "id")
-    texts = held.groupBy("t").agg(F.first("n").alias("n")).select("t", ngrams("t", F.col("n")).alias("grams")).withColumn("size", F.size("grams"))
+    texts = held.groupBy("t").agg(F.first("n").alias("n"), F.first("s").alias("s")).select("t", F.transform(ngrams("s", F.col("n")), lambda g: F.xxhash64(g)).alias("grams")).withColumn("size", F.size("grams"))
     entries = texts.select("t", "size", F.explode("grams").alias("gram"))
     counted = entries.join(entries.groupBy("gram").agg(F.count("*").alias("df")), "gram")
     rarest = Window.partitionBy("t").orderBy("df", "gram")
