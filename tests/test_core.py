@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,6 +182,19 @@ def test_candidates_with_frequent_ngrams_equal_brute_force(spark, budget):
     assert sorted((r["source"], r["candidate"], r["rank"], round(r["score"], 6)) for r in got) == sorted(want)
 
 
+def test_candidates_of_an_ngram_that_all_texts_share(spark):
+    n = 20_000
+    df = spark.createDataFrame([(i, "重返" + chr(0x4E00 + i % 17_000) + "之" * (i >= 17_000)) for i in range(n)], "id int, t string")
+    began = time.monotonic()
+    got = {r["source"]: [(x["candidate"], round(x["score"], 6)) for x in sorted(r["x"])] for r in candidates.candidates(df, "id", "t", n=2, most=3).groupBy("source").agg(F.collect_list(F.struct("rank", "candidate", "score")).alias("x")).collect()}
+    assert time.monotonic() - began < 120  # one by one they are 400 million pairs
+    assert len(got) == n
+    # of three-character texts any other shares one of three n-grams, its longer form two of three
+    assert got[5_000] == [(0, 0.333333), (1, 0.333333), (2, 0.333333)]
+    assert got[7] == [(17_007, 0.666667), (0, 0.333333), (1, 0.333333)]
+    assert got[17_007] == [(7, 0.666667), (0, 0.25), (1, 0.25)]
+
+
 def test_citations(spark):
     normal = lambda c: F.lower(F.trim(F.col(c)))
     d = spark.createDataFrame([(1, [("u", "title", "Red"), ("u", "title", "blue"), ("v", "title", "")])], "k int, citations array<struct<unitId:string,field:string,excerpt:string>>")
