@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from codexmill.operators.paging import cursors, gaps, page
+from codexmill.operators.paging import after, cursors, gaps, page, page_size, parts
 from codexmill.session import file_system
 
 LEASE = 6 * 3600  # seconds after which a lock of another machine counts as left behind
@@ -164,14 +164,59 @@ def successor_start(spark: SparkSession, folder: str, time: str, ident: str, cut
 
 
 def capture_all(rows: DataFrame, folder: str, time: str, ident: str, n: int, cutoff: object = None) -> DataFrame:
-    """Capture pages until none is left; the same rows as one batch would give, with their part."""
+    """Capture pages until none is left; the same rows as one batch would give, with their part.
+
+    All pages that are left are numbered and written by one pass over the rows,
+    beside the folder; then each is moved into it, in order and as a whole. So
+    an end at any place leaves parts that follow each other, as page by page,
+    and the same parts and note remain.
+    """
     spark = rows.sparkSession
-    while not capture_page(rows, folder, time, ident, n, cutoff=cutoff)["complete"]:
-        pass
+    with locked(spark, f"{folder}.lock"):
+        text = _read(spark, f"{folder}.state.json")
+        bound = None if cutoff is None else str(cutoff)
+        if text and json.loads(text)["cutoff"] != bound:
+            raise ValueError("a capture has one cutoff")
+        at = noted(spark, folder, time, ident)
+        if not at or at["last"] >= n:
+            _capture_rest(rows, folder, time, ident, page_size(n), at, cutoff, bool(text))
     schema = StructType([*rows.schema.fields]).add("part", "long")
     return spark.read.schema(schema).parquet(folder) if _parts(spark, folder) else spark.createDataFrame([], schema)
 
 
+def _capture_rest(rows: DataFrame, folder: str, time: str, ident: str, n: int, at: dict | None, cutoff: object, has_note: bool) -> None:
+    """Write what is behind a checkpoint as parts of ``n`` rows and note the end."""
+    spark, start = rows.sparkSession, at["next"] if at else 0
+    bound = None if cutoff is None else str(cutoff)
+    within = F.lit(True) if cutoff is None else F.col(time) <= F.lit(cutoff)
+    left = rows.where(within & after(time, ident, at["cursor"] if at else None))
+    numbered = parts(left, [time, ident], n).withColumn("part", F.col("part") + start)
+    aside = f"{folder}.pages"
+    fs, pages = file_system(spark, aside)
+    fs.delete(pages, True)
+    # each part is one file; tasks are so many that none writes all of them
+    numbered.repartition(2 * spark.sparkContext.defaultParallelism, "part").sortWithinPartitions("part", time, ident).write.partitionBy("part").parquet(aside)
+    numbers = sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(pages) if s.getPath().getName().startswith("part="))
+    last = spark.read.schema(rows.schema).parquet(f"{aside}/part={numbers[-1]}").count() if numbers else 0
+    if not has_note:
+        # the cutoff holds from the first part on
+        _write(spark, f"{folder}.state.json", json.dumps({"part": start - 1, "next": start, "rows": at["last"] if at else 0, "total": at["rows"] if at else 0, "complete": False, "cutoff": bound}))
+    if numbers:
+        fs.mkdirs(file_system(spark, folder)[1])
+    for number in numbers:
+        fs.create(file_system(spark, f"{aside}/part={number}/_SUCCESS")[1], True).close()
+        # what an attempt that didn't end has left there is no part
+        here = file_system(spark, f"{folder}/part={number}")[1]
+        fs.delete(here, True)
+        if not fs.rename(file_system(spark, f"{aside}/part={number}")[1], here):
+            raise RuntimeError(f"part {number} can't be moved into {folder}")
+    fs.delete(pages, True)
+    # the page after the last full one is the last, whether it has rows or not
+    rest, full = last % n, start + len(numbers) - bool(last % n)
+    total = (at["rows"] if at else 0) + (len(numbers) - 1) * n * bool(numbers) + last
+    _write(spark, f"{folder}.state.json", json.dumps({"part": full, "next": full + bool(rest), "rows": rest, "total": total, "complete": True, "cutoff": bound}))
+
+
 def stream_files(spark: SparkSession, folder: str, schema: StructType, out: str, checkpoints: str, change: Callable[[DataFrame], DataFrame] = lambda d: d) -> int:
     """Take every new file of a folder exactly once and append what ``change`` makes of it; ends when all is read."""
     stream = change(spark.readStream.schema(schema).parquet(folder))

@@ -286,6 +286,25 @@ def test_capture_in_pages_equals_the_batch_and_recovers(spark, tmp_path):
         pass
 
 
+def test_capture_of_many_pages_is_one_pass(spark, tmp_path):
+    df = spark.range(3_000).select((F.col("id") % 7).alias("t"), F.format_string("%04d", "id").alias("i"))
+    one, all_ = str(tmp_path / "one"), str(tmp_path / "all")
+    for size in (10, 11):
+        tracker, before = spark.sparkContext.statusTracker(), len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+        got = capture.capture_all(df, f"{all_}{size}", "t", "i", size, cutoff=4)
+        assert len(tracker.getJobIdsForGroup()) - before < 30  # a page took several
+        order = {r["i"]: k // size for k, r in enumerate(df.where("t <= 4").orderBy("t", "i").collect())}
+        assert rows(got, "i", "part") == sorted(order.items())
+        assert capture.noted(spark, f"{all_}{size}", "t", "i") | {"last": 0} == capture.checkpoint(spark, f"{all_}{size}", "t", "i") | {"last": 0}
+        assert not (tmp_path / f"all{size}.pages").exists()
+    few = df.where("i < '0014'")
+    for size in (5, 7):
+        while not capture.capture_page(few, f"{one}{size}", "t", "i", size)["complete"]:
+            pass
+        capture.capture_all(few, f"{one}{size}-all", "t", "i", size)
+        assert capture.read_state(spark, f"{one}{size}-all") == capture.read_state(spark, f"{one}{size}")
+
+
 def test_streams(spark, tmp_path):
     src = str(tmp_path / "src")
     rowset = spark.sql("select timestamp'2025-01-01 00:00:00' + make_interval(0,0,0,0,0,cast(id as int),0) as ts, cast(id % 2 as string) as k from range(600)")
