@@ -38,9 +38,9 @@ def candidates(rows: DataFrame, ident: str, text: str, n: int | Column = 3, budg
     and lies in the rest of both behind it. So texts with the same rest and
     size form a class of that n-gram, whose members all score alike: classes
     are compared instead of texts, and the first ids of a class stand for it
-    (``_nearest``). However frequent an n-gram is, few n-grams are rarer than
-    none, so it has few classes. Nothing is left out. ``budget`` doesn't change
-    the result and is kept for callers. Ids are unique; ties go to the smaller
+    (``_nearest``). The more frequent an n-gram is, the fewer can stand behind
+    it, so it has few classes. Nothing is left out. ``budget`` has no effect
+    any more and is kept for callers. Ids are unique; ties go to the smaller
     id. Null and empty texts take no part. Texts and n-grams are told by
     hashes of 64 bits, so that no text is shuffled with a pair.
     """
