@@ -177,25 +177,31 @@ def jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> f
 
 
 def packed(bands: np.ndarray, ids: np.ndarray, cells: int) -> pa.RecordBatch:
-    """Rows (cell, data) of the bands of texts: each band's last 48 bits and the text's id, in one piece for each cell."""
-    cell = (bands >> np.uint64(48)).astype(np.int64) * cells >> 16
+    """Rows (cell, data) of the bands of texts: each band's last 32 bits and the text's id, in one piece for each cell.
+
+    What 32 bits and the cell don't tell apart is told by the verification. Ids
+    are kept as the gaps between them, all first bytes before all second ones,
+    so that in order of the ids most of it is zeros, which shuffles compress.
+    """
+    cell = ((bands >> np.uint64(48)) * np.uint64(cells) >> np.uint64(16)).astype(np.uint16)
     order = np.argsort(cell, kind="stable")
-    cell, bands, ids = cell[order], bands[order], ids[order]
+    cell, low, ids = cell[order], bands[order].astype(np.uint32), ids[order]
     at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
-    high, low = (bands >> np.uint64(32)).astype(np.uint16), bands.astype(np.uint32)
-    data = []
-    for i, j in zip(at.tolist(), [*at[1:].tolist(), len(cell)], strict=True):
-        least = int(ids[i:j].min())
-        width = next(w for w in (2, 4, 8) if int(ids[i:j].max()) - least < 1 << 8 * w - 1)
-        data.append(np.array([j - i, least, width], np.int64).tobytes() + high[i:j].tobytes() + low[i:j].tobytes() + (ids[i:j] - least).astype(f"u{width}").tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(cell[at], pa.int32()), pa.array(data, pa.binary())], names=["cell", "data"])
+    gaps = np.diff(ids, prepend=0)
+    gaps[at] = 0
+    planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T)
+    planes = planes[: 1 + max(np.flatnonzero(planes.any(1)), default=0)]
+    data = [np.array([j - i, ids[i]], np.int64).tobytes() + low[i:j].tobytes() + planes[:, i:j].tobytes() for i, j in zip(at.tolist(), np.append(at[1:], len(cell))[: len(at)].tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(cell[at].astype(np.int32)), pa.array(data, pa.binary())], names=["cell", "data"])
 
 
 def unpacked(cell: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, least, width = np.frombuffer(data, np.int64, 3).tolist()
-    high, low = np.frombuffer(data, np.uint16, n, 24), np.frombuffer(data, np.uint32, n, 24 + 2 * n)
-    band = high.astype(np.uint64) << np.uint64(32) | low | np.uint64((cell & 0xFFFF) << 48)
-    return band, least + np.frombuffer(data, f"u{width}", n, 24 + 6 * n).astype(np.int64)
+    n, first = np.frombuffer(data, np.int64, 2).tolist()
+    band = np.frombuffer(data, np.uint32, n, 16) | np.uint64(cell << 32)
+    planes = np.frombuffer(data, np.uint8, -1, 16 + 4 * n).reshape(-1, n)
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, : len(planes)] = planes.T
+    return band, first + np.cumsum(gaps.view(np.int64)[:, 0])
 
 
 class Meeting:
@@ -260,7 +266,7 @@ def sliced_pairs(entries: DataFrame, slice_: int = SLICE) -> DataFrame:
 
 
 def band_pairs(texts: DataFrame, bands_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], parts: int, slice_: int = SLICE) -> DataFrame:
-    """(a, b) with a < b: all pairs of ids that share a band, each once; ``bands_of`` gives the bands and ids of a batch's texts.
+    """(a, b) with a < b: all pairs of ids that share a band, each once; ``bands_of`` gives the bands of a batch's texts, a column for each, and their ids.
 
     Bands are shuffled packed, in one piece from each task to each of ``parts``
     tasks, and met there in arrays. Bands that many share are cut into slices,
@@ -268,17 +274,22 @@ def band_pairs(texts: DataFrame, bands_of: Callable[[pa.RecordBatch], Iterator[t
     """
     cells = min(8 * parts, 1 << 16)
 
+    def piece(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        bands, ids = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
+        order = np.argsort(ids)
+        return packed(bands[:, order].T.ravel(), np.repeat(ids[order], len(bands)), cells)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for bands, ids in bands_of(batch):
                 held.append((bands, ids))
-                size += len(bands)
+                size += bands.size
                 if size > 1 << 20:
-                    yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+                    yield piece(held)
                     held, size = [], 0
         if held:
-            yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)), cells)
+            yield piece(held)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meeting = Meeting(slice_)
@@ -307,7 +318,7 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
             h, tf, first = features(rows[part])
             bands = s.bands(s.samples(h, s.weights(h, tf), first)) ^ mix(fields[part].astype(np.uint64) + M1)
             full = np.flatnonzero(np.diff(first))
-            yield bands[:, full].ravel(), np.tile(ids[part][full], BANDS)
+            yield bands[:, full], ids[part][full]
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * BANDS * 8 // READ))
     pairs = written(band_pairs(texts.select("id", "field", "form"), bands_of, parts), "pairs")
@@ -364,14 +375,19 @@ def near_duplicate_classes(localizations: DataFrame, excluded: DataFrame | None
     live = texts.drop("form").join(last.hint("shuffle_hash"), "locId").where("late <=> last").drop("late", "last")
     if excluded is not None:
         live = live.join(excluded.select("locId").hint("shuffle_hash"), "locId", "left_anti")
+    spark = localizations.sparkSession
     live = written(live.groupBy("locId", "unit", "field", "k1", "k2").agg(F.min("id").alias("id")), "live")
     # the first row of a class stands for it
     classes = live.groupBy("field", "k1", "k2").agg(F.min("id").alias("class"))
     members = written(live.drop("id").join(classes.hint("shuffle_hash"), ["field", "k1", "k2"]).select("class", "field", "locId", "unit"), "members")
+    drop_written(spark, live)
     standing = members.select(F.col("class").alias("id")).distinct()
     kept = written(texts.select("id", "field", "form").join(standing.hint("shuffle_hash"), "id", "left_semi"), "classes")
-    drop_written(localizations.sparkSession, texts)
-    return members, similar_texts(kept, similarity)
+    drop_written(spark, texts)
+    links = similar_texts(kept, similarity)
+    # the links read only the texts of candidates, which are written by themselves
+    drop_written(spark, kept)
+    return members, links
 
 
 def near_duplicates(localizations: DataFrame, excluded: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
